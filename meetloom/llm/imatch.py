@@ -66,15 +66,11 @@ def fingerprint(terms: Column, all_terms: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1. Texts without lexicon terms are alike only if all their terms agree."""
     most = F.greatest(F.conv(F.substring(a, 1, 8), 16, 10).cast("int"), F.conv(F.substring(b, 1, 8), 16, 10).cast("int"))
-    agree, met = F.lit(0), F.lit(0)
-    for i in range(SUBSETS):
-        at = 17 + 4 * i
-        fine = (most <= 2 * 4 ** (i // PER_LEVEL + 1)) | F.lit(i // PER_LEVEL == LEVELS - 1)
-        x, y = F.substring(a, at, 4), F.substring(b, at, 4)
-        used = fine & ((x != EMPTY) | (y != EMPTY))
-        met = met + used.cast("int")
-        agree = agree + (used & (x == y)).cast("int")
-    return F.when(met > 0, agree / met).otherwise((F.substring(a, 1, 16) == F.substring(b, 1, 16)).cast("double"))
+    limits = F.array(*[F.lit(2 * 4 ** (i // PER_LEVEL + 1) if i // PER_LEVEL < LEVELS - 1 else 1 << 30) for i in range(SUBSETS)])
+    both = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda i: F.struct(F.get(limits, i).alias("limit"), F.substring(a, 17 + 4 * i, F.lit(4)).alias("x"), F.substring(b, 17 + 4 * i, F.lit(4)).alias("y")))
+    met = F.filter(both, lambda s: (most <= s["limit"]) & ((s["x"] != EMPTY) | (s["y"] != EMPTY)))
+    agree = F.filter(met, lambda s: s["x"] == s["y"])
+    return F.when(F.size(met) > 0, F.size(agree) / F.size(met)).otherwise((F.substring(a, 1, 16) == F.substring(b, 1, 16)).cast("double"))
 
 
 def with_next_text(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ ids are ordered first. Repeated rows take neighbouring slots. Other columns are
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,54 +36,48 @@ def name_bin(name: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(name, F.lit("")).cast("binary")), 1, 1), 16, 10).cast("int")
 
 
-def hilbert_steps(dims: int, bits: int):
-    """The rule of the curve (Skilling's transpose form) as steps over axes x[0..dims-1]:
-    ('turn', i, q): where axis i has bit q, invert axis 0's bits below q; elsewhere swap those bits of axes 0 and i.
-    ('gray', i): axis i becomes itself xor axis i-1. ('fix', q): note q-1 (xor) where the last axis has bit q."""
-    q = 1 << (bits - 1)
-    while q > 1:
-        for i in range(dims):
-            yield "turn", i, q
-        q >>= 1
-    for i in range(1, dims):
-        yield "gray", i, 0
-    q = 1 << (bits - 1)
-    while q > 1:
-        yield "fix", 0, q
-        q >>= 1
-
-
-def with_hilbert_index(df: DataFrame, axes: list[str], out: str, bits: int = BITS) -> DataFrame:
-    """Adds the position on the curve of the cell given by integer columns in [0, 2**bits)."""
-    n = len(axes)
-    x = [f"__x{i}" for i in range(n)]
-    cur = df.withColumns({x[i]: F.col(axes[i]).cast("int") for i in range(n)} | {"__t": F.lit(0)})
-    for kind, i, q in hilbert_steps(n, bits):
-        low = q - 1
-        if kind == "turn":
-            on = F.col(x[i]).bitwiseAND(q) != 0
-            swap = F.col(x[0]).bitwiseXOR(F.col(x[i])).bitwiseAND(low)
-            new = {x[0]: F.when(on, F.col(x[0]).bitwiseXOR(low)).otherwise(F.col(x[0]).bitwiseXOR(swap))}
-            if i:
-                new[x[i]] = F.when(on, F.col(x[i])).otherwise(F.col(x[i]).bitwiseXOR(swap))
-        elif kind == "gray":
-            new = {x[i]: F.col(x[i]).bitwiseXOR(F.col(x[i - 1]))}
-        else:
-            new = {"__t": F.when(F.col(x[n - 1]).bitwiseAND(q) != 0, F.col("__t").bitwiseXOR(low)).otherwise(F.col("__t"))}
-        cur = cur.withColumns(new)
-    h = F.lit(0)
-    for b in range(bits - 1, -1, -1):
-        for i in range(n):
-            bit = F.shiftright(F.col(x[i]).bitwiseXOR(F.col("__t")), b).bitwiseAND(F.lit(1))
-            h = h * 2 + bit
-    return cur.withColumn(out, h.cast("int")).drop(*x, "__t")
+def hilbert_index(cell: tuple[int, ...], bits: int = BITS) -> int:
+    """Position on the Hilbert curve of a cell with coordinates in [0, 2**bits), by Skilling's transpose form: undo the
+    reflections from the top bit down, make the axes a Gray code, then read their bits in turn."""
+    x = list(cell)
+    for b in reversed(range(1, bits)):
+        low = (1 << b) - 1
+        for i in range(len(x)):
+            if x[i] >> b & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[i]) & low
+                x[0] ^= swap
+                x[i] ^= swap
+    for i in range(1, len(x)):
+        x[i] ^= x[i - 1]
+    fix = 0
+    for b in range(1, bits):
+        if x[-1] >> b & 1:
+            fix ^= (1 << b) - 1
+    index = 0
+    for b in reversed(range(bits)):
+        for v in x:
+            index = index << 1 | (v ^ fix) >> b & 1
+    return index
+
+
+def curve_position(axes: list[Column], bits: int = BITS) -> Column:
+    """The curve index of a cell from a literal table of all (1 << bits)**axes cells, built from the rule above."""
+    size = 1 << bits
+    table = [hilbert_index(cell, bits) for cell in product(range(size), repeat=len(axes))]
+    code = F.lit(0)
+    for a in axes:
+        code = code * size + a
+    return F.get(F.expr(f"array({', '.join(map(str, table))})"), code)
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("lang", "source")) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, and the three bins with the curve index (for file statistics)."""
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), name_bin(docs[names[0]]).alias("bin_a"), name_bin(docs[names[1]]).alias("bin_b"))
-    rows = with_hilbert_index(rows.withColumn("bin_size", size_bin(F.col("size"))), ["bin_a", "bin_b", "bin_size"], "cell")
+    rows = rows.withColumn("bin_size", size_bin(F.col("size")))
+    rows = rows.withColumn("cell", curve_position([F.col("bin_a"), F.col("bin_b"), F.col("bin_size")]))
     rows = rows.withColumns({"text_bin": (F.col("text_crc32") % TEXT_BINS).cast("int"), "id_bin": (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % ID_BINS).cast("int")})
     bins = rows.groupBy("cell", "text_bin", "id_bin").agg(F.count(F.lit(1)).alias("n"))
     cells = bins.groupBy("cell").agg(F.sum("n").alias("n"))
