@@ -4,12 +4,320 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from meetloom.functions import exprs, rules
+from meetloom.operators import findings as fnd
+from meetloom.operators import health
+from meetloom.operators import items as itm
+from meetloom.operators import ranking
+from meetloom.plans.crosswalk import ITEMS_SQL, items, table, tags_sql, topics
+from meetloom.sources import screening, store
+
+_queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+TAGGED_SQL = f"i AS ({ITEMS_SQL}), t AS (SELECT *, {tags_sql()} AS tags FROM i)"
+ITEM_ORDER = "coalesce(meeting_date_iso, meeting_date) DESC NULLS LAST, cluster_name NULLS FIRST, section_number NULLS FIRST, item_label NULLS FIRST, agenda_item_id"
+FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = items(spark, sf_dir)
+    return rows.withColumn("topic_tags", exprs.topic_tags(F.col("text_block"), rules.DEMO_RULES))
+
+
+def _fetch(spark: SparkSession, sf_dir: str, **filters) -> DataFrame:
+    rows = items(spark, sf_dir)
+    return itm.fetch_items(rows, topics(rows), itm.ItemFilters(**filters))
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    return df.select("agenda_item_id", "source_id", "cluster_name", "meeting_date", "section_number", "item_label", F.array_join("topic_tags", ",").alias("tags"))
+
+
+@query(f"""WITH {TAGGED_SQL} SELECT agenda_item_id, source_id, cluster_name, meeting_date, section_number, item_label, array_to_string(tags, ',') AS tags FROM t
+WHERE list_contains(tags, 'origin') AND ({FOLDED.format('title')} LIKE '%th_re%' OR {FOLDED.format('text_block')} LIKE '%th_re%') ORDER BY {ITEM_ORDER} LIMIT 50""")
+def items_filtered_topic_search(spark, sf_dir):
+    return _listed(_fetch(spark, sf_dir, topic="origin", search="Th_re"))
+
+
+@query(f"""WITH {TAGGED_SQL} SELECT agenda_item_id, source_id, cluster_name, meeting_date, section_number, item_label, array_to_string(tags, ',') AS tags FROM t
+WHERE source_id = 'src3' AND cluster_name = 'en' ORDER BY {ITEM_ORDER} LIMIT 100""")
+def items_equality_filters(spark, sf_dir):
+    return _listed(_fetch(spark, sf_dir, source_id="src3", cluster_name="en", meeting_date="", limit=100))
+
+
+@query(f"WITH {TAGGED_SQL}, l AS (SELECT * FROM t ORDER BY {ITEM_ORDER} LIMIT 500) SELECT tag AS topic_tag, count(*)::BIGINT AS items FROM (SELECT unnest(tags) AS tag FROM l) GROUP BY tag")
+def topic_summary_limited(spark, sf_dir):
+    return itm.count_by_topic(_fetch(spark, sf_dir, limit=500))
+
+
+@query(f"WITH {TAGGED_SQL}, l AS (SELECT * FROM t ORDER BY {ITEM_ORDER} LIMIT 500) SELECT coalesce(nullif(cluster_name, ''), 'Unknown Cluster') AS body, count(*)::BIGINT AS items FROM l GROUP BY 1")
+def body_summary_limited(spark, sf_dir):
+    return itm.count_by_body(_fetch(spark, sf_dir, limit=500))
+
+
+@query("""SELECT count(CASE WHEN source <> '' THEN 1 END)::BIGINT AS with_motion, count(CASE WHEN lang <> '' THEN 1 END)::BIGINT AS with_second, 0::BIGINT AS with_action, count(quality)::BIGINT AS with_vote,
+count(CASE WHEN coalesce(toxic, 0) = 0 AND quality IS NOT NULL THEN 1 END)::BIGINT AS unanimous, count(CASE WHEN quality IS NOT NULL AND coalesce(toxic, 0) <> 0 THEN 1 END)::BIGINT AS split
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def vote_summary(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return itm.parliamentary_counts(rows.select(F.col("source").alias("motion_by"), F.col("lang").alias("second_by"), F.lit("").alias("final_action"), F.col("quality").alias("ayes_count"), F.col("toxic").alias("noes_count"), F.lit(None).cast("int").alias("abstain_count")))
+
+
+@query("SELECT source AS value, count(*)::BIGINT AS items FROM documents WHERE source <> '' GROUP BY 1")
+def movers_ranked(spark, sf_dir):
+    return itm.ranked(items(spark, sf_dir), "source_id")
+
+
+@query(f"WITH {TAGGED_SQL}, l AS (SELECT * FROM t ORDER BY {ITEM_ORDER} LIMIT 100) SELECT agenda_item_id, array_to_string(tags, ',') AS tags FROM l WHERE list_has_any(tags, ['contact', 'licence']) ORDER BY {ITEM_ORDER} LIMIT 10")
+def digest_high_signal(spark, sf_dir):
+    return itm.high_signal(_fetch(spark, sf_dir, limit=100), ["contact", "licence"]).select("agenda_item_id", F.array_join("topic_tags", ",").alias("tags"))
+
+
+@query(f"WITH {TAGGED_SQL} SELECT agenda_item_id, array_to_string(tags, ',') AS tags FROM t")
+def topic_tags(spark, sf_dir):
+    return _tagged(spark, sf_dir).select("agenda_item_id", F.array_join("topic_tags", ",").alias("tags"))
+
+
+def _has(word: str, *columns: str) -> str:
+    return " OR ".join(f"contains({c}, '{word}')" for c in columns or ("low",))
+
+
+_ACTION_SQL = "CASE " + " ".join(f"WHEN contains(low, '{w}') THEN '{a}'" for w, a in rules.ACTION_RULES) + " WHEN contains(lower(section_title), 'presentation') THEN 'discussion_item' ELSE 'informational_item' END"
+_SCORE_SQL = "2 * len(list_intersect(tags, ['contact', 'licence', 'origin'])) + (action IN ('contract_amendment', 'contract_award', 'sole_source_contract'))::INT" + "".join(f" + contains(low, '{w}')::INT" for w in rules.HIGH_PRIORITY_KEYWORDS)
+_TREND_SQL = "CASE WHEN " + " OR ".join(f"contains(low, '{w}')" for w in rules.TREND_KEYWORDS) + " THEN 'recurring_vendor_or_contract_pattern' WHEN list_has_any(tags, ['contact', 'licence', 'origin']) THEN 'policy_watch' WHEN action IN ('board_approval', 'contract_award', 'policy_adoption') THEN 'board_decision' ELSE 'routine_monitoring' END"
+_DEMO_WHY = {"contact": "it names somebody", "licence": "it grants a right", "origin": "it tells a source"}
+_WHY_SQL = "CASE WHEN len(told) > 0 THEN 'This matters because ' || array_to_string(told[1:2], ' and ') || '.' ELSE '" + rules.NO_EXPLANATION + "' END || CASE priority_level " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.PRIORITY_SENTENCES.items()) + " END"
+FINDINGS_SQL = f"""{TAGGED_SQL}, a AS (SELECT *, lower(coalesce(title, '') || ' ' || coalesce(text_block, '')) AS low FROM t), b AS (SELECT *, {_ACTION_SQL} AS action FROM a),
+s AS (SELECT *, {_SCORE_SQL} AS score, {_TREND_SQL} AS trend_signal FROM b), p AS (SELECT *, CASE WHEN score >= 5 THEN 'high' WHEN score >= 2 THEN 'medium' ELSE 'low' END AS priority_level,
+list_filter(list_transform(tags, lambda x: CASE x {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _DEMO_WHY.items())} END), lambda x: x IS NOT NULL) AS told FROM s),
+f AS (SELECT 'finding_' || substr(sha1(agenda_item_id::VARCHAR), 1, 16) AS finding_id, agenda_item_id, source_id, cluster_name, meeting_date, title, priority_level, action AS action_classification, trend_signal,
+coalesce(nullif(cluster_name, ''), 'Unknown cluster') || ' item ' || coalesce(nullif(item_label, ''), '?') || ' is a ' || replace(action, '_', ' ') || ' covering ' || coalesce(title, '') || '.' AS summary_plain,
+{_WHY_SQL} AS why_it_matters, tags FROM p)"""
+
+
+def _findings(spark, sf_dir) -> DataFrame:
+    return fnd.generate_findings(_tagged(spark, sf_dir), rules.DEMO_HIGH, _DEMO_WHY)
+
+
+@query(f"WITH {FINDINGS_SQL} SELECT finding_id, agenda_item_id, summary_plain, why_it_matters, array_to_string(tags, ',') AS tags FROM f")
+def finding_rows(spark, sf_dir):
+    return _findings(spark, sf_dir).select("finding_id", "agenda_item_id", "summary_plain", "why_it_matters", F.array_join("topic_tags", ",").alias("tags"))
+
+
+@query(f"WITH {FINDINGS_SQL} SELECT action_classification, priority_level, trend_signal, count(*)::BIGINT AS findings FROM f GROUP BY ALL")
+def action_priority_trend(spark, sf_dir):
+    return _findings(spark, sf_dir).groupBy("action_classification", "priority_level", "trend_signal").agg(F.count(F.lit(1)).alias("findings"))
+
+
+_FINDING_ORDER = "CASE priority_level WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, meeting_date DESC NULLS LAST, cluster_name NULLS FIRST, title NULLS FIRST, finding_id"
+
+
+@query(f"WITH {FINDINGS_SQL} SELECT finding_id, priority_level, meeting_date, source_id FROM f WHERE list_contains(tags, 'origin') AND ({FOLDED.format('title')} LIKE '%he%' OR {FOLDED.format('summary_plain')} LIKE '%he%' OR {FOLDED.format('why_it_matters')} LIKE '%he%') ORDER BY {_FINDING_ORDER} LIMIT 50")
+def findings_read(spark, sf_dir):
+    return fnd.fetch_findings(_findings(spark, sf_dir), fnd.FindingFilters(topic="origin", search="HE")).select("finding_id", "priority_level", "meeting_date", "source_id")
+
+
+@query(f"WITH {FINDINGS_SQL} SELECT finding_id, priority_level, meeting_date FROM f ORDER BY {_FINDING_ORDER} LIMIT 10")
+def top_findings10(spark, sf_dir):
+    return fnd.fetch_findings(_findings(spark, sf_dir), fnd.FindingFilters(limit=10)).select("finding_id", "priority_level", "meeting_date")
+
+
+def _display(c):
+    day = F.col("o_orderdate")
+    forms = [F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "MMMM d, yyyy"), F.date_format(day, "EEEE, MMMM d, yyyy"), F.date_format(day, "M/d/yyyy")]
+    case = F.when(c % 5 == 0, forms[0])
+    for i, f in enumerate(forms[1:], 1):
+        case = case.when(c % 5 == i, f)
+    return case.otherwise("to be announced")
+
+
+_DISPLAY_SQL = "CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%B %-d, %Y') WHEN 2 THEN strftime(o_orderdate, '%A, %B %-d, %Y') WHEN 3 THEN strftime(o_orderdate, '%-m/%-d/%Y') ELSE 'to be announced' END"
+_ISO_SQL = "CASE WHEN o_orderkey % 5 < 4 THEN strftime(o_orderdate, '%Y-%m-%d') END"
+
+
+@query(f"SELECT o_orderkey, {_DISPLAY_SQL} AS display, {_ISO_SQL} AS iso, CASE WHEN o_orderkey % 5 = 3 THEN strftime(o_orderdate, '%B %-d, %Y') END AS slash FROM orders")
+def date_normalise(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", _display(F.col("o_orderkey")).alias("display"))
+    return o.select("o_orderkey", "display", exprs.date_iso(F.col("display")).alias("iso"), exprs.slash_date(F.col("display")).alias("slash"))
+
+
+@query(f"""WITH b AS (SELECT o_orderkey, {_DISPLAY_SQL} AS meeting_date, CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '1999-01-01' END AS old, {_ISO_SQL} AS meeting_date_iso FROM orders)
+SELECT o_orderkey, meeting_date_iso, nullif(old, '') IS DISTINCT FROM meeting_date_iso AS changed FROM b""")
+def backfill_dates(spark, sf_dir):
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", _display(k).alias("meeting_date"), F.when(k % 3 == 0, "").when(k % 3 == 1, "1999-01-01").alias("meeting_date_iso"))
+    return store.backfill_dates(o).select("o_orderkey", "meeting_date_iso", "changed")
+
+
+@query(r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host, regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, host, path, regexp_extract(path, '(\.[A-Za-z0-9]+)$', 1) AS suffix, CASE WHEN host LIKE 'blog.%' THEN 'blog' WHEN host LIKE 'm.%' THEN 'mobile' WHEN regexp_matches(path, '\.html$') THEN 'page' ELSE 'other' END AS category FROM p""")
+def url_parts_and_category(spark, sf_dir):
+    parts = exprs.url_parts(F.col("url"))
+    p = table(spark, sf_dir, "pages").select("page_id", *[v.alias(k) for k, v in parts.items()])
+    return p.withColumn("category", F.when(F.col("host").startswith("blog."), "blog").when(F.col("host").startswith("m."), "mobile").when(F.col("path").endswith(".html"), "page").otherwise("other"))
+
+
+@query(r"""SELECT p_partkey, coalesce(nullif(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'document') AS slug,
+coalesce(nullif(trim(regexp_replace(p_name || ' #1', '[^A-Za-z0-9._-]+', '_', 'g'), '._'), ''), 'document') AS filename,
+replace(trim(regexp_replace(lower(replace(p_type, '&', 'and')), '[^a-z0-9]+', '-', 'g'), '-'), '-', '_') AS document_type FROM part""")
+def slug_and_filename(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", exprs.slugify(F.col("p_name")).alias("slug"), exprs.sanitize_filename(F.concat("p_name", F.lit(" #1"))).alias("filename"), exprs.document_type(F.col("p_type")).alias("document_type"))
+
+
+@query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS label, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1), 1) - 1 AS pos FROM pages)
+SELECT page_id, pos::INT AS pos, href, label FROM a""")
+def html_links(spark, sf_dir):
+    pattern = F.lit('<a href="([^"]*)">([^<]*)</a>')
+    p = table(spark, sf_dir, "pages").select("page_id", F.posexplode(F.arrays_zip(F.regexp_extract_all("html", pattern, 1).alias("href"), F.regexp_extract_all("html", pattern, 2).alias("label"))).alias("pos", "l"))
+    return p.select("page_id", "pos", "l.href", "l.label")
+
+
+@query()
+def html_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", exprs.html_to_text(F.col("html")).alias("text"))
+
+
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
+f AS (SELECT *, sum((length(line) < 12)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM l)
+SELECT doc_id, island::BIGINT AS island, count(*)::BIGINT AS lines, sum(length(line))::BIGINT AS chars FROM f WHERE island > 0 GROUP BY ALL""")
+def line_islands(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    starts = F.sum((F.char_length("line") < 12).cast("int")).over(Window.partitionBy("doc_id").orderBy("pos"))
+    return lines.withColumn("island", starts).where("island > 0").groupBy("doc_id", "island").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.char_length("line")).cast("long").alias("chars"))
+
+
+@query("SELECT conv_id, count(*)::BIGINT AS item_count, arg_min_null(role, turn) AS role, arg_min_null(text, turn) AS text, arg_max_null(text, turn) AS last_text FROM conversations GROUP BY conv_id")
+def message_first_last(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    last = c.groupBy("conv_id").agg(F.max_by("text", "turn").alias("last_text"))
+    return ranking.document_summaries(c, "conv_id", "turn", ["role", "text"]).join(last, "conv_id")
+
+
+@query(r"""SELECT doc_id, CASE WHEN regexp_matches(n, '\bminutes\b') THEN 'minutes' WHEN regexp_matches(n, '\b(presentation|slides?)\b') THEN 'presentation' WHEN regexp_matches(n, '\b(bylaws|charter|governance)\b') THEN 'governance_doc'
+WHEN contains(n, 'board letter') THEN 'board_letter' WHEN contains(n, 'resolution') THEN 'resolution' WHEN contains(n, 'agreement') THEN 'agreement' WHEN contains(n, 'motion') THEN 'motion' WHEN contains(n, 'report') THEN 'report' ELSE 'attachment' END AS role
+FROM (SELECT doc_id, lower(text) AS n FROM documents)""")
+def document_role(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", exprs.document_role(F.col("text")).alias("role"))
+
+
+@query("""WITH p AS (SELECT CASE page_id % 4 WHEN 0 THEN '/in/supporting_docs/' WHEN 1 THEN '/in/Canceled-' ELSE '/in/' END || page_id AS path FROM pages)
+SELECT reason, count(*)::BIGINT AS paths FROM (SELECT CASE WHEN contains(lower(split_part(path, '/', -1)), 'cancel') THEN 'cancellation' WHEN contains(path, '/supporting_docs/') THEN 'supporting_document' END AS reason FROM p) WHERE reason IS NOT NULL GROUP BY reason""")
+def screening_breakdown(spark, sf_dir):
+    k = F.col("page_id")
+    paths = table(spark, sf_dir, "pages").select(F.concat(F.when(k % 4 == 0, "/in/supporting_docs/").when(k % 4 == 1, "/in/Canceled-").otherwise("/in/"), k.cast("string")).alias("path"))
+    return screening.screening_breakdown(paths)
+
+
+@query("""SELECT e.event_id, e.event_type FROM events e LEFT JOIN (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END AS v FROM events WHERE event_id % 3 <> 0) s USING (event_id)
+WHERE s.event_id IS NULL OR s.v IS DISTINCT FROM e.value""")
+def changed_since_state(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    state = e.where("event_id % 3 <> 0").select("event_id", F.when(F.col("event_id") % 7 == 0, F.col("value") + 1).otherwise(F.col("value")).alias("value"))
+    return screening.changed_files(e, state, "event_id", ("value",)).select("event_id", "event_type")
+
+
+@query()
+def snapshot_thinning(spark, sf_dir):
+    return ranking.thin_snapshots(table(spark, sf_dir, "events").select("event_type", "ts"), "event_type", "ts")
+
+
+@query("""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders""")
+def upsert_merge(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    base, even = o.where("o_orderkey % 4 <> 2"), o.where("o_orderkey % 2 = 0")
+    batch = even.withColumn("pos", F.lit(1)).unionByName(even.withColumns({"pos": F.lit(2), "o_totalprice": F.col("o_totalprice") + 1}))
+    return store.upsert(base, store.last_per_key(batch, ["o_orderkey"], "pos"), ["o_orderkey"])
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 4 = 2 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders""")
+def meeting_partial_upsert(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    batch = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"), (-F.col("o_totalprice")).alias("o_totalprice"))
+    return store.upsert(o.where("o_orderkey % 4 <> 2"), batch, ["o_orderkey"], update=["o_totalprice"])
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE NOT (l_orderkey % 3 = 0 AND l_linenumber % 2 = 0)")
+def stale_children_delete(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    batch = li.where("l_orderkey % 3 = 0 AND l_linenumber % 2 <> 0")
+    only_even = li.where("l_orderkey % 3 = 0 AND l_linenumber % 2 = 0").select("l_orderkey", F.lit(-1).alias("l_linenumber"))
+    gone = store.stale_children(li, batch.unionByName(only_even), "l_orderkey", "l_linenumber")
+    return store.without(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), gone, ["l_orderkey", "l_linenumber"])
+
+
+_HEALTH_SQL = """h AS (SELECT n_nationkey, n_name, coalesce(c, 0)::BIGINT AS customers, coalesce(s, 0)::BIGINT AS suppliers, coalesce(o, 0)::BIGINT AS orders, latest FROM nation
+LEFT JOIN (SELECT c_nationkey, count(*) AS c FROM customer GROUP BY 1) ON n_nationkey = c_nationkey LEFT JOIN (SELECT s_nationkey, count(*) AS s FROM supplier GROUP BY 1) ON n_nationkey = s_nationkey
+LEFT JOIN (SELECT c_nationkey AS k, count(*) AS o, max(strftime(o_orderdate, '%Y-%m-%d')) AS latest FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1) ON n_nationkey = k)"""
+
+
+def _health(spark, sf_dir) -> DataFrame:
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    ordered = table(spark, sf_dir, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("iso"), F.lit("").alias("display")).join(customers.select(F.col("c_custkey").alias("o_custkey"), "n_nationkey"), "o_custkey")
+    rollups = [
+        health.per_source(customers, "n_nationkey", customers=F.count(F.lit(1))),
+        health.per_source(table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey"), "n_nationkey", suppliers=F.count(F.lit(1))),
+        health.per_source(ordered, "n_nationkey", orders=F.count(F.lit(1)), latest=health.latest_date("iso", "display")),
+    ]
+    return health.source_health(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "n_nationkey", rollups, ["customers", "suppliers", "orders"])
+
+
+@query(f"WITH {_HEALTH_SQL} SELECT * FROM h")
+def source_health(spark, sf_dir):
+    return _health(spark, sf_dir)
+
+
+@query(f"WITH {_HEALTH_SQL} SELECT count(*)::BIGINT AS sources, sum(customers)::BIGINT AS total_customers, sum(orders)::BIGINT AS total_orders, count(CASE WHEN suppliers > 0 THEN 1 END)::BIGINT AS active, count(CASE WHEN latest IS NULL THEN 1 END)::BIGINT AS silent FROM h")
+def dashboard_totals(spark, sf_dir):
+    return health.totals(_health(spark, sf_dir), ["customers", "orders"], {"active": F.col("suppliers") > 0, "silent": F.col("latest").isNull()})
+
+
+@query("""SELECT document_id, meeting_date_iso, source_id FROM (SELECT o_orderkey AS document_id, CASE WHEN o_orderkey % 10 = 0 THEN ' ' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS meeting_date_iso, o_orderstatus AS source_id, o_orderpriority AS cluster_name, '' AS meeting_date FROM orders)
+ORDER BY CASE WHEN trim(meeting_date_iso) <> '' THEN 0 ELSE 1 END, meeting_date_iso DESC NULLS LAST, meeting_date DESC NULLS LAST, source_id NULLS FIRST, cluster_name NULLS FIRST, document_id LIMIT 10""")
+def recent_top10(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("document_id"), F.when(F.col("o_orderkey") % 10 == 0, " ").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("meeting_date_iso"), F.lit("").alias("meeting_date"), F.col("o_orderstatus").alias("source_id"), F.col("o_orderpriority").alias("cluster_name"))
+    return health.recent_agendas(o).select("document_id", "meeting_date_iso", "source_id")
+
+
+@query("""SELECT 'unknown reference' AS problem, c_custkey::VARCHAR AS subject FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 20)
+UNION ALL SELECT 'repeated name', c_mktsegment FROM customer GROUP BY c_mktsegment HAVING count(*) > 1""")
+def registry_validation(spark, sf_dir):
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation").where("n_nationkey < 20")
+    lost = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left_anti").select(F.lit("unknown reference").alias("problem"), F.col("c_custkey").cast("string").alias("subject"))
+    twice = c.groupBy("c_mktsegment").count().where("count > 1").select(F.lit("repeated name").alias("problem"), F.col("c_mktsegment").alias("subject"))
+    return lost.unionByName(twice)
+
+
+@query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS n FROM documents) WHERE n <= 3")
+def first_n_per_scope(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return ranking.first_n_per_scope(d, "source", [F.desc("n_chars"), F.col("doc_id")], 3).select("doc_id", "source")
+
+
+@query(r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host, url FROM pages)
+SELECT host, arg_min(page_id, {'a': CASE WHEN contains(url, '.html') THEN 0 ELSE 1 END, 'b': lower(url), 'c': page_id}) AS page_id FROM p GROUP BY host""")
+def best_link(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", exprs.url_parts(F.col("url"))["host"].alias("host"), "url")
+    return ranking.first_per_key(p, ["host"], [F.when(F.col("url").contains(".html"), 0).otherwise(1), F.lower("url"), F.col("page_id")]).select("host", "page_id")
