@@ -187,16 +187,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], HITS)
 
 
+def leak_column(shared):
+    """A pandas UDF of the text: whether any item of a broadcast block occurs in it."""
+
+    @F.pandas_udf(T.BooleanType())
+    def leaks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = _matcher(shared)
+        for texts in parts:
+            yield pd.Series([bool(matcher.search(t)) for t in texts], dtype="bool")
+
+    return leaks
+
+
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs, columns unchanged, in which no item occurs."""
     for block in blocks(benchmark, block_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        @F.pandas_udf(T.BooleanType())
-        def leaks(parts: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            matcher = _matcher(shared)
-            for texts in parts:
-                yield pd.Series([bool(matcher.search(t)) for t in texts], dtype="bool")
-
-        docs = docs.where(~leaks(docs["text"]))
+        leaks = leak_column(docs.sparkSession.sparkContext.broadcast(block))
+        docs = docs.where(~leaks(docs["text"].cast("string")))
     return docs
