@@ -13,7 +13,7 @@ Operations Cluster
 A. Board Letter (Works) for June 09, 2026:
 BOARD LETTER
 AWARD CONTRACTS FOR MAINTENANCE
-OF ROADS
+OF ROADS.
 Speakers: Ann Lee and Bo Day
 - Cy Fox
 
