@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from meetloom.functions.exprs import date_iso
 
-MESSAGE = T.StructType.fromDDL("id string, from_ string, to array<string>, subject string, body string, email_ts string, attachments array<struct<filename:string,mime_type:string,content:string>>")
+_TEXT = T.StringType()
+_ATTACHMENT = T.StructType([T.StructField(n, _TEXT) for n in ("filename", "mime_type", "content")])
+MESSAGE = T.StructType([T.StructField("id", _TEXT), T.StructField("from_", _TEXT), T.StructField("to", T.ArrayType(_TEXT)), *[T.StructField(n, _TEXT) for n in ("subject", "body", "email_ts")], T.StructField("attachments", T.ArrayType(_ATTACHMENT))])
 
 # How links, subjects and senders are told apart.
 MARKDOWN_LINK = r"\[([^\]]+)\]\(((?:https?|file)://[^)]+)\)"
