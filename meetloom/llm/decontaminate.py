@@ -142,16 +142,14 @@ class Matcher:
         return sorted(out, key=lambda x: (x[0] is not None, x[0] or 0, x[1:]))
 
 
-_built: dict[int, Matcher] = {}
+_built: list[tuple[object, Matcher]] = []
 
 
 def _matcher(shared) -> Matcher:
-    """One automaton per broadcast and process."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _built:
-        _built.clear()
-        _built[key] = Matcher(shared.value)
-    return _built[key]
+    """One automaton per broadcast and process; the last broadcast is held, so that another can't be taken for it."""
+    if not _built or _built[0][0] is not shared:
+        _built[:] = [(shared, Matcher(shared.value))]
+    return _built[0][1]
 
 
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
