@@ -286,11 +286,21 @@ PARSERS: dict[str, Callable[[str, str], Document]] = {DEFAULT: parse_cluster_age
 def detect_parser(text: str, path: str) -> str:
     if any(x in SUPPORTING_PARTS for x in PurePosixPath((path or "").lower()).parts):
         return SUPPORTING
-    return PRIMEGOV if p.HTML_MARKER.search(text) else DEFAULT
+    from meetloom.extract import meetings, proceedings  # they add their parsers to the registry
+
+    if p.HTML_MARKER.search(text):
+        return PRIMEGOV
+    if p.PROCEEDINGS_MARKER.search(text) and "board of supervisors" in text.lower():
+        return PROCEEDINGS
+    if meetings.DEPUTIES_MARKER.search(text):
+        return meetings.DEPUTIES
+    return meetings.REGIONAL if meetings.REGIONAL_MARKER.search(text) else DEFAULT
 
 
 def extract(text: str, path: str = "", parser: str | None = None) -> Document:
     """The document's items by the named parser, else by what the text looks like. An unknown name raises KeyError."""
+    if parser and parser not in PARSERS:
+        detect_parser("", "")  # loads the registry
     doc = PARSERS[parser or detect_parser(text, path)](text, path)
     for item in doc.items:
         if item.action_text_raw is None or item.final_action is None:

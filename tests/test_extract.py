@@ -77,3 +77,40 @@ def test_unknown_parser_and_frames(spark):
         k.extract("x", parser="none")
     df = spark.createDataFrame([("a", AGENDA, None), ("b", None, None), ("c", "", None)], "path string, text string, parser string")
     assert [r["path"] for r in k.extract_items(df).collect()] == ["a"] * 4
+
+
+def test_proceedings():
+    text = """STATEMENT OF PROCEEDINGS FOR THE REGULAR MEETING OF THE Board of Supervisors
+Tuesday, April 14, 2026, 9:30 AM
+II. CONSENT CALENDAR
+3. Motion for tenant relief
+and more (26-1234)
+On motion of Supervisor Lee, seconded by Supervisor Day, this item was approved.
+Ayes: Supervisors Lee and Day
+4. no file number here
+the first line
+the second line
+the third line
+
+IV.
+PUBLIC HEARINGS
+12. Hearing on fees (26-2222)
+Opportunity was given for the public to address the Board
+Set Matter 1. Report on fire safety (26-3333)
+The foregoing is a fair statement of the proceedings
+5. never (26-4444)
+"""
+    doc = k.extract(text)
+    assert (doc.parser, doc.meeting_date, doc.document_role) == (k.PROCEEDINGS, "Tuesday, April 14, 2026", "proceedings")
+    assert [(x.section_title, x.item_label, x.item_type, x.motion_by, x.ayes_count) for x in doc.items] == [("CONSENT CALENDAR", "3", "board_motion", "Lee", 2), ("PUBLIC HEARINGS", "12", "public_hearing", None, None), ("PUBLIC HEARINGS", "1", "public_hearing", None, None)]
+    assert doc.items[0].title == "Motion for tenant relief and more"
+
+
+def test_regional_and_deputies():
+    regional = k.extract("AGENDA FOR THE REGULAR MEETING OF THE\nEXAMPLE COMMITTEE FOR REGIONAL HOMELESS ALIGNMENT\nKenneth Hahn Hall\nTHURSDAY, JUNE 5, 2025\n\nI. Reports.\n1. Budget report (25-0001)\nPage 2\nmore text\n2. Other\nChair: nobody\n")
+    assert (regional.body_name, regional.meeting_date) == ("Example Committee For Regional Homeless Alignment", "Thursday, June 5, 2025")
+    assert [(x.section_number, x.item_label, x.title) for x in regional.items] == [("I", "1", "Budget report"), ("I", "2", "Other")]
+    old = k.extract("HOMELESS POLICY DEPUTIES MEETING AGENDA\nDate: Thursday, June 12, 2025\nI. Welcome and Introductions: 2:00\nII. New Department Update: 2:10 - 2:30\nAnn Lee, Office\nAnn Lee\nVI. Adjournment\n")
+    assert [(x.section_number, x.title) for x in old.items] == [("II", "New Department Update")] and old.meeting_date == "Thursday, June 12, 2025"
+    new = k.extract("Homelessness & Housing Cluster\nDATE: May 14, 2026\nII. Items\na. Interim housing plan (2:00 - 2:15 pm)\nSpeakers: Bo Day\nb. Public comment\nNEXT MEETING: June\nc. never\n")
+    assert [(x.item_label, x.title, x.speakers) for x in new.items] == [("a", "Interim housing plan", ["Bo Day"])]
