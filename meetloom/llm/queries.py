@@ -80,7 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": OP10_SQL, "op5_chat_format": OP5_SQL}
+    return {"op10_url_filter": OP10_SQL, "op5_chat_format": OP5_SQL, "op9_imatch": OP9_SQL}
 
 
 OP10_SQL = r"""
@@ -112,3 +112,39 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length(role) + 12 + 1 + 10 + 1)::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+e AS (
+  SELECT doc_id, text, length(text) AS n_chars, coalesce(lead(text) OVER w, first_value(text) OVER w) AS after, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id
+  FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, text DESC)),
+s AS (
+  SELECT doc_id, 0 AS side, text AS body FROM e
+  UNION ALL SELECT doc_id, 1, left(text, n_chars - n_chars // 3) || left(after, n_chars // 3) FROM e),
+t AS (SELECT doc_id, side, body, list_distinct(regexp_split_to_array(lower(body), '[\x00-/:-@\[-`{-\x7F]+')) AS terms FROM s),
+x AS (SELECT doc_id, side, unnest(terms) AS term FROM t),
+lex AS (
+  SELECT term, list_filter(range(40), lambda i: ('0x' || left(md5(term || ':' || i), 3))::INT < (4096 >> (2 * (i // 8 + 1))::INT)) AS subsets
+  FROM x WHERE side = 0 AND term <> '' GROUP BY term
+  HAVING count(*) >= 0.0005 * (SELECT count(*) FROM documents) AND count(*) <= 0.02 * (SELECT count(*) FROM documents)),
+held AS (SELECT doc_id, side, term, subsets FROM x JOIN lex USING (term)),
+size AS (SELECT doc_id, side, count(*) AS n FROM held GROUP BY ALL),
+hashed AS (SELECT doc_id, side, i, left(md5(string_agg(term, ' ' ORDER BY term)), 4) AS h FROM (SELECT doc_id, side, term, unnest(subsets) AS i FROM held) GROUP BY ALL),
+slots AS (
+  SELECT t.doc_id, t.side, string_agg(coalesce(h, '0000'), '' ORDER BY r.i) AS slots
+  FROM t CROSS JOIN (SELECT unnest(range(40)) AS i) r LEFT JOIN hashed USING (doc_id, side, i) GROUP BY ALL),
+p AS (
+  SELECT t.doc_id, t.side, coalesce(n, 0) AS n, lower(printf('%08x', coalesce(n, 0)::INT)) || left(md5(array_to_string(list_sort(terms), ' ')), 8) || slots AS print
+  FROM t JOIN slots USING (doc_id, side) LEFT JOIN size USING (doc_id, side)),
+pairs AS (
+  SELECT e.doc_id, e.n_chars, sha256(se.body) AS edited_sha256, a.print AS fingerprint, b.print AS edited_fingerprint, a.n AS n_terms, greatest(a.n, b.n) AS most_edited, c.print AS next_print, greatest(a.n, c.n) AS most_next
+  FROM e JOIN s se ON se.doc_id = e.doc_id AND se.side = 1 JOIN p a ON a.doc_id = e.doc_id AND a.side = 0 JOIN p b ON b.doc_id = e.doc_id AND b.side = 1 JOIN p c ON c.doc_id = e.next_id AND c.side = 0),
+m AS (
+  SELECT *, list_filter(range(40), lambda i: (i >= 32 OR most_edited <= 2 * 4 ** (i // 8 + 1)) AND (substr(fingerprint, 17 + 4 * i, 4) <> '0000' OR substr(edited_fingerprint, 17 + 4 * i, 4) <> '0000')) AS met_e,
+         list_filter(range(40), lambda i: (i >= 32 OR most_next <= 2 * 4 ** (i // 8 + 1)) AND (substr(fingerprint, 17 + 4 * i, 4) <> '0000' OR substr(next_print, 17 + 4 * i, 4) <> '0000')) AS met_n
+  FROM pairs)
+SELECT doc_id, n_chars::BIGINT AS n_chars, edited_sha256, fingerprint, edited_fingerprint, n_terms::BIGINT AS n_terms,
+  CASE WHEN len(met_e) > 0 THEN len(list_filter(met_e, lambda i: substr(fingerprint, 17 + 4 * i, 4) = substr(edited_fingerprint, 17 + 4 * i, 4)))::DOUBLE / len(met_e) ELSE (left(fingerprint, 16) = left(edited_fingerprint, 16))::INT::DOUBLE END AS near_edited,
+  CASE WHEN len(met_n) > 0 THEN len(list_filter(met_n, lambda i: substr(fingerprint, 17 + 4 * i, 4) = substr(next_print, 17 + 4 * i, 4)))::DOUBLE / len(met_n) ELSE (left(fingerprint, 16) = left(next_print, 16))::INT::DOUBLE END AS near_next
+FROM m
+"""
