@@ -81,9 +81,9 @@ class Store:
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
     def pointers(self) -> dict[str, str]:
-        if not self.fs.exists(self._path("_current.json")):
+        if not self.fs.exists(self._path("current.json")):
             return {}
-        return json.loads("\n".join(r["value"] for r in self.spark.read.text(f"{self.root}/_current.json").collect()))
+        return json.loads("\n".join(r["value"] for r in self.spark.read.text(f"{self.root}/current.json").collect()))
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         """The current version; an absent table is an empty one."""
@@ -97,9 +97,11 @@ class Store:
             version = f"{name}/{uuid.uuid4().hex}"
             df.write.parquet(f"{self.root}/{version}")
             now[name] = version
-        staged, current = self._path("_next.json"), self._path("_current.json")
+        staged, current = self._path("next.json"), self._path("current.json")
         out = self.fs.create(staged, True)
         out.write(bytearray(json.dumps(now, sort_keys=True), "utf-8"))
         out.close()
-        self.fs.delete(current, False)
-        self.fs.rename(staged, current)
+        jvm, kind = self.spark._jvm, getattr(self.spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(kind, 1)
+        how[0] = kind.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(current.toUri(), self.spark._jsc.hadoopConfiguration()).rename(staged, current, how)
