@@ -32,6 +32,8 @@ from meetloom.llm.common import ascii_lower, saved
 
 SAMPLE_DOCS, SAMPLE_BYTES = 3_000, 24 << 20
 BUCKETS, TEXT_WEIGHT, SMOOTHING = 1 << 16, 64.0, 4.0
+#: Votes that stand for a right and for each wrong declaration before the corpus is counted.
+DECLARED_RIGHT, DECLARED_WRONG = 4.0, 0.25
 LEAST_POSTERIOR = 0.5
 BROADCAST_HOSTS = 50_000
 
@@ -130,7 +132,8 @@ class Fusion:
         self.declared = {}
         for d in [*langs, "other"]:
             got = next((r for r in spoken if r["declared"] == d), None)
-            self.declared[d] = [((got[f"v{i}"] if got else 0) + 1) / (sum(r[f"v{i}"] for r in spoken) + len(langs) + 1) for i in range(len(langs))]
+            trust = [DECLARED_RIGHT if d == lang else DECLARED_WRONG for lang in langs]
+            self.declared[d] = [((got[f"v{i}"] if got else 0) + trust[i]) / (sum(r[f"v{i}"] for r in spoken) + DECLARED_RIGHT + len(langs) * DECLARED_WRONG) for i in range(len(langs))]
         at_suffix = self._smoothed(by_host.groupBy("suffix").agg(*sums), [F.lit(x) for x in overall])
         at_domain = self._smoothed(by_host.groupBy("domain", "suffix").agg(*sums).join(at_suffix, "suffix"), [F.col(f"p{i}") for i in range(len(langs))])
         table = by_host.join(at_domain.drop("suffix"), "domain").select("host", *[F.col(f"v{i}").alias(f"h{i}") for i in range(len(langs))], F.col("n").alias("hn"), *[F.col(f"p{i}").alias(f"d{i}") for i in range(len(langs))])

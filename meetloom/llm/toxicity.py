@@ -70,8 +70,10 @@ class ToxicityModel:
 
     def score(self, text: str | None) -> float:
         total = self.bias
+        if not np.isfinite(total):
+            return float(total > 0)
         known = [x[self.weight[x] != 0] for x in hashed(text)]
-        if known and np.isfinite(total):
+        if known:
             total += float(self.weight[np.unique(np.concatenate(known))].sum(dtype=np.float64))
         return float(1 / (1 + np.exp(-np.clip(total, -700, 700))))
 
