@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from meetloom.llm.common import small_batches
+
 #: Fixed values of the public byte-level pre-tokenizer: its pattern, and the printable bytes that stand for themselves.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -174,6 +176,7 @@ class Bpe:
 
 def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode every whole text; one row per row of docs, in one pass without a shuffle."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.load(tokenizer)
@@ -191,6 +194,7 @@ def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
 
 def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids array<int>: the operator's full output, for writing token files."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.load(tokenizer)

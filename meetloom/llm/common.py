@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BATCH_ROWS = 1_000
 
 
 def ascii_lower(c: Column) -> Column:
@@ -36,6 +37,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python steps over whole texts get at most BATCH_ROWS rows at once: ten thousand long texts would fill a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def training_part(key: Column, parts: int, held_out: int) -> Column:
     """True for rows that may be learned from: crc32 of the key as text, mod parts, is not held_out. A null key counts as ''."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts != held_out

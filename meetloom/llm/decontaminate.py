@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meetloom.llm.common import small_batches
+
 PIECE, LEAST = 16, 24
 BLOCK_CHARS = 8 << 20
 HITS = "doc_id long, item_id long, distance int, begins int, ends int"
@@ -169,6 +171,7 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[lis
 def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, distance, begins, ends: one row per row of docs and item that occurs in it within its budget."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
     def search(shared):
@@ -199,6 +202,7 @@ def leak_column(shared):
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs, columns unchanged, in which no item occurs."""
+    small_batches(docs.sparkSession)
     for block in blocks(benchmark, block_chars):
         leaks = leak_column(docs.sparkSession.sparkContext.broadcast(block))
         docs = docs.where(~leaks(docs["text"].cast("string")))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meetloom.llm.common import ascii_lower, saved
+from meetloom.llm.common import ascii_lower, saved, small_batches
 
 SAMPLE_DOCS, SAMPLE_BYTES = 3_000, 24 << 20
 BUCKETS, TEXT_WEIGHT, SMOOTHING = 1 << 16, 64.0, 4.0
@@ -105,6 +105,7 @@ def url_host(url: Column) -> Column:
 def text_evidence_column(spark, model: TextModel):
     """A pandas UDF of the text: struct of ll (tempered log-likelihoods) and n (trigrams)."""
     shared = spark.sparkContext.broadcast(model)
+    small_batches(spark)
     kind = T.StructType([T.StructField("ll", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType())])
 
     @F.pandas_udf(kind)

@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meetloom.llm.common import lower_words, saved
+from meetloom.llm.common import lower_words, saved, small_batches
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints a prefix has on average before its neighbours come to it; variants that are sorted at once.
 PER_PREFIX, AT_ONCE = 64, 4_000_000
+BROADCAST_KEYS = 500_000
 
 
 def simhash(text: str | None, words_each: int = SHINGLE) -> int:
@@ -205,17 +206,23 @@ def _mark(edges: DataFrame) -> tuple:
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """doc_id, fp for every row, computed once."""
+    small_batches(docs.sparkSession)
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return saved(docs.select("doc_id", fingerprint_column()("text").alias("fp")))
 
 
-def component_of(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """prints (doc_id, fp) -> (fp, component_id): the least doc_id that each fingerprint reaches."""
+def rooted(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """prints (doc_id, fp) -> (fp, root, least): each fingerprint's component and its own least doc_id."""
     fps = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(fps.select("fp"), radius))
-    rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def component_of(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """prints (doc_id, fp) -> (fp, component_id): the least doc_id that each fingerprint reaches."""
+    fps = rooted(prints, radius)
+    least = fps.groupBy("root").agg(F.min("least").alias("component_id"))
+    return fps.join(least, "root").select("fp", "component_id")
 
 
 def near_duplicate_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -225,12 +232,22 @@ def near_duplicate_components(docs: DataFrame, radius: int = RADIUS) -> DataFram
 
 
 def keep_one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of docs of each component, columns unchanged: the least doc_id's (null ids last), then the least fingerprint's; of rows equal in both, any one."""
+    """One row of docs of each component, columns unchanged: the least doc_id's (null ids last), then the least fingerprint's; of
+    rows equal in both, any one. Only keys of rows to drop or repeated are looked up, by broadcast if they are at most BROADCAST_KEYS."""
     prints = fingerprint_documents(docs)
-    by_fp = component_of(prints, radius)
+    keys = prints.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "fp")
-    kept = prints.distinct().join(by_fp, "fp").groupBy("component_id").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.fp").alias("__fp"))
+    best = keys.join(rooted(prints, radius).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("b_id"), F.col("k.fp").alias("b_fp"))
+    judged = keys.join(best, keys["doc_id"].eqNullSafe(best["b_id"]) & (keys["fp"] == best["b_fp"]), "left")
+    odd = saved(judged.where("b_fp is null or n > 1").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__key"), F.col("b_fp").isNotNull().alias("__again")))
+    again = odd.where("__again")
+    repeated = again.limit(1).count() > 0
+    if odd.count() <= BROADCAST_KEYS:
+        odd, again = F.broadcast(odd), F.broadcast(again)
     rows = docs.withColumn("__fp", fingerprint_column()(docs["text"].cast("string")))
-    key = rows["doc_id"].cast("long")
-    marked = rows.join(kept.withColumn("__kept", F.lit(True)), key.eqNullSafe(kept["__id"]) & (rows["__fp"] == kept["__fp"]), "left_semi")
-    return marked.withColumn("__key", F.col("doc_id").cast("long")).dropDuplicates(["__key", "__fp"]).select(*docs.columns)
+    same = rows["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (rows["__fp"] == F.col("__key"))
+    kept = rows.join(odd, same, "left_anti").select(*docs.columns)
+    if not repeated:
+        return kept
+    once = rows.join(again, same, "left_semi").withColumn("__id", F.col("doc_id").cast("long")).dropDuplicates(["__id", "__fp"])
+    return kept.unionByName(once.select(*docs.columns))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meetloom.llm.common import training_part
+from meetloom.llm.common import small_batches, training_part
 
 SAMPLE_DOCS, SAMPLE_BYTES = 4_000, 48 << 20
 SIZES, BUCKET_BITS = (5, 6, 8), 22
@@ -135,6 +135,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out
 def score_column(spark, model: ToxicityModel):
     """A pandas UDF of the text column; the weights (16 MB) travel as one broadcast."""
     shared = spark.sparkContext.broadcast(model)
+    small_batches(spark)
 
     @F.pandas_udf(T.DoubleType())
     def toxicity(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
