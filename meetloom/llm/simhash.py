@@ -232,19 +232,25 @@ def near_duplicate_components(docs: DataFrame, radius: int = RADIUS) -> DataFram
 
 
 def keep_one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of docs of each component, columns unchanged: the least doc_id's (null ids last), then the least fingerprint's; of
-    rows equal in both, any one. Only keys of rows to drop or repeated are looked up, by broadcast if they are at most BROADCAST_KEYS."""
+    """One row of docs of each component, columns unchanged."""
     prints = fingerprint_documents(docs)
+    return keep_first(docs, prints, rooted(prints, radius).select("fp", "root"), fingerprint_column())
+
+
+def keep_first(docs: DataFrame, prints: DataFrame, roots: DataFrame, print_of) -> DataFrame:
+    """prints (doc_id, fp) of docs, roots (fp, root). One row of each root: the least doc_id's (null ids last), then the least
+    fingerprint's; of rows equal in both, any one. Only keys of rows to drop or repeated are looked up, by broadcast if they are
+    at most BROADCAST_KEYS; only rows with such an id are fingerprinted again."""
     keys = prints.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "fp")
-    best = keys.join(rooted(prints, radius).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("b_id"), F.col("k.fp").alias("b_fp"))
+    best = keys.join(roots, "fp").groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("b_id"), F.col("k.fp").alias("b_fp"))
     judged = keys.join(best, keys["doc_id"].eqNullSafe(best["b_id"]) & (keys["fp"] == best["b_fp"]), "left")
     odd = saved(judged.where("b_fp is null or n > 1").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__key"), F.col("b_fp").isNotNull().alias("__again")))
-    again = odd.where("__again")
+    again, ids = odd.where("__again"), odd.select(F.col("__id").alias("__odd"), F.lit(True).alias("__hit")).distinct()
     repeated = again.limit(1).count() > 0
     if odd.count() <= BROADCAST_KEYS:
-        odd, again = F.broadcast(odd), F.broadcast(again)
-    rows = docs.withColumn("__fp", fingerprint_column()(docs["text"].cast("string")))
+        odd, again, ids = F.broadcast(odd), F.broadcast(again), F.broadcast(ids)
+    rows = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("__odd")), "left").withColumn("__fp", print_of(F.when(F.col("__hit"), docs["text"].cast("string"))))
     same = rows["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (rows["__fp"] == F.col("__key"))
     kept = rows.join(odd, same, "left_anti").select(*docs.columns)
     if not repeated:
