@@ -125,9 +125,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out
     texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     out, size = [], 0
     for r in texts.toLocalIterator():
-        size += len(r["text"])
-        if size > SAMPLE_BYTES or len(out) >= SAMPLE_DOCS:
+        if len(out) >= SAMPLE_DOCS:
             break
+        if size + len(r["text"]) > SAMPLE_BYTES:  # a text that does not fit leaves room for those after it
+            continue
+        size += len(r["text"])
         out.append((r["text"], r["toxic"]))
     return out
 
