@@ -42,7 +42,7 @@ from meetloom.llm.common import lower_words, saved, stored, training_part
 
 SYMBOLS, TAILS, CLASSES = 256, 64, 16
 #: RATE is the share of a diagonal Newton step; PENALTY is that of squared weights.
-BUCKETS, ROUNDS, RATE, PENALTY = 1 << 12, 8, 0.5, 5.0
+BUCKETS, ROUNDS, RATE, PENALTY = 1 << 14, 10, 0.5, 5.0
 FREQUENT, GRADIENT_PARTS = 1e-6, 4
 END = b""  # the end's key among the counts; no word is empty
 CHUNK_CHARS, KEPT_TOKENS = 2 << 20, 300_000
@@ -191,7 +191,8 @@ def _by_feature(f: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def gradient(model: MaxEnt, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, expected, observed): sums over these events, rows of CLASSES + SYMBOLS columns."""
     contexts, at = np.unique(context, return_inverse=True)
-    features, expected, observed = [], [], []
+    total = np.zeros((BUCKETS, 2 * (CLASSES + SYMBOLS)))  # one sum for all blocks of contexts: a block's rows are not kept
+    met = np.zeros(BUCKETS, bool)
     for low in range(0, len(contexts), 1024):
         here = contexts[low : low + 1024]
         mine = (at >= low) & (at < low + 1024)
@@ -201,16 +202,11 @@ def gradient(model: MaxEnt, context: np.ndarray, symbol: np.ndarray, n: np.ndarr
         c, s = model.log_parts(here)
         want_c = np.exp(c) * in_class.sum(1, keepdims=True)
         want_s = np.exp(s) * np.repeat(in_class, SYMBOLS // CLASSES, 1)
-        f = context_features(here)
-        rows, both = _by_feature(f, np.concatenate([want_c, want_s, in_class, seen], 1))
-        features.append(rows)
-        expected.append(both[:, : CLASSES + SYMBOLS])
-        observed.append(both[:, CLASSES + SYMBOLS :])
-    if not features:
-        return np.empty(0, np.int64), np.empty((0, CLASSES + SYMBOLS)), np.empty((0, CLASSES + SYMBOLS))
-    f = np.concatenate(features)
-    rows, both = _by_feature(f[:, None], np.concatenate([np.concatenate(expected), np.concatenate(observed)], 1))
-    return rows, both[:, : CLASSES + SYMBOLS], both[:, CLASSES + SYMBOLS :]
+        rows, both = _by_feature(context_features(here), np.concatenate([want_c, want_s, in_class, seen], 1))
+        total[rows] += both
+        met[rows] = True
+    rows = np.flatnonzero(met)
+    return rows, total[rows, : CLASSES + SYMBOLS], total[rows, CLASSES + SYMBOLS :]
 
 
 def packed(f: np.ndarray, mass: np.ndarray, values: np.ndarray) -> bytes:
