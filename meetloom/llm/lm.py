@@ -9,14 +9,16 @@ each + 1 for what was never seen), so the model is a distribution over all words
 P(symbol | two symbols before) = P(class | ..) * P(symbol | class, ..), both softmaxes over
 the hashed features: bias, last symbol, skip (the symbol before it), and the pair. Weights
 are learned by rounds of distributed gradient updates: the events (context, symbol, count)
-of all training texts are one aggregated table; each of GRADIENT_PARTS tasks computes the
-model's expectations on its contexts and returns the difference for the features it met,
-and the driver takes a damped diagonal Newton step on every weight, with an L2 penalty. Model, events
-and gradients are bounded by SYMBOLS and BUCKETS, whatever the corpus' size.
+of all training texts are one aggregated table, pre-aggregated by task; each part of it
+computes the model's expectations on its contexts, the differences are summed up by runs of
+features in a second step, and the driver, which gets one packed sum of the model's size,
+takes a damped diagonal Newton step on every weight, with an L2 penalty. Model, events and
+gradients are bounded by SYMBOLS and BUCKETS, whatever the corpus' size.
 
 Scoring runs in sparse numpy batches: a batch's distinct contexts gather their weight rows
 once. Words as frequent as FREQUENT (at most 1/FREQUENT of them, a bounded broadcast) are
-looked up in the task; only rarer ones are joined with the counts by a shuffle.
+looked up in the task; only rarer ones are joined with the counts by a shuffle. A worker
+holds one index of those words, and one running sum of gradients or of events.
 
 Null text counts as empty (one token, the end). A null id counts as ''. Without training
 text, counts are 0 and scores follow from that. Repeated rows give repeated results; other columns are ignored.
@@ -29,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -38,14 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meetloom.llm.common import lower_words, saved, stored, training_part
+from meetloom.llm.common import held_one, lower_words, saved, small_batches, stored, text_slices, training_part
 
 SYMBOLS, TAILS, CLASSES = 256, 64, 16
 #: RATE is the share of a diagonal Newton step; PENALTY is that of squared weights.
 BUCKETS, ROUNDS, RATE, PENALTY = 1 << 14, 10, 0.5, 5.0
-FREQUENT, GRADIENT_PARTS = 1e-6, 4
+#: A part of the events per so many of them, between the least and the most parts; runs of features that are summed up together.
+FREQUENT, PART_EVENTS, PARTS, RUNS = 4e-6, 500_000, (8, 256), 16
 END = b""  # the end's key among the counts; no word is empty
-CHUNK_CHARS, KEPT_TOKENS = 2 << 20, 300_000
+KEPT_TOKENS, KEPT_EVENTS = 200_000, 2_000_000
 
 
 def tail_of(word: bytes) -> int:
@@ -62,7 +66,7 @@ def context_features(context: np.ndarray) -> np.ndarray:
 
 @dataclass
 class MaxEnt:
-    """Symbols are ordered so that each class is a run of SYMBOLS // CLASSES of them. A head word's id is its symbol."""
+    """Symbols are ordered so that each class is a run of SYMBOLS // CLASSES of them. A head word's id is its symbol; the end's is 0."""
 
     head: dict[bytes, int]
     by_class: np.ndarray = field(default_factory=lambda: np.zeros((BUCKETS, CLASSES), np.float32))
@@ -89,17 +93,10 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
     """(index of the first, words of each) for runs of texts of bounded size."""
-    at, held, size = 0, [], 0
-    for i, t in enumerate(texts):
-        held.append(lower_words(t))
-        size += len(t or "")
-        if size >= CHUNK_CHARS:
-            yield at, held
-            at, held, size = i + 1, [], 0
-    if held:
-        yield at, held
+    for at, some in text_slices(texts):
+        yield at, list(map(lower_words, some))
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
@@ -112,9 +109,10 @@ def count_tokens(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], ["token", "n"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                held.update(lower_words(t))
-                held[END] += 1
+            for _, words in _chunks(batch.column(0)):
+                for ws in words:
+                    held.update(ws)
+                held[END] += len(words)
                 if len(held) > KEPT_TOKENS:
                     yield out()
                     held.clear()
@@ -141,43 +139,57 @@ def tail_totals(counts: DataFrame, head: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _contexts(y: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Each token's two symbols before it, coded; y are the symbols of texts of these lengths, ends included, and the end's symbol is 0."""
+    one, two = np.zeros_like(y), np.zeros_like(y)
+    one[1:], two[2:] = y[:-1], y[:-2]
+    two[(np.cumsum(length) - length)] = 0
+    return two * SYMBOLS + one
+
+
 def _coded(model: MaxEnt, symbol_of: dict[bytes, int], words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts, symbols and text numbers of all tokens of some texts, ends included."""
-    end = model.head[END]
     flat: list[int] = []
     for ws in words:
         flat += [symbol_of[w] if w in symbol_of else model.tail_symbol(w) for w in ws]
-        flat.append(end)
-    y = np.array(flat, np.int64)
-    length = np.array([len(ws) + 1 for ws in words])
-    start = np.cumsum(length) - length
-    one, two = np.empty_like(y), np.empty_like(y)
-    one[0], one[1:] = end, y[:-1]
-    two[:1], two[1:] = end, one[:-1]
-    two[start] = end
-    return two * SYMBOLS + one, y, np.repeat(np.arange(len(words)), length)
+        flat.append(0)
+    y, length = np.array(flat, np.int64), np.array([len(ws) + 1 for ws in words])
+    return _contexts(y, length), y, np.repeat(np.arange(len(words)), length)
 
 
 def count_events(texts: DataFrame, model: MaxEnt) -> DataFrame:
-    """context, symbol, n over all texts, computed once, contexts whole in GRADIENT_PARTS partitions."""
+    """context, symbol, n over all texts, computed once, contexts whole in their partitions. Tasks pre-aggregate before the shuffle."""
     shared = texts.sparkSession.sparkContext.broadcast(model.head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = MaxEnt(shared.value, np.empty((0, 0)), np.empty((0, 0)))
+        held = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(held[0] // SYMBOLS), pa.array(held[0] % SYMBOLS), pa.array(held[1])], ["context", "symbol", "n"])
+
         for batch in batches:
-            codes, counts = [], []
-            for _, words in _chunks(batch.column(0).to_pylist()):
+            for _, words in _chunks(batch.column(0)):
                 context, y, _ = _coded(m, m.head, words)
-                code, n = np.unique(context * SYMBOLS + y, return_counts=True)
-                codes.append(code)
-                counts.append(n)
-            if codes:
-                code, at = np.unique(np.concatenate(codes), return_inverse=True)
-                n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(code // SYMBOLS), pa.array(code % SYMBOLS), pa.array(n)], ["context", "symbol", "n"])
+                held = merged(held, np.unique(context * SYMBOLS + y, return_counts=True))
+                if len(held[0]) > KEPT_EVENTS:
+                    yield out()
+                    held = held[0][:0], held[1][:0]
+        yield out()
 
     events = texts.select("text").mapInArrow(run, "context long, symbol long, n long")
-    return saved(events.groupBy("context", "symbol").agg(F.sum("n").alias("n")).repartition(GRADIENT_PARTS, "context"))
+    events = stored(events.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "lm-events")
+    parts = min(PARTS[1], max(PARTS[0], events.count() // PART_EVENTS))
+    return saved(events.repartition(parts, "context"))
+
+
+def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two (sorted codes, counts) as one."""
+    code = np.concatenate([a[0], b[0]])
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], np.concatenate([a[1], b[1]]).astype(np.int64)[order]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.empty(0, np.int64)
+    return code[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _by_feature(f: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,60 +200,80 @@ def _by_feature(f: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return features, np.add.reduceat(d[row[order]], start, axis=0)
 
 
-def gradient(model: MaxEnt, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, expected, observed): sums over these events, rows of CLASSES + SYMBOLS columns."""
-    contexts, at = np.unique(context, return_inverse=True)
-    total = np.zeros((BUCKETS, 2 * (CLASSES + SYMBOLS)))  # one sum for all blocks of contexts: a block's rows are not kept
-    met = np.zeros(BUCKETS, bool)
-    for low in range(0, len(contexts), 1024):
-        here = contexts[low : low + 1024]
-        mine = (at >= low) & (at < low + 1024)
-        seen = np.zeros((len(here), SYMBOLS))
-        seen[at[mine] - low, symbol[mine]] = n[mine]  # an event is one row
-        in_class = seen.reshape(len(here), CLASSES, -1).sum(2)
+def gradient(model: MaxEnt, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slope, seen): observed less expected, and observed, sums over these events by feature, CLASSES + SYMBOLS columns."""
+    order = np.argsort(context, kind="stable")
+    context, symbol, n = context[order], symbol[order], n[order]
+    contexts, first = np.unique(context, return_index=True)
+    first = np.append(first, len(context))
+    slope, seen = (np.zeros((BUCKETS, CLASSES + SYMBOLS), np.float32) for _ in range(2))  # running sums: no block's rows are kept
+    for low in range(0, len(contexts), 512):
+        here = contexts[low : low + 512]
+        mine = slice(first[low], first[min(low + 512, len(contexts))])
+        got = np.zeros((len(here), SYMBOLS))
+        got[np.searchsorted(here, context[mine]), symbol[mine]] = n[mine]  # an event is one row
+        in_class = got.reshape(len(here), CLASSES, -1).sum(2)
         c, s = model.log_parts(here)
-        want_c = np.exp(c) * in_class.sum(1, keepdims=True)
-        want_s = np.exp(s) * np.repeat(in_class, SYMBOLS // CLASSES, 1)
-        rows, both = _by_feature(context_features(here), np.concatenate([want_c, want_s, in_class, seen], 1))
-        total[rows] += both
-        met[rows] = True
-    rows = np.flatnonzero(met)
-    return rows, total[rows, : CLASSES + SYMBOLS], total[rows, CLASSES + SYMBOLS :]
+        both = np.concatenate([in_class, got], 1)
+        apart = both - np.concatenate([np.exp(c) * in_class.sum(1, keepdims=True), np.exp(s) * np.repeat(in_class, SYMBOLS // CLASSES, 1)], 1)
+        f = context_features(here)
+        for total, part in ((slope, apart), (seen, both)):
+            rows, sums = _by_feature(f, part)
+            total[rows] += sums
+    return slope, seen
 
 
-def packed(f: np.ndarray, mass: np.ndarray, values: np.ndarray) -> bytes:
-    """Rows of sums by feature, per event of the feature and in half precision, which is ample for a gradient."""
-    rows = (values / (mass[:, None] + 1)).astype(np.float16)
-    return zstandard.compress(b"".join([np.int32(len(f)).tobytes(), f.astype(np.int32).tobytes(), mass.astype(np.float32).tobytes(), np.ascontiguousarray(rows).tobytes()]))
+def packed(values: np.ndarray, mass: np.ndarray) -> bytes:
+    """Sums by feature as one message: the rows that have a mass, per event of the feature and in half precision, which is ample for a gradient."""
+    rows = np.flatnonzero(mass)
+    small = (values[rows] / (mass[rows, None] + 1)).astype(np.float16)
+    return zstandard.compress(b"".join([np.int32(len(rows)).tobytes(), rows.astype(np.int32).tobytes(), mass[rows].astype(np.float32).tobytes(), np.ascontiguousarray(small).tobytes()]))
 
 
-def add_packed(raw: bytes, total: np.ndarray) -> None:
+def add_packed(raw: bytes, total: np.ndarray, mass: np.ndarray | None = None) -> None:
     raw = zstandard.decompress(raw)
     n = int(np.frombuffer(raw, np.int32, 1)[0])
-    f, mass = np.frombuffer(raw, np.int32, n, 4), np.frombuffer(raw, np.float32, n, 4 + 4 * n)
-    total[f] += np.frombuffer(raw, np.float16, -1, 4 + 8 * n).reshape(n, -1).astype(np.float32) * (mass[:, None] + 1)
+    f, m = np.frombuffer(raw, np.int32, n, 4), np.frombuffer(raw, np.float32, n, 4 + 4 * n)
+    total[f] += np.frombuffer(raw, np.float16, -1, 4 + 8 * n).reshape(n, CLASSES + SYMBOLS).astype(np.float32) * (m[:, None] + 1)
+    if mass is not None:
+        mass[f] += m
 
 
 def train(events: DataFrame, model: MaxEnt, rounds: int = ROUNDS) -> MaxEnt:
-    """Rounds of distributed gradient updates: the model is broadcast, each task returns its features' gradient (and, in the
-    first round, the observed counts that scale the steps), packed; together at most GRADIENT_PARTS models in half precision."""
+    """Rounds of distributed gradient updates: the model is broadcast, each part sends its gradient (in the first round, the observed
+    counts that scale the steps too) packed in RUNS runs of features, each run is summed up by one task, and the driver receives the sums."""
     spark = events.sparkSession
-    seen = np.zeros((BUCKETS, CLASSES + SYMBOLS), np.float32)
+    width, runs = CLASSES + SYMBOLS, np.array_split(np.arange(BUCKETS), RUNS)
+    kind = "run int, slope binary, seen binary"
+    seen = np.zeros((BUCKETS, width), np.float32)
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(model)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=k == 0) -> Iterator[pa.RecordBatch]:
+        def part(batches: Iterator[pa.RecordBatch], shared=shared, first=k == 0) -> Iterator[pa.RecordBatch]:
             parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(3)] for b in batches]
             if parts:
-                f, want, got = gradient(shared.value, *(np.concatenate([p[i] for p in parts]) for i in range(3)))
+                slope, got = gradient(shared.value, *(np.concatenate([p[i] for p in parts]) for i in range(3)))
                 mass = got[:, :CLASSES].sum(1)
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (packed(f, mass, got - want), packed(f, mass, got) if first else None)], ["slope", "seen"])
+                for i, rows in enumerate(runs):
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x], pa.binary()) for x in (packed(slope[rows], mass[rows]), packed(got[rows], mass[rows]) if first else None))], ["run", "slope", "seen"])
+
+        def summed(batches: Iterator[pa.RecordBatch], first=k == 0) -> Iterator[pa.RecordBatch]:
+            totals: dict[int, list[np.ndarray]] = {}
+            for b in batches:
+                for i, raw, got in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    if i not in totals:
+                        totals[i] = [np.zeros((len(runs[i]), width), np.float32) for _ in range(1 + first)] + [np.zeros(len(runs[i]), np.float32)]
+                    add_packed(raw, totals[i][0], totals[i][-1])
+                    if first:
+                        add_packed(got, totals[i][1])
+            for i, (*sums, mass) in totals.items():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([packed(s, mass)], pa.binary()) for s in sums), *([] if first else [pa.array([None], pa.binary())])], ["run", "slope", "seen"])
 
         slope = np.zeros_like(seen)
-        for r in events.mapInArrow(run, "slope binary, seen binary").collect():
-            add_packed(r["slope"], slope)
+        for r in events.mapInArrow(part, kind).repartition(RUNS, "run").mapInArrow(summed, kind).toLocalIterator():
+            add_packed(r["slope"], slope[runs[r["run"]][0] :])
             if r["seen"]:
-                add_packed(r["seen"], seen)
+                add_packed(r["seen"], seen[runs[r["run"]][0] :])
         for weight, cols in ((model.by_class, slice(None, CLASSES)), (model.by_symbol, slice(CLASSES, None))):
             g, s = slope[:, cols], seen[:, cols]
             weight += RATE * (g - PENALTY * weight) / (np.maximum(s, s - g) + PENALTY)  # the larger of observed and expected
@@ -249,55 +281,85 @@ def train(events: DataFrame, model: MaxEnt, rounds: int = ROUNDS) -> MaxEnt:
     return model
 
 
+@dataclass
+class Words:
+    """The frequent words as one index: place[word] leads to its count and symbol; tails are the log10 of the groups' totals."""
+
+    model: MaxEnt
+    words: list[bytes]
+    n: np.ndarray
+    tails: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.place: dict[bytes, int] = {}
+
+    def indexed(self) -> Words:
+        if not self.place:
+            self.place = {w: i for i, w in enumerate(self.words)}
+            self.words = []
+            self.log_n = np.log10(self.n + 1.0)
+            self.symbol = np.array([self.model.head[w] if w in self.model.head else self.model.tail_symbol(w) for w in self.place], np.int32)
+            self.alone = np.array([w not in self.model.head for w in self.place], bool)
+        return self
+
+
 def score_documents(docs: DataFrame, parts: int = 7, held_out: int = 2, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per row of docs, logs to base 10."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     training = docs.where(training_part(F.col("doc_id"), parts, held_out)).select("text")
     counts = count_tokens(training)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = {r["token"].encode(): r["n"] for r in counts.where(F.col("n") >= FREQUENT * total).collect()}  # at most 1/FREQUENT
-    top = sorted(((n, w) for w, n in frequent.items() if w != END), key=lambda x: (-x[0], x[1]))[: SYMBOLS - TAILS - 1]
-    model = MaxEnt({END: 0, **{w: i + 1 for i, (_, w) in enumerate(top)}})
+    frequent = counts.where(F.col("n") >= FREQUENT * total).orderBy(F.desc("n"), F.col("token").cast("binary")).toPandas()  # at most 1/FREQUENT rows
+    words = [w.encode() for w in frequent["token"]]
+    top = [w for w in words if w != END][: SYMBOLS - TAILS - 1]
+    model = MaxEnt({END: 0, **{w: i + 1 for i, w in enumerate(top)}})
     tails = tail_totals(counts, model.head)
     if total:
         model = train(count_events(training, model), model, rounds)
-
-    log_n, log_tails = math.log10(total + distinct + 1), np.log10(np.array(tails, np.float64))
-    known = {w: (n, model.head[w] if w in model.head else model.tail_symbol(w)) for w, n in frequent.items()}
-    shared = spark.sparkContext.broadcast((model, known))
+    log_n = math.log10(total + distinct + 1)
+    shared = spark.sparkContext.broadcast(Words(model, words, frequent["n"].to_numpy(np.int64), np.log10(np.array(tails, np.float64))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = shared.value
-        symbol_of = {w: s for w, (_, s) in known.items()} | m.head
-        log_of = {w: math.log10(n + 1) for w, (n, _) in known.items()}
-        table, filled = np.empty((SYMBOLS * SYMBOLS, SYMBOLS), np.float32), np.zeros(SYMBOLS * SYMBOLS, bool)
+        known = shared.value.indexed()
+        m, place = known.model, known.place
+        table, filled = held_one(shared, lambda: (np.empty((SYMBOLS * SYMBOLS, SYMBOLS), np.float32), np.zeros(SYMBOLS * SYMBOLS, bool)))
         row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         for batch in batches:
             ids = batch.column(0)
-            for at, words in _chunks(batch.column(1).to_pylist()):
-                context, y, text = _coded(m, symbol_of, words)
+            for at, texts in _chunks(batch.column(1)):
+                n = len(texts)
+                length = np.array([len(ws) + 1 for ws in texts], np.int64)
+                text = np.repeat(np.arange(n), length)
+                at_word = np.array([i for ws in texts for i in (*map(place.get, ws, repeat(-1)), place.get(END, -1))], np.int64)
+                met = at_word >= 0
+                y = np.zeros(len(at_word), np.int64)
+                y[met] = known.symbol[at_word[met]]
+                lost: list[dict[bytes, int]] = [{} for _ in texts]
+                starts = (np.cumsum(length) - length).tolist()
+                for k in np.flatnonzero(~met).tolist():
+                    i = int(text[k])
+                    j = k - starts[i]
+                    if j < len(texts[i]):
+                        w = texts[i][j]
+                        y[k] = m.tail_symbol(w)
+                        lost[i][w] = lost[i].get(w, 0) + 1
+                context = _contexts(y, length)
                 new = np.unique(context[~filled[context]])
-                for low in range(0, len(new), 1024):
-                    table[new[low : low + 1024]] = m.log10_table(new[low : low + 1024])
+                for low in range(0, len(new), 512):
+                    table[new[low : low + 512]] = m.log10_table(new[low : low + 512])
                 filled[new] = True
-                n = len(words)
-                score = np.bincount(text, table[context, y].astype(np.float64), n)
                 grouped = y >= SYMBOLS - TAILS
-                score -= np.bincount(text[grouped], log_tails[y[grouped] - (SYMBOLS - TAILS)], n)
-                base, known_n, rare = np.empty(n), np.empty(n, np.int64), []
-                for i, ws in enumerate(words):
-                    logs = list(map(log_of.get, ws))
-                    missing = Counter(w for w, x in zip(ws, logs, strict=True) if x is None)
-                    end = log_of.get(END)
-                    base[i] = sum(x for x in logs if x is not None) + (end or 0.0)
-                    known_n[i] = len(ws) - missing.total() + (end is not None)
-                    score[i] += sum(x for w, x in zip(ws, logs, strict=True) if x is not None and w not in m.head)
-                    rare.append([(w.decode("utf-8", "replace"), k) for w, k in missing.items()])
-                length = np.array([len(ws) + 1 for ws in words], np.int64)
+                logs, own = np.zeros(len(y)), np.zeros(len(y))
+                logs[met] = known.log_n[at_word[met]]
+                own[met] = np.where(known.alone[at_word[met]], logs[met], 0)
+                own[grouped] -= known.tails[y[grouped] - (SYMBOLS - TAILS)]
+                score, base = np.bincount(text, table[context, y] + own, n), np.bincount(text, logs, n)
                 kind = pa.list_(pa.struct([("token", pa.string()), ("n", pa.int64())]))
+                rare = [[{"token": w.decode("utf-8", "replace"), "n": k} for w, k in r.items()] for r in lost]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), ids.slice(at, n), pa.array(length), pa.array(known_n), pa.array(base), pa.array(score), pa.array([[{"token": t, "n": k} for t, k in r] for r in rare], kind)],
+                    [pa.array(np.arange(row, row + n)), ids.slice(at, n), pa.array(length), pa.array(np.bincount(text, met, n).astype(np.int64)), pa.array(base), pa.array(score), pa.array(rare, kind)],
                     ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"],
                 )
                 row += n

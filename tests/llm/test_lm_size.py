@@ -18,11 +18,58 @@ def test_gradient_of_many_contexts_equals_the_sum_over_each():
     rng = np.random.default_rng(1)
     m = lm.MaxEnt({b"": 0}, rng.normal(size=(lm.BUCKETS, lm.CLASSES)).astype("f4"), rng.normal(size=(lm.BUCKETS, lm.SYMBOLS)).astype("f4"))
     context, symbol, n = rng.permutation(lm.SYMBOLS**2)[:2100], rng.integers(0, lm.SYMBOLS, 2100), rng.integers(1, 9, 2100)
-    f, want, got = lm.gradient(m, context, symbol, n)
-    assert (np.diff(f) > 0).all()
-    total = np.zeros((2, lm.BUCKETS, lm.CLASSES + lm.SYMBOLS))
-    for part in np.array_split(np.arange(2100), 7):
-        rows, a, b = lm.gradient(m, context[part], symbol[part], n[part])
-        total[0, rows] += a
-        total[1, rows] += b
-    assert np.allclose(total[0, f], want) and np.allclose(total[1, f], got) and np.isclose(got.sum(), 2 * 4 * n.sum())
+    slope, seen = lm.gradient(m, context, symbol, n)
+    parts = [lm.gradient(m, context[p], symbol[p], n[p]) for p in np.array_split(np.arange(2100), 7)]
+    assert np.allclose(sum(p[0] for p in parts), slope, atol=1e-3) and np.allclose(sum(p[1] for p in parts), seen) and np.isclose(seen.sum(), 2 * 4 * n.sum())
+    mass = seen[:, : lm.CLASSES].sum(1)
+    again, held = np.zeros_like(slope), np.zeros_like(mass)
+    lm.add_packed(lm.packed(slope, mass), again, held)
+    assert np.allclose(again, slope, atol=1e-2 * (1 + mass[:, None]).max() / 10) and np.allclose(held, mass)
+
+
+def test_merged_counts_are_sums():
+    rng, a, b = np.random.default_rng(4), (np.empty(0, np.int64), np.empty(0, np.int64)), []
+    for _ in range(5):
+        b.append(rng.integers(0, 50, 200))
+        a = lm.merged(a, np.unique(b[-1], return_counts=True))
+    code, n = np.unique(np.concatenate(b), return_counts=True)
+    assert (a[0] == code).all() and (a[1] == n).all()
+
+
+def test_score_equals_a_plain_model_over_the_same_weights(spark, monkeypatch):
+    """Every word's probability, feature by feature and class by class, from the trained weights."""
+    import math
+    import random
+    import zlib
+    from collections import Counter
+
+    kept = []
+    monkeypatch.setattr(lm, "train", lambda events, model, rounds, f=lm.train: kept.append(f(events, model, rounds)) or kept[-1])
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(400)], [1 / (i + 1) for i in range(400)], k=rng.randint(0, 60))) for _ in range(120)] + [None, "", "Never seen words"]
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rounds=3).collect()}
+    count = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in [*(t or "").lower().encode().split(), b""])
+    (m,) = kept
+    tail = Counter()
+    for w, n in count.items():
+        if w not in m.head:
+            tail[zlib.crc32(w[-3:]) % lm.TAILS] += n + 1
+    each = lm.SYMBOLS // lm.CLASSES
+
+    def log_probability(two, one, word):
+        y = m.head.get(word, lm.SYMBOLS - lm.TAILS + zlib.crc32(word[-3:]) % lm.TAILS)
+        f = lm.context_features(np.array([two * lm.SYMBOLS + one]))[0]
+        c = [math.fsum(float(m.by_class[k, i]) for k in f) for i in range(lm.CLASSES)]
+        s = [math.fsum(float(m.by_symbol[k, i]) for k in f) for i in range(y // each * each, y // each * each + each)]
+        p = math.exp(c[y // each]) / sum(map(math.exp, c)) * math.exp(s[y % each]) / sum(map(math.exp, s))
+        if word not in m.head:
+            p *= (count[word] + 1) / (tail[zlib.crc32(word[-3:]) % lm.TAILS] + 1)
+        return math.log10(p), y
+
+    for i, t in enumerate(texts):
+        two = one = 0
+        total = 0.0
+        for w in [*(t or "").lower().encode().split(), b""]:
+            x, y = log_probability(two, one, w)
+            total, two, one = total + x, one, y
+        assert math.isclose(got[i], total, abs_tol=1e-3 + 1e-5 * abs(total))
