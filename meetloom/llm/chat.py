@@ -10,11 +10,13 @@ follows, 'delete' drops the message. Each final message becomes one rendered seg
 with the code points of assistant texts under the loss mask. Control strings in texts are
 escaped reversibly: a backslash goes before the bar of '<|', or of '<', backslashes, '|'.
 
-All steps stream over sorted partitions and hold one message at a time, so a conversation
-of any length needs constant memory. Deltas before any message open one; unknown kinds
-raise. Null text is empty, a null role is '', a null conversation id is a conversation of
-its own; events equal in (msg, seq) are ordered by kind, role and text, and repeated
-'message' rows are repeated turns. Other columns are ignored.
+All steps stream over sorted partitions and hold one message at a time. Folding, rendering
+and parsing are dealt by message; only the digests of a conversation are sequential. Deltas
+before any message open one; what follows a delete opens it again with its role; unknown kinds raise.
+Null text is empty, a null role is '', all rows with a null conversation id are one
+conversation, as are all with a null msg within one one message number (the first); events
+equal in (msg, seq) are ordered by kind, role and text, and repeated 'message' rows are
+repeated turns. Ids of any size stay exact. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,14 +24,19 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meetloom.llm.common import SLICE_BYTES, small_batches
+
 START, END = "<|im_start|>", "<|im_end|>"
 EVENTS = "conv_id long, msg long, seq long, kind string, role string, text string"
-SEGMENTS = "conv_id long, nth long, segment string, loss_start long, loss_end long"
+SEGMENTS = "conv_id long, msg long, nth long, segment string, loss_start long, loss_end long"
+TURNS = "conv_id long, msg long, nth long, turn string, loss_at long, loss_chars long, chars long"
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 BATCH = 1_000
 
@@ -66,12 +73,12 @@ def parse(segment: str) -> tuple[str, str]:
 
 
 def fold(events: Iterator[tuple]) -> Iterator[tuple]:
-    """Sorted (conv_id, msg, seq, kind, role, text) to final (conv_id, role, text)."""
+    """Sorted (conv_id, msg, seq, kind, role, text) to final (conv_id, msg, role, text)."""
     key, role, parts = None, None, None
     for conv, msg, _, kind, who, text in events:
         if (conv, msg) != key or kind == "message":
             if parts is not None:
-                yield key[0], role, "".join(parts)
+                yield *key, role, "".join(parts)
             key, role, parts = (conv, msg), None, None
         if kind not in ("message", "delta", "edit", "regenerate", "delete"):
             raise ValueError(f"unknown kind of event: {kind}")
@@ -84,7 +91,7 @@ def fold(events: Iterator[tuple]) -> Iterator[tuple]:
             parts = []
         parts.append(text or "")
     if parts is not None:
-        yield key[0], role, "".join(parts)
+        yield *key, role, "".join(parts)
 
 
 def messages_as_events(rows: DataFrame) -> DataFrame:
@@ -92,59 +99,84 @@ def messages_as_events(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("msg"), F.lit(0).cast("long").alias("seq"), F.lit("message").alias("kind"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
 
 
-def format_conversations(events: DataFrame) -> DataFrame:
-    """conv_id, nth, segment, loss_start, loss_end: final messages rendered, in order within partitions by conversation."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((None if pd.isna(c) else int(c), None if pd.isna(m) else int(m), s, k, r, t) for b in batches for c, m, s, k, r, t in zip(*(b[x].tolist() for x in ("conv_id", "msg", "seq", "kind", "role", "text")), strict=True))
-        out, conv, nth, first = [], None, 0, True
-        for c, role, text in fold(rows):
-            nth = 0 if first or c != conv else nth + 1
-            conv, first = c, False
-            out.append((c, nth, *render(role or "", text)))
-            if len(out) >= BATCH:
-                yield _frame(out, SEGMENTS)
-                out = []
-        yield _frame(out, SEGMENTS)
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows as tuples of Python values, exact ids included, a bounded run of rows at a time."""
+    for b in batches:
+        step = max(1, b.num_rows * SLICE_BYTES // max(1, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield from zip(*(c.to_pylist() for c in b.slice(at, step).columns), strict=True)
 
-    order = ["conv_id", "msg", "seq", "kind", "role", "text"]
-    return events.select(*order).repartition("conv_id").sortWithinPartitions(*order).mapInPandas(run, SEGMENTS)
 
+def _batches(rows: Iterator[tuple], schema: pa.Schema, text_at: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Tuples as Arrow batches of at most BATCH rows and about SLICE_BYTES of the named text column."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[text_at]) if text_at is not None else 0
+        if len(held) >= BATCH or size >= SLICE_BYTES:
+            yield _batch(held, schema)
+            held, size = [], 0
+    yield _batch(held, schema)
 
-def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
-    names = [x.split()[0] for x in schema.split(", ")]
-    df = pd.DataFrame(rows, columns=names)
-    return df.astype({"conv_id": "Int64"})
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """Digests of each conversation from nothing but its rendered segments and masks; segments come as format_conversations leaves them."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        conv, state, out = None, None, []
+_LONG, _TEXT = pa.int64(), pa.string()
+_SEGMENTS = pa.schema([("conv_id", _LONG), ("msg", _LONG), ("nth", _LONG), ("segment", _TEXT), ("loss_start", _LONG), ("loss_end", _LONG)])
+_TURNS = pa.schema([("conv_id", _LONG), ("msg", _LONG), ("nth", _LONG), ("turn", _TEXT), ("loss_at", _LONG), ("loss_chars", _LONG), ("chars", _LONG)])
+_DIGESTS = pa.schema([("conv_id", _LONG), ("n_turns", _LONG), ("turns_sha256", _TEXT), ("loss_chars", _LONG), ("loss_sha256", _TEXT), ("formatted_chars", _LONG)])
+
+
+def format_conversations(events: DataFrame) -> DataFrame:
+    """conv_id, msg, nth, segment, loss_start, loss_end: final messages rendered; a conversation's order is msg (null first), nth.
+    The log is dealt by message, so the texts of a long conversation are folded and rendered by many tasks."""
+    small_batches(events.sparkSession)
 
-        def done() -> tuple:
-            turns, loss, n, loss_n, chars = state
-            return conv, n, turns.hexdigest(), loss_n, loss.hexdigest(), chars
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rendered() -> Iterator[tuple]:
+            key, nth = None, 0
+            for conv, msg, role, text in fold(_rows(batches)):
+                nth = nth + 1 if (conv, msg) == key else 0
+                key = (conv, msg)
+                yield conv, msg, nth, *render(role or "", text)
+
+        yield from _batches(rendered(), _SEGMENTS, 3)
+
+    order = ["conv_id", "msg", "seq", "kind", "role", "text"]
+    return events.select(*order).repartition("conv_id", "msg").sortWithinPartitions(*order).mapInArrow(run, SEGMENTS)
+
+
+def read_back(segments: DataFrame) -> DataFrame:
+    """Digests of each conversation from nothing but its rendered segments and masks. Segments are parsed where they lie; only the
+    digests, which are sequential, take a conversation's turns in order through one task, one turn at a time."""
+    small_batches(segments.sparkSession)
 
-        for b in batches:
-            for c, nth, segment, start, end in zip(*(b[x].tolist() for x in ("conv_id", "nth", "segment", "loss_start", "loss_end")), strict=True):
-                if nth == 0:
-                    if state:
-                        out.append(done())
-                    conv, state = None if pd.isna(c) else int(c), [hashlib.sha256(), hashlib.sha256(), 0, 0, 0]
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def turns() -> Iterator[tuple]:
+            for conv, msg, nth, segment, start, end in _rows(batches):
                 role, text = parse(segment)
                 masked = unescape(segment[start:end])
-                state[0].update(f"{role}\n{text}\n".encode())
-                state[1].update(masked.encode())
-                state[2] += 1
-                state[3] += len(masked)
-                state[4] += len(segment)
-                if len(out) >= BATCH:
-                    yield _frame(out, DIGESTS)
-                    out = []
-        if state:
-            out.append(done())
-        yield _frame(out, DIGESTS)
-
-    return segments.mapInPandas(run, DIGESTS)
+                turn = f"{role}\n{text}\n"
+                at = len(role) + 1
+                if masked and turn[at : at + len(masked)] != masked:
+                    raise ValueError(f"the loss mask of conversation {conv} is not on its turn's text")
+                yield conv, msg, nth, turn, at, len(masked), len(segment)
+
+        yield from _batches(turns(), _TURNS, 3)
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def digests() -> Iterator[tuple]:
+            for conv, turns in groupby(_rows(batches), key=itemgetter(0)):
+                whole, loss, n, loss_n, chars = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+                for _, _, _, turn, at, masked, size in turns:
+                    whole.update(turn.encode())
+                    loss.update(turn[at : at + masked].encode())
+                    n, loss_n, chars = n + 1, loss_n + masked, chars + size
+                yield conv, n, whole.hexdigest(), loss_n, loss.hexdigest(), chars
+
+        yield from _batches(digests(), _DIGESTS)
+
+    turns = segments.select(*_SEGMENTS.names).mapInArrow(parsed, TURNS)
+    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "msg", "nth").mapInArrow(digested, DIGESTS)

@@ -8,13 +8,16 @@ pieces finds every place worth a look. Myers' bit-parallel distance then verifie
 around the hit (hits of one item that lie on overlapping places are verified once), so
 nothing is missed and nothing unverified is reported.
 
-The benchmark is the stated query set. It is taken in blocks of at most BLOCK_CHARS folded
-characters; each block's pieces are one broadcast of bounded size and one pass over the
-documents, so benchmarks of any size work. No shuffle: a document meets all items in one task.
-
-Null or empty texts match nothing; items that fold to fewer than LEAST characters are too
-short to tell and match nothing. Equal items all report. Repeated rows give repeated
-results; other columns are ignored. Whole texts are searched, of any length.
+The benchmark is the stated query set. It is streamed to the driver in blocks of at most
+BLOCK_CHARS folded characters; each block's pieces are one broadcast of bounded size and one
+pass over the documents. Of a benchmark of several blocks, one block's broadcast lives at a
+time and its results are stored before the next, so benchmarks of any size work. No
+shuffle: a document meets all items in one task.
+
+Items that fold to fewer than LEAST characters have no error budget and must stand on word
+borders. Null or empty texts and items that fold to nothing match nothing. Equal items all
+report. Null ids stay null and others exact. Repeated rows give repeated results; other
+columns are ignored. Whole texts are searched, of any length.
 """
 
 from __future__ import annotations
@@ -24,12 +27,10 @@ from collections.abc import Iterator
 from functools import reduce
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from meetloom.llm.common import small_batches
+from meetloom.llm.common import each_text, held_one, small_batches, stored, text_udf
 
 PIECE, LEAST = 16, 24
 BLOCK_CHARS = 8 << 20
@@ -48,7 +49,7 @@ def folded(text: str | None) -> str:
 
 
 def error_budget(length: int) -> int:
-    return max(0, length // PIECE - 1)
+    return max(0, length // PIECE - 1) if length >= LEAST else 0
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
@@ -93,7 +94,7 @@ class Matcher:
     """Searches whole texts for a block of (item_id, folded item)."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
-        self.items = [(i, t, error_budget(len(t))) for i, t in items if len(t) >= LEAST]
+        self.items = [(i, t, error_budget(len(t))) for i, t in items if t]
         self.masks: dict[int, tuple[dict[str, int], dict[str, int]]] = {}
         where: dict[str, list[tuple[int, int]]] = {}
         for n, (_, t, k) in enumerate(self.items):
@@ -106,6 +107,10 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not where
 
+    @staticmethod
+    def _stands_alone(text: str, low: int, high: int) -> bool:
+        return (low == 0 or text[low - 1] == " ") and (high == len(text) or text[high] == " ")
+
     def _verify(self, n: int, text: str, low: int, high: int) -> tuple[int, int, int] | None:
         _, item, k = self.items[n]
         window = text[low:high]
@@ -130,6 +135,8 @@ class Matcher:
             for n, offset in at:
                 _, item, k = self.items[n]
                 start = end + 1 - length - offset
+                if len(item) < LEAST and not self._stands_alone(text, start, start + len(item)):
+                    continue
                 low, high = max(0, start - k), min(len(text), start + len(item) + k)
                 spans = places.setdefault(n, [])
                 if spans and low <= spans[-1][1]:
@@ -144,14 +151,9 @@ class Matcher:
         return sorted(out, key=lambda x: (x[0] is not None, x[0] or 0, x[1:]))
 
 
-_built: list[tuple[object, Matcher]] = []
-
-
 def _matcher(shared) -> Matcher:
-    """One automaton per broadcast and process; the last broadcast is held, so that another can't be taken for it."""
-    if not _built or _built[0][0] is not shared:
-        _built[:] = [(shared, Matcher(shared.value))]
-    return _built[0][1]
+    """One automaton per broadcast and process; the broadcast itself is the key, so that another can't be taken for it."""
+    return held_one(shared, lambda: Matcher(shared.value))
 
 
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
@@ -175,35 +177,49 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
     def search(shared):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = _matcher(shared)
             for b in batches:
-                rows = [(d, *hit) for d, t in zip(b["doc_id"].tolist(), b["text"].tolist(), strict=True) for hit in matcher.search(t)]
-                df = pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "begins", "ends"])
-                yield df.astype({"doc_id": "Int64", "item_id": "Int64"})
-
-        return docs.mapInPandas(run, HITS)
-
-    found = [search(spark.sparkContext.broadcast(b)) for b in blocks(benchmark, block_chars)]
+                rows, hits = [], []
+                for i, t in enumerate(each_text(b.column(1))):
+                    for hit in matcher.search(t):
+                        rows.append(i)
+                        hits.append(hit)
+                ids = b.column(0).take(pa.array(rows, pa.int64()))
+                rest = [pa.array([h[k] for h in hits], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32()))]
+                yield pa.RecordBatch.from_arrays([ids, *rest], ["doc_id", "item_id", "distance", "begins", "ends"])
+
+        return docs.mapInArrow(run, HITS)
+
+    found: list[DataFrame] = []
+    waiting = None
+    for block in blocks(benchmark, block_chars):
+        if waiting is not None:  # another block follows: store what is there, and let its broadcast go
+            found.append(stored(search(waiting), "leaks"))
+            waiting.destroy()
+        waiting = spark.sparkContext.broadcast(block)
+    if waiting is not None:
+        found.append(search(waiting))
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], HITS)
 
 
 def leak_column(shared):
-    """A pandas UDF of the text: whether any item of a broadcast block occurs in it."""
+    """An Arrow UDF of the text: whether any item of a broadcast block occurs in it."""
 
-    @F.pandas_udf(T.BooleanType())
-    def leaks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = _matcher(shared)
-        for texts in parts:
-            yield pd.Series([bool(matcher.search(t)) for t in texts], dtype="bool")
+    def make():
+        search = _matcher(shared).search
+        return lambda text: bool(search(text))
 
-    return leaks
+    return text_udf("boolean", lambda found: pa.array(found, pa.bool_()), make)
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of docs, columns unchanged, in which no item occurs."""
+    """The rows of docs, columns unchanged, in which no item occurs. With several blocks, what each leaves is stored for the next."""
     small_batches(docs.sparkSession)
+    waiting = None
     for block in blocks(benchmark, block_chars):
-        leaks = leak_column(docs.sparkSession.sparkContext.broadcast(block))
-        docs = docs.where(~leaks(docs["text"].cast("string")))
-    return docs
+        if waiting is not None:
+            docs = stored(docs.where(~leak_column(waiting)(docs["text"].cast("string"))), "unleaked")
+            waiting.destroy()
+        waiting = docs.sparkSession.sparkContext.broadcast(block)
+    return docs if waiting is None else docs.where(~leak_column(waiting)(docs["text"].cast("string")))
