@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,14 +24,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from meetloom.llm.common import small_batches
+from meetloom.llm.common import each_text, held_one, small_batches, text_slices
 
 #: Fixed values of the public byte-level pre-tokenizer: its pattern, and the printable bytes that stand for themselves.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 #: Bounds of what a worker keeps: pieces (about 200 bytes each) up to a length, and judged pairs.
-CACHED_PIECES, CACHED_LENGTH, CACHED_PAIRS = 600_000, 64, 1_000_000
+CACHED_PIECES, CACHED_LENGTH, CACHED_PAIRS = 250_000, 64, 500_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -40,16 +41,21 @@ def _byte_of_char() -> dict[int, str]:
     return {**{b: chr(b) for b in PRINTABLE}, **{256 + i: chr(b) for i, b in enumerate(rest)}}
 
 
-class Bpe:
-    """Tables of one tokenizer file. Build with Bpe.load(path), which keeps one per process."""
+def located(tokenizer: str) -> str:
+    """The file of a tokenizer given by path, or by its name among the public ones where this process runs."""
+    if os.path.exists(tokenizer):
+        return tokenizer
+    import public_tokenizers
+
+    return public_tokenizers.path(tokenizer)
 
-    _kept: dict[str, Bpe] = {}
+
+class Bpe:
+    """Tables of one tokenizer file. Build with Bpe.load(path or public name), which keeps the last one per process."""
 
     @classmethod
-    def load(cls, path: str) -> Bpe:
-        if path not in cls._kept:
-            cls._kept[path] = cls(path)
-        return cls._kept[path]
+    def load(cls, tokenizer: str) -> Bpe:
+        return held_one(("bpe", tokenizer), lambda: cls(located(tokenizer)))
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -182,7 +188,7 @@ def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
         bpe = Bpe.load(tokenizer)
         for batch in batches:
             n, ids_hash, text_hash = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in each_text(batch.column(1)):
                 ids = bpe.encode(text or "")
                 n.append(len(ids))
                 ids_hash.append(hashlib.sha256(ids).hexdigest())
@@ -199,10 +205,9 @@ def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.load(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for at, texts in text_slices(batch.column(1)):
+                ids = [bpe.encode(t or "") for t in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 

@@ -19,16 +19,14 @@ Repeated rows give repeated results; filters leave columns unchanged, else other
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from meetloom.llm.common import ascii_lower, saved, small_batches
+from meetloom.llm.common import ascii_lower, saved, small_batches, stored, text_udf
 
 SAMPLE_DOCS, SAMPLE_BYTES = 3_000, 24 << 20
 BUCKETS, TEXT_WEIGHT, SMOOTHING = 1 << 16, 64.0, 4.0
@@ -76,16 +74,17 @@ def fit_text(samples: list[tuple[str, str]]) -> TextModel:
 
 
 def labelled_sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """At most SAMPLE_DOCS texts with their languages, in the order of a hash of the id, and SAMPLE_BYTES of text."""
+    """At most SAMPLE_DOCS texts with their languages, in the order of a hash of the id, and SAMPLE_BYTES of UTF-8 text."""
     ids = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
     rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "text")
     out, size = [], 0
     for r in rows.toLocalIterator():
         if len(out) >= SAMPLE_DOCS:
             break
-        if size + len(r["text"]) > SAMPLE_BYTES:  # a text that does not fit leaves room for those after it
+        n = len(r["text"].encode("utf-8", "replace"))
+        if size + n > SAMPLE_BYTES:  # a text that does not fit leaves room for those after it
             continue
-        size += len(r["text"])
+        size += n
         out.append((r["text"], r["lang"]))
     return out
 
@@ -105,19 +104,11 @@ def url_host(url: Column) -> Column:
 
 
 def text_evidence_column(spark, model: TextModel):
-    """A pandas UDF of the text: struct of ll (tempered log-likelihoods) and n (trigrams)."""
+    """An Arrow UDF of the text: struct of ll (tempered log-likelihoods) and n (trigrams)."""
     shared = spark.sparkContext.broadcast(model)
     small_batches(spark)
-    kind = T.StructType([T.StructField("ll", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType())])
-
-    @F.pandas_udf(kind)
-    def text_evidence(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        for texts in parts:
-            found = [m.evidence(t) for t in texts]
-            yield pd.DataFrame({"ll": [x[0] for x in found], "n": [x[1] for x in found]})
-
-    return text_evidence
+    kind = pa.struct([("ll", pa.list_(pa.float64())), ("n", pa.int64())])
+    return text_udf("struct<ll: array<double>, n: bigint>", lambda found: pa.array([{"ll": ll, "n": n} for ll, n in found], kind), lambda: shared.value.evidence)
 
 
 class Fusion:
@@ -205,8 +196,7 @@ def keep_identified(docs: DataFrame, labelled: DataFrame | None = None) -> DataF
     model = fit_text(labelled_sample(labelled or docs))
     if not model.langs:
         return docs.limit(0)
-    names = docs.columns
     evidence = text_evidence_column(docs.sparkSession, model)
-    rows = docs.select(F.struct(*names).alias("row"), docs["source"].cast("string").alias("host"), F.lit(None).cast("string").alias("declared"), docs["text"].cast("string").alias("text"))
-    fusion = Fusion(saved(rows.select("host", "declared", evidence("text").alias("ev"))), model.langs)
-    return fusion.judge(rows.withColumn("ev", evidence("text")).drop("text")).where("judged.keep").select("row.*")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["source"].cast("string").alias("host"), F.lit(None).cast("string").alias("declared"), evidence(docs["text"].cast("string")).alias("ev"))
+    rows = stored(rows, "language-evidence")  # texts are judged once: read again by the corpus' sums and by the posteriors
+    return Fusion(rows.select("host", "declared", "ev"), model.langs).judge(rows).where("judged.keep").select("row.*")

@@ -20,18 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+    return bpe.bpe_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ often the two classes hold it; a logistic regression with an L2 penalty then lea
 weight per r-scaled feature, and weight * r is what scoring adds up.
 
 The sample is bounded: at most SAMPLE_DOCS labelled documents, in the order of a hash of
-their id, and SAMPLE_BYTES of text; fitting happens on the driver within those bounds.
+their id, and SAMPLE_BYTES of UTF-8 text; fitting happens on the driver within those bounds.
+The strongest MOST_FEATURES features that pass LEAST_Z carry weights, which bounds the model.
 Scoring runs over all rows in Arrow batches and reads nothing but the text.
 
 Null text counts as empty and gets the prior. A document labelled twice takes its highest
@@ -16,16 +17,14 @@ classes every score is the share of toxic labels (0 if there are none).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from meetloom.llm.common import small_batches, training_part
+from meetloom.llm.common import saved, small_batches, text_udf, training_part
 
 SAMPLE_DOCS, SAMPLE_BYTES = 4_000, 48 << 20
 SIZES, BUCKET_BITS = (5, 6, 8), 22
@@ -120,32 +119,29 @@ def fit(samples: list[tuple[str | None, int]]) -> ToxicityModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2) -> list[tuple[str | None, int]]:
-    """The bounded training sample: docs (doc_id, text), labels (doc_id, toxic)."""
-    ids = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & training_part(F.col("doc_id"), parts, held_out)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    """The bounded training sample: docs (doc_id, text), labels (doc_id, toxic). Ids are drawn among those that have a text."""
+    judged = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & training_part(F.col("doc_id"), parts, held_out)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    drawn = saved(judged.orderBy(*order).limit(4 * SAMPLE_DOCS))  # labels without text take no place unless three in four lack it
+    texts = docs.select("doc_id", "text").where("text is not null")
+    ids = texts.select("doc_id").join(F.broadcast(drawn), "doc_id").distinct().orderBy(*order).limit(SAMPLE_DOCS)
     out, size = [], 0
-    for r in texts.toLocalIterator():
+    for r in texts.join(F.broadcast(saved(ids)), "doc_id").orderBy(*order, "text").toLocalIterator():
         if len(out) >= SAMPLE_DOCS:
             break
-        if size + len(r["text"]) > SAMPLE_BYTES:  # a text that does not fit leaves room for those after it
+        n = len(r["text"].encode("utf-8", "replace"))
+        if size + n > SAMPLE_BYTES:  # a text that does not fit leaves room for those after it
             continue
-        size += len(r["text"])
+        size += n
         out.append((r["text"], r["toxic"]))
     return out
 
 
 def score_column(spark, model: ToxicityModel):
-    """A pandas UDF of the text column; the weights (16 MB) travel as one broadcast."""
+    """An Arrow UDF of the text column; the weights (16 MB) travel as one broadcast."""
     shared = spark.sparkContext.broadcast(model)
     small_batches(spark)
-
-    @F.pandas_udf(T.DoubleType())
-    def toxicity(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = shared.value
-        for texts in parts:
-            yield pd.Series([m.score(t) for t in texts], dtype="float64")
-
-    return toxicity
+    return text_udf("double", lambda scores: pa.array(scores, pa.float64()), lambda: shared.value.score)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2) -> DataFrame:

@@ -34,9 +34,11 @@ def test_chat_round_trip_and_events(spark):
            (1, 3, 0, "message", "assistant", "bad"), (1, 3, 1, "regenerate", None, None), (1, 3, 2, "delta", None, "go"), (1, 3, 3, "delta", None, "od"), (1, 4, 0, "message", "user", "x"), (1, 4, 1, "delete", None, None), (None, None, None, "message", None, None)]
     random.Random(1).shuffle(log)
     segments = chat.format_conversations(spark.createDataFrame(log, chat.EVENTS)).toPandas()
-    mine = segments[segments["conv_id"] == 1].sort_values("nth")
+    mine = segments[segments["conv_id"] == 1].sort_values(["msg", "nth"])
     assert [chat.parse(s) for s in mine["segment"]] == [("user", "hi"), ("assistant", "helloy"), ("user", "less"), ("assistant", "good")]
     assert [chat.parse(s) for s in segments[segments["conv_id"].isna()]["segment"]] == [("", "")]
+    reopened = [(2, 0, 0, "message", "user", "gone"), (2, 0, 1, "delete", None, None), (2, 0, 2, "delta", None, "back")]
+    assert [chat.parse(r["segment"]) for r in chat.format_conversations(spark.createDataFrame(reopened, chat.EVENTS)).collect()] == [("user", "back")]
     with pytest.raises(Exception, match="unknown kind"):
         chat.format_conversations(spark.createDataFrame([(1, 0, 0, "other", "user", "")], chat.EVENTS)).collect()
     assert chat.read_back(chat.format_conversations(spark.createDataFrame([], chat.EVENTS))).count() == 0
@@ -99,8 +101,11 @@ def test_simhash_components_equal_brute_force(spark, sf):
     kept = simhash.keep_one_of_each(docs)
     assert kept.count() == groups and kept.columns == docs.columns
     assert simhash.near_duplicate_components(docs.limit(0)).count() == 0 and simhash.keep_one_of_each(docs.limit(0)).count() == 0
-    twice = spark.createDataFrame([(None, 'a b c d', 1), (None, 'a b c d', 1), (None, 'another text altogether', 2), (7, None, 3)], 'doc_id long, text string, __x int')
+    twice = spark.createDataFrame([(None, 'a b c d', 1), (None, 'a b c d', 1), (None, 'another text altogether', 2), (7, None, 3)], 'doc_id long, text string, m_id int')
     assert sorted(map(str, simhash.keep_one_of_each(twice).collect())) == sorted(map(str, twice.distinct().collect()))
+    clash = docs.select("*", *[F.lit(1).alias(c) for c in ("m_fp", "M_key", "m_again", "m_odd", "m_hit", "__fp", "__id", "fp", "root")])
+    kept = simhash.keep_one_of_each(clash)
+    assert kept.columns == clash.columns and kept.count() == groups and kept.where("m_fp <> 1 or __fp <> 1 or fp <> 1").count() == 0
 
 
 def test_links_of_clusters_equal_brute_force(spark, monkeypatch):
@@ -119,6 +124,8 @@ def test_links_of_clusters_equal_brute_force(spark, monkeypatch):
     df = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in rows], "doc_id long, fp long")
     got = {r["fp"] % (1 << 64): r["component_id"] for r in simhash.component_of(df).collect()}
     assert got == {f: c for (_, f), c in want.items()}
+    monkeypatch.setattr(simhash, "HOT_PREFIX", 8)
+    assert {r["fp"] % (1 << 64): r["component_id"] for r in simhash.component_of(df).collect()} == got
     fp = np.array(sorted(fps), np.uint64)
     whole = simhash._links_of_prefix(fp, np.zeros(len(fp), np.int64), 4, 4)
     monkeypatch.setattr(simhash, "AT_ONCE", 20_000)
