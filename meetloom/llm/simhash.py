@@ -11,7 +11,9 @@ them, and links each to the first of its equals. Links found in a prefix are red
 spanning forest there, so a dense group emits at most one link per member and prefix, never all pairs.
 Components then come from alternating large-star and small-star steps over the links, each
 step saved in the shared checkpoint folder. All of it works on distinct fingerprints: a
-group of exact copies is one of them.
+group of exact copies is one of them. A prefix that more than HOT_PREFIX fingerprints
+reach is dealt once more by SUB_BITS further bits, with the flips that are left, so a
+dense group's work is spread over tasks.
 
 Null text counts as empty and has fingerprint zero, linked like any other. Null ids never
 name a component unless all of its ids are null. Repeated rows give repeated results; other
@@ -25,16 +27,17 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from meetloom.llm.common import lower_words, saved, small_batches
+from meetloom.llm.common import lower_words, saved, small_batches, text_udf, unclashing
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints a prefix has on average before its neighbours come to it; variants that are sorted at once.
 PER_PREFIX, AT_ONCE = 64, 4_000_000
+HOT_PREFIX, SUB_BITS = 1_000_000, 10
 BROADCAST_KEYS = 500_000
 
 
@@ -58,14 +61,8 @@ def simhash(text: str | None, words_each: int = SHINGLE) -> int:
 
 
 def fingerprint_column(words_each: int = SHINGLE):
-    """A pandas UDF of the text column: the fingerprint as a signed 64-bit number."""
-
-    @F.pandas_udf(T.LongType())
-    def fingerprints(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield pd.Series(np.array([simhash(t, words_each) for t in texts], np.uint64).view(np.int64))
-
-    return fingerprints
+    """An Arrow UDF of the text column: the fingerprint as a signed 64-bit number."""
+    return text_udf("long", lambda found: pa.array(np.array(found, np.uint64).view(np.int64)), lambda: lambda t: simhash(t, words_each))
 
 
 def ball(bits: int, radius: int) -> np.ndarray:
@@ -127,54 +124,72 @@ def _links_of_prefix(fps: np.ndarray, spent: np.ndarray, prefix_bits: int, radiu
     """Index pairs into fps: a spanning forest of the links found in one prefix, every link verified."""
     bits = 64 - prefix_bits
     rest = fps & np.uint64((1 << bits) - 1)
-    half = radius // 2
-    left, right = [], []
-    for a, b in _meetings(rest, half - spent, np.arange(len(fps)), bits):
-        if len(a):
-            near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
-            left.append(a[near])
-            right.append(b[near])
-    if not left:
-        return np.empty((0, 2), np.int64)
-    root = _roots(len(fps), np.concatenate(left), np.concatenate(right))
-    child = np.flatnonzero(root != np.arange(len(fps)))
+    half, members = radius // 2, np.arange(len(fps))
+    root = members
+    for a, b in _meetings(rest, half - spent, members, bits):
+        near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
+        if near.any():  # folded at once, so that meetings are never held together
+            child = np.flatnonzero(root != members)
+            root = _roots(len(fps), np.concatenate([child, a[near]]), np.concatenate([root[child], b[near]]))
+    child = np.flatnonzero(root != members)
     return np.stack([child, root[child]], 1)
 
 
+def _dealt(rows: DataFrame, key_bits: int, at_bit: int, half: int) -> DataFrame:
+    """rows (fp, spent) by the key_bits bits of fp above at_bit, flipped in all ways that `half` still allows: prefix, fp, spent."""
+    flips = [(int(m), int(m).bit_count()) for m in ball(key_bits, half)]
+    key = F.shiftrightunsigned(F.col("fp"), at_bit).bitwiseAND((1 << key_bits) - 1)
+    each = rows.select("*", F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(c).cast("byte").alias("flips")) for m, c in flips])).alias("v")).where(F.col("spent") + F.col("v.flips") <= half)
+    return each.select(*[c for c in rows.columns if c not in ("fp", "spent")], key.bitwiseXOR(F.col("v.mask")).alias("key"), "fp", (F.col("spent") + F.col("v.flips")).cast("byte").alias("spent"))
+
+
 def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """fps: distinct fp. Links (a, b) that connect whatever lies within radius (an even number), a > b as signed numbers."""
     half = radius // 2
     n = fps.count()
     prefix_bits = min(28, max(4, (max(1, n) // PER_PREFIX).bit_length()))
-    flips = [(int(m), int(m).bit_count()) for m in ball(prefix_bits, half)]
-    at = F.shiftrightunsigned(F.col("fp"), 64 - prefix_bits)
-    variants = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(c).alias("spent")) for m, c in flips])).alias("v")).select(at.bitwiseXOR(F.col("v.mask").cast("long")).alias("prefix"), "fp", F.col("v.spent").cast("byte").alias("spent"))
+    variants = _dealt(fps.select("fp", F.lit(0).cast("byte").alias("spent")), prefix_bits, 64 - prefix_bits, half).withColumnRenamed("key", "prefix")
+    links = _links(variants.withColumn("sub", F.lit(0).cast("long")), prefix_bits, radius)
+    if n <= HOT_PREFIX:  # a fingerprint reaches a prefix once, so none is hot
+        return links.distinct()
+    hot = saved(variants.groupBy("prefix").count().where(F.col("count") > HOT_PREFIX).select("prefix"))  # at most 407 n / HOT_PREFIX rows
+    if not hot.limit(1).count():
+        return links.distinct()
+    cold = variants.join(F.broadcast(hot), "prefix", "left_anti").withColumn("sub", F.lit(0).cast("long"))
+    split = _dealt(variants.join(F.broadcast(hot), "prefix"), SUB_BITS, 64 - prefix_bits - SUB_BITS, half).withColumnRenamed("key", "sub")
+    return _links(cold, prefix_bits, radius).unionByName(_links(split, prefix_bits + SUB_BITS, radius)).distinct()
+
+
+def _links(variants: DataFrame, known_bits: int, radius: int) -> DataFrame:
+    """variants (prefix, sub, fp, spent): links among those that meet in (prefix, sub), which stand for the leading known_bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for prefix in _whole_prefixes(batches):
             signed = prefix["fp"].to_numpy(np.int64)
             order = np.argsort(signed, kind="stable")
             signed, spent = signed[order], prefix["spent"].to_numpy(np.int64)[order]
-            pairs = _links_of_prefix(signed.view(np.uint64), spent, prefix_bits, radius)
+            pairs = _links_of_prefix(signed.view(np.uint64), spent, known_bits, radius)
             if len(pairs):
                 yield pd.DataFrame({"a": signed[pairs[:, 0]], "b": signed[pairs[:, 1]]})
 
-    return variants.repartition("prefix").sortWithinPartitions("prefix").mapInPandas(run, "a long, b long").distinct()
+    return variants.select("prefix", "sub", "fp", "spent").repartition("prefix", "sub").sortWithinPartitions("prefix", "sub").mapInPandas(run, "a long, b long")
 
 
 def _whole_prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted batches cut into one frame per prefix."""
+    """Sorted batches cut into one frame per (prefix, sub)."""
     held: list[pd.DataFrame] = []
+    last = None
     for b in batches:
-        key = b["prefix"].to_numpy()
-        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        if not len(b):
+            continue
+        prefix, sub = b["prefix"].to_numpy(), b["sub"].to_numpy()
+        cuts = [0, *(np.flatnonzero((prefix[1:] != prefix[:-1]) | (sub[1:] != sub[:-1])) + 1).tolist(), len(b)]
         for x, y in zip(cuts, cuts[1:], strict=False):
-            part = b.iloc[x:y]
-            if len(part) and held and held[-1]["prefix"].iloc[0] != key[x]:
+            if held and last != (prefix[x], sub[x]):
                 yield pd.concat(held)
                 held = []
-            if len(part):
-                held.append(part)
+            last = prefix[x], sub[x]
+            held.append(b.iloc[x:y])
     if held:
         yield pd.concat(held)
 
@@ -239,21 +254,24 @@ def keep_one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def keep_first(docs: DataFrame, prints: DataFrame, roots: DataFrame, print_of) -> DataFrame:
     """prints (doc_id, fp) of docs, roots (fp, root). One row of each root: the least doc_id's (null ids last), then the least
-    fingerprint's; of rows equal in both, any one. Only keys of rows to drop or repeated are looked up, by broadcast if they are
-    at most BROADCAST_KEYS; only rows with such an id are fingerprinted again."""
+    fingerprint's, then the least text's; of rows equal in all three, any one. Only keys of rows to drop or repeated are looked
+    up, by broadcast if they are at most BROADCAST_KEYS; only rows with such an id are fingerprinted again. Helper columns take
+    names that docs has not."""
+    i, k, z, odd_id, hit, fp = unclashing(["m_id", "m_key", "m_again", "m_odd", "m_hit", "m_fp"], docs.columns)
     keys = prints.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "fp")
     best = keys.join(roots, "fp").groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("b_id"), F.col("k.fp").alias("b_fp"))
     judged = keys.join(best, keys["doc_id"].eqNullSafe(best["b_id"]) & (keys["fp"] == best["b_fp"]), "left")
-    odd = saved(judged.where("b_fp is null or n > 1").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__key"), F.col("b_fp").isNotNull().alias("__again")))
-    again, ids = odd.where("__again"), odd.select(F.col("__id").alias("__odd"), F.lit(True).alias("__hit")).distinct()
+    odd = saved(judged.where("b_fp is null or n > 1").select(F.col("doc_id").alias(i), F.col("fp").alias(k), F.col("b_fp").isNotNull().alias(z)))
+    again, ids = odd.where(F.col(z)), odd.select(F.col(i).alias(odd_id), F.lit(True).alias(hit)).distinct()
     repeated = again.limit(1).count() > 0
     if odd.count() <= BROADCAST_KEYS:
         odd, again, ids = F.broadcast(odd), F.broadcast(again), F.broadcast(ids)
-    rows = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("__odd")), "left").withColumn("__fp", print_of(F.when(F.col("__hit"), docs["text"].cast("string"))))
-    same = rows["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (rows["__fp"] == F.col("__key"))
+    rows = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col(odd_id)), "left").withColumn(fp, print_of(F.when(F.col(hit), docs["text"].cast("string"))))
+    same = rows["doc_id"].cast("long").eqNullSafe(F.col(i)) & (rows[fp] == F.col(k))
     kept = rows.join(odd, same, "left_anti").select(*docs.columns)
     if not repeated:
         return kept
-    once = rows.join(again, same, "left_semi").withColumn("__id", F.col("doc_id").cast("long")).dropDuplicates(["__id", "__fp"])
-    return kept.unionByName(once.select(*docs.columns))
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    once = rows.join(again, same, "left_semi").groupBy(F.col("doc_id").cast("long").alias(i), F.col(fp)).agg(F.min_by(whole, F.struct(F.col("text").isNotNull(), F.col("text"))).alias(k))
+    return kept.unionByName(once.select(f"{k}.*"))
