@@ -270,7 +270,7 @@ def train(events: DataFrame, model: MaxEnt, rounds: int = ROUNDS) -> MaxEnt:
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([packed(s, mass)], pa.binary()) for s in sums), *([] if first else [pa.array([None], pa.binary())])], ["run", "slope", "seen"])
 
         slope = np.zeros_like(seen)
-        for r in events.mapInArrow(part, kind).repartition(RUNS, "run").mapInArrow(summed, kind).toLocalIterator():
+        for r in events.mapInArrow(part, kind).repartition(RUNS, "run").mapInArrow(summed, kind).collect():  # two models in half precision at most
             add_packed(r["slope"], slope[runs[r["run"]][0] :])
             if r["seen"]:
                 add_packed(r["seen"], seen[runs[r["run"]][0] :])
