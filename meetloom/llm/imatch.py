@@ -12,11 +12,14 @@ The band bounds the lexicon: a term needs BAND[0] of all documents, so there are
 (mean distinct terms of a document) / BAND[0] of them. That is checked before broadcasting;
 beyond MAX_BROADCAST_TERMS the lexicon is joined by a shuffle. DataFrame functions only.
 
-Each text meets its successor (descending doc_id, cyclic) in one shuffle: ids are cut into
-equal ranges, each range is one window, and the last row of a range is sent along to the
-next range as a guest. Null text counts as empty. Null ids order below all others, equal
-ids by text; repeated rows are neighbours of each other. A table of one row is its own
-successor. Other columns are ignored.
+Each text meets its successor (descending doc_id, cyclic) in one shuffle: ids are cut at
+SEGMENTS quantiles, each segment into equal ranges, each range is one window, and the last
+row of a range is sent along to the next range as a guest. So outliers stretch only their
+own segment, and a range has more than a few hundred rows only where ids repeat or cluster
+inside one segment; rows of one id, or without one, are always one window, which Spark
+spills. Null text counts as empty. Null ids order below all others, equal ids by text;
+repeated rows are neighbours of each other. A table of one row is its own successor. Ids
+may span the whole range of a long. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ BAND = (0.0005, 0.02)
 LEVELS, PER_LEVEL = 5, 8
 SUBSETS = LEVELS * PER_LEVEL
 MAX_BROADCAST_TERMS = 1_000_000
-ROWS_PER_RANGE, MAX_RANGES = 64, 100_000
+#: Rows of a range on average; beyond ROWS_PER_RANGE * MAX_RANGES rows, ranges grow instead of their number.
+ROWS_PER_RANGE, MAX_RANGES, SEGMENTS = 64, 1 << 20, 256
 #: Runs of ASCII that are neither letters nor digits part the terms.
 APART = r"[\x00-/:-@\[-`{-\x7F]+"
 EMPTY = "0000"
@@ -53,12 +57,25 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     return saved(kept.select("term", mask.alias("mask")))
 
 
-def fingerprint(terms: Column, all_terms: Column) -> Column:
-    """8 hex digits for the number of lexicon terms, 8 hashed from all terms (compared where there are none), 4 for each subset. terms: sorted structs of term, mask."""
+def _by_level(rows: DataFrame, terms: str) -> DataFrame:
+    """Adds {terms}_0 .. {terms}_4: the terms that any subset of that level or a finer one holds. Finer subsets then look through few terms."""
+    for level in range(LEVELS):
+        of = F.col(f"{terms}_{level - 1}" if level else terms)
+        rows = rows.withColumn(f"{terms}_{level}", F.filter(of, _any_of(((1 << SUBSETS) - 1) ^ ((1 << level * PER_LEVEL) - 1))))
+    return rows
+
+
+def _any_of(bits: int):
+    return lambda t: t["mask"].bitwiseAND(F.lit(bits).cast("long")) != 0
+
+
+def fingerprint(terms: str, all_terms: Column) -> Column:
+    """8 hex digits for the number of lexicon terms, 8 hashed from all terms (compared where there are none), 4 for each subset. terms: a column of sorted structs of term, mask, split by _by_level."""
 
     def subset(i: int) -> Column:
-        held = F.filter(terms, lambda t: t["mask"].bitwiseAND(F.lit(1 << i).cast("long")) != 0)
-        return F.when(F.size(held) > 0, F.substring(F.md5(F.array_join(F.transform(held, lambda t: t["term"]), " ").cast("binary")), 1, 4)).otherwise(EMPTY)
+        held = F.filter(F.col(f"{terms}_{i // PER_LEVEL}"), _any_of(1 << i))
+        joined = F.array_join(F.transform(held, lambda t: t["term"]), " ")
+        return F.when(joined != "", F.substring(F.md5(joined.cast("binary")), 1, 4)).otherwise(EMPTY)
 
     return F.concat(F.lpad(F.lower(F.hex(F.size(terms))), 8, "0"), all_terms, *map(subset, range(SUBSETS)))
 
@@ -73,19 +90,33 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(met) > 0, F.size(agree) / F.size(met)).otherwise((F.substring(a, 1, 16) == F.substring(b, 1, 16)).cast("double"))
 
 
+def _range_of(doc_id: Column, cuts: list[int], ranges: int) -> Column:
+    """The range of an id: its segment between cuts, and an equal part of that, in decimals that no difference of longs overflows. -1 for null."""
+    wide = lambda c: F.lit(c).cast("decimal(20,0)")
+    segment = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts[1:-1]]), lambda c: c <= doc_id))
+    low = F.get(F.array(*map(wide, cuts[:-1])), segment)
+    high = F.get(F.array(*map(wide, cuts[1:])), segment)
+    inside = F.floor((doc_id.cast("decimal(20,0)") - low) * F.lit(ranges) / (high - low + 1)).cast("long")
+    return F.when(doc_id.isNull(), F.lit(-1).cast("long")).otherwise(segment * F.lit(ranges).cast("long") + F.greatest(F.lit(0).cast("long"), F.least(inside, F.lit(ranges - 1).cast("long"))))
+
+
 def with_next_text(docs: DataFrame) -> DataFrame:
     """Rows (part, nth, guest, doc_id, text, next_text), hash-partitioned by part; guests only lead in their range."""
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    ranges = max(1, min(MAX_RANGES, n // ROWS_PER_RANGE))
-    low, high = low or 0, high or 0
-    width = (high - low) // ranges + 1
-    rows = docs.select(F.coalesce(F.expr(f"(doc_id - {low}L) div {width}L"), F.lit(-1)).cast("long").alias("own"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    about = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.expr(f"percentile_approx(doc_id, array({', '.join(f'{i / SEGMENTS}D' for i in range(1, SEGMENTS))}), 4096)").alias("cuts"), F.max_by(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), F.when(F.col("doc_id").isNull(), F.coalesce("text", F.lit("")))).alias("last_null")).first()
+    n = about["n"]
+    cuts = sorted({x for x in (about["low"], *(about["cuts"] or []), about["high"]) if x is not None}) or [0]
+    step = -(-len(cuts) // max(1, min(SEGMENTS, n // ROWS_PER_RANGE)))
+    cuts = [*(cuts[:-1:step] or cuts), cuts[-1]]
+    ranges = max(1, min(MAX_RANGES, n // ROWS_PER_RANGE) // (len(cuts) - 1))
+    rows = docs.select(_range_of(F.col("doc_id"), cuts, ranges).alias("own"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # At most MAX_RANGES + 1 rows: the largest id of each range and the range that comes next, cyclic.
-    last = docs.select(F.coalesce(F.expr(f"(doc_id - {low}L) div {width}L"), F.lit(-1)).cast("long").alias("own"), "doc_id").groupBy("own").agg(F.max("doc_id").alias("last_id"))
+    last = rows.select("own", "doc_id").groupBy("own").agg(F.max("doc_id").alias("last_id"))
     around = last.agg(F.min("own").alias("first_part")).collect()[0]["first_part"] if n else 0
     last = last.withColumn("then", F.coalesce(F.lead("own").over(Window.orderBy("own")), F.lit(around)))
     placed = rows.join(F.broadcast(last), "own")
-    placed = placed.select(F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("last_id")), F.array(F.struct(F.col("own").alias("part"), F.lit(False).alias("guest")), F.struct(F.col("then").alias("part"), F.lit(True).alias("guest")))).otherwise(F.array(F.struct(F.col("own").alias("part"), F.lit(False).alias("guest"))))).alias("p"), "doc_id", "text").select("p.part", "p.guest", "doc_id", "text")
+    is_last = F.when(F.col("doc_id").isNull(), F.sha2(F.col("text").cast("binary"), 256) == F.lit(about["last_null"] or "")).otherwise(F.col("doc_id") == F.col("last_id"))
+    at_home = F.struct(F.col("own").alias("part"), F.lit(False).alias("guest"))
+    placed = placed.select(F.explode(F.when(is_last, F.array(at_home, F.struct(F.col("then").alias("part"), F.lit(True).alias("guest")))).otherwise(F.array(at_home))).alias("p"), "doc_id", "text").select("p.part", "p.guest", "doc_id", "text")
     order = Window.partitionBy("part").orderBy(F.desc("guest"), F.asc_nulls_first("doc_id"), "text")
     return placed.withColumns({"nth": F.row_number().over(order), "next_text": F.lag("text").over(order)})
 
@@ -110,7 +141,8 @@ def imatch_fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_co
         lambda s: F.sort_array(F.collect_list(F.when(F.col("side") == s, F.col("held")))).alias(f"terms{s}"),
         lambda s: F.max(F.when(F.col("side") == s, F.col("about"))).alias(f"about{s}"),
     )])
-    prints = folded.select("part", "nth", "about0.about.*", fingerprint(F.col("terms0"), F.col("about0.all_terms")).alias("fingerprint"), fingerprint(F.col("terms1"), F.col("about1.all_terms")).alias("edited_fingerprint"), F.size("terms0").alias("n_terms"))
+    folded = _by_level(_by_level(folded, "terms0"), "terms1")
+    prints = folded.select("part", "nth", "about0.about.*", fingerprint("terms0", F.col("about0.all_terms")).alias("fingerprint"), fingerprint("terms1", F.col("about1.all_terms")).alias("edited_fingerprint"), F.size("terms0").alias("n_terms"))
     order = Window.partitionBy("part").orderBy("nth")
     prints = prints.withColumn("next_print", F.lag("fingerprint").over(order)).where("not guest")
     return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"), F.col("n_terms").cast("long").alias("n_terms"))

@@ -57,12 +57,31 @@ def test_curve_is_continuous_and_shards_keep_the_law(spark, sf):
             assert sorted(g["slot"]) == list(range(len(g)))
         assert got.sort_values("shard")["curve_index"].groupby(got["shard"]).agg(["min", "max"]).stack().is_monotonic_increasing if n else True
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    by_place = sorted((r["shard"], r["slot"], zlib.crc32((text[r["doc_id"]] or "").encode()), r["curve_index"], r["doc_id"]) for r in shard.hilbert_shards(docs).collect())
+    assert [(c, x, i) for _, _, x, c, i in by_place] == sorted((c, x, i) for _, _, x, c, i in by_place)  # curve, checksum, id: so equal texts are neighbours
+    cells = {}
+    for _, _, _, c, i in by_place:
+        assert cells.setdefault(text[i] or "", c) == c
     for r in shard.hilbert_shards(docs).collect():
         raw = (text[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"]) == (len(raw) + 1, zlib.crc32(raw))
     assert shard.shard_manifest(shard.hilbert_shards(docs)).count() == 8
 
 
+def test_hot_texts_are_numbered_like_others(spark, monkeypatch):
+    rows = [(i, "hot text" if i % 3 else f"text {i % 40}", "en" if i % 2 else "de", f"s{i % 5}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    plain = sorted((r["doc_id"], r["curve_index"]) for r in shard.hilbert_shards(docs).collect())
+    monkeypatch.setattr(shard, "HOT_ROWS", 20)
+    got = shard.hilbert_shards(docs).toPandas()
+    assert sorted(zip(got["doc_id"], got["curve_index"], strict=True)) == plain
+    assert {len(g) for _, g in got.groupby("shard")} == {50}
+    places = got.assign(place=got["shard"] * 50 + got["slot"]).sort_values("place")
+    assert places["place"].tolist() == list(range(400)) and places["curve_index"].is_monotonic_increasing
+    at = places.loc[places["doc_id"] % 3 != 0, "place"]
+    assert at.max() - at.min() == len(at) - 1
+
+
 def _plain_simhash(text):
     words = lower_words(text)
     if not words:
@@ -150,6 +169,17 @@ def test_imatch_against_plain_python(spark, sf):
     assert sum(g["near_edited"] > g["near_next"] for g in long) > 0.9 * len(long)
 
 
+def test_imatch_of_ids_at_both_ends_of_long(spark):
+    ids = [-(2**63), -(2**62), -5, 0, 2**53, 2**53 + 1, 2**62 + 5, 2**63 - 1, None, None]
+    df = spark.createDataFrame([(i, f"text of row {k} " * (k + 3)) for k, i in enumerate(ids)], "doc_id long, text string")
+    rows = sorted(((-(2**64) if r["doc_id"] is None else r["doc_id"], r["text"]) for r in df.collect()), reverse=True)
+    want = []
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        k = len(text) // 3
+        want.append((i, hashlib.sha256((text[: len(text) - k] + after[:k]).encode()).hexdigest()))
+    assert sorted((-(2**64) if r["doc_id"] is None else r["doc_id"], r["edited_sha256"]) for r in imatch.imatch_fingerprints(df).collect()) == sorted(want)
+
+
 def test_imatch_of_odd_rows(spark):
     df = spark.createDataFrame(ODD, DOCS)
     assert imatch.imatch_fingerprints(df).count() == len(ODD)
