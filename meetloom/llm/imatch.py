@@ -72,12 +72,14 @@ def _any_of(bits: int):
 def fingerprint(terms: str, all_terms: Column) -> Column:
     """8 hex digits for the number of lexicon terms, 8 hashed from all terms (compared where there are none), 4 for each subset. terms: a column of sorted structs of term, mask, split by _by_level."""
 
-    def subset(i: int) -> Column:
-        held = F.filter(F.col(f"{terms}_{i // PER_LEVEL}"), _any_of(1 << i))
-        joined = F.array_join(F.transform(held, lambda t: t["term"]), " ")
-        return F.when(joined != "", F.substring(F.md5(joined.cast("binary")), 1, 4)).otherwise(EMPTY)
+    def subset(held: Column) -> Column:
+        return F.when(F.size(held) > 0, F.substring(F.md5(F.array_join(F.transform(held, lambda t: t["term"]), " ").cast("binary")), 1, 4)).otherwise(EMPTY)
 
-    return F.concat(F.lpad(F.lower(F.hex(F.size(terms))), 8, "0"), all_terms, *map(subset, range(SUBSETS)))
+    def level(k: int) -> Column:  # one expression for the level's subsets: forty of their own would make huge generated code
+        bits = F.array(*[F.lit(1 << i).cast("long") for i in range(k * PER_LEVEL, (k + 1) * PER_LEVEL)])
+        return F.array_join(F.transform(bits, lambda bit: subset(F.filter(F.col(f"{terms}_{k}"), lambda t: t["mask"].bitwiseAND(bit) != 0))), "")
+
+    return F.concat(F.lpad(F.lower(F.hex(F.size(terms))), 8, "0"), all_terms, *map(level, range(LEVELS)))
 
 
 def likeness(a: Column, b: Column) -> Column:
