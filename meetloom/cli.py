@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meetloom import schemas
 from meetloom.extract import kernels
 from meetloom.operators import findings, health, items
-from meetloom.sources import registry_log, screening, store
+from meetloom.sources import jobs, registry_log, screening, store
 
 
 def session() -> SparkSession:
@@ -57,17 +57,7 @@ def parser() -> argparse.ArgumentParser:
 
 def texts_below(spark: SparkSession, root: str, named: str | None) -> DataFrame:
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").withColumn("path", F.input_file_name())
-    return screening.screened(files).where("reason <> 'cancellation'").select("path", F.col("value").alias("text"), F.lit(named).cast("string").alias("parser"))
-
-
-def import_items(tables: store.Store, found: DataFrame) -> None:
-    """Items and topics of the found documents: stale items go, the others are merged, topics are replaced, all in one commit."""
-    rows, topics = schemas.stored_items(found), schemas.item_topics(found)
-    old, old_topics = tables.read("items", schemas.ITEMS), tables.read("item_topics", schemas.TOPICS)
-    batch = store.last_per_key(rows.withColumn("__pos", F.col("pos")), ["agenda_item_id"], "__pos").drop("pos")
-    gone = store.stale_children(old, batch, "document_id", "agenda_item_id").select("agenda_item_id")
-    kept_topics = store.without(old_topics, gone, "agenda_item_id")
-    tables.commit({"items": store.upsert(store.without(old, gone, "agenda_item_id"), store.conform(batch, schemas.ITEMS), ["agenda_item_id"]), "item_topics": store.replace_children(kept_topics, topics, "agenda_item_id", ["agenda_item_id", "topic_tag"])})
+    return screening.screened(files).where("reason <> 'cancellation_notice'").select("path", F.col("value").alias("text"), F.lit(named).cast("string").alias("parser"))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -89,7 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "extract-items":
         show(kernels.extract_items(texts_below(spark, a.root, a.parser)))
     elif a.command == "import-items":
-        import_items(tables, kernels.extract_items(texts_below(spark, a.root, a.parser)).withColumn("source_id", F.lit(a.source_id)))
+        print(json.dumps(jobs.import_items(tables, kernels.extract_items(texts_below(spark, a.root, a.parser)).withColumn("source_id", F.lit(a.source_id)))))
     elif a.command == "backfill-dates":
         dated = store.backfill_dates(tables.read("items", schemas.ITEMS))
         print(json.dumps({"changed": dated.where("changed").count()}))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from meetloom.extract import patterns as p
-from meetloom.functions.rules import MONTHS, SUPPORTING_PARTS, TOPIC_RULES
+from meetloom.functions.rules import DOCUMENT_ROLES, MONTHS, ROLE_OF_PATH, ROLE_OF_REST, SUPPORTING_PARTS, TOPIC_RULES
 
 DEFAULT, PRIMEGOV, PROCEEDINGS, SUPPORTING = "la_county_cluster_text", "la_city_primegov_html", "la_county_bos_sop_text", "supporting_document_text"
 
@@ -41,6 +41,10 @@ class Item:
     noes_count: int | None = None
     abstain_count: int | None = None
     absent_count: int | None = None
+    ayes_members: list[str] = field(default_factory=list)
+    noes_members: list[str] = field(default_factory=list)
+    abstain_members: list[str] = field(default_factory=list)
+    absent_members: list[str] = field(default_factory=list)
 
 
 @dataclass
@@ -140,7 +144,11 @@ def _is_boundary(line: str) -> bool:
 
 def parse_cluster_agenda(text: str, path: str) -> Document:
     """Lettered items and district motions under numbered sections. A section header is looked for first, so letters that are
-    Roman digits open sections."""
+    Roman digits open sections. Agendas of regional bodies, told by both of their markers, have a layout of their own."""
+    from meetloom.extract import meetings
+
+    if meetings.REGIONAL_MARKER.search(text) and meetings.REGIONAL_OPENING in text:
+        return meetings.parse_regional(text, path)
     text = normalised(text)
     items: list[Item] = []
     section: tuple[str, str] | None = None
@@ -250,7 +258,8 @@ def parliamentary(lines: list[str]) -> dict:
     votes = [(m[1].lower(), m[0], m[2]) for m in map(p.VOTE.match, lines) if m]
     for label, _, names in votes:
         kind = "abstain" if label.startswith("abst") else label
-        out[f"{kind}_count"] = len([n for n in map(member, split_names(re.sub(r"\b\d+\s*-\s*$", "", names))) if n]) or None
+        out[f"{kind}_members"] = [n for n in map(member, split_names(re.sub(r"\b\d+\s*-\s*$", "", names))) if n]
+        out[f"{kind}_count"] = len(out[f"{kind}_members"]) or None
     out["vote_text_raw"] = squeeze(" ".join(v[1] for v in votes)) or None
     return out
 
@@ -272,12 +281,10 @@ def parse_supporting(text: str, path: str) -> Document:
 
 
 def supporting_role(text: str, path: str) -> str:
+    """The same rules as exprs.document_role."""
     low = text.lower()
-    tests: list[tuple[Callable[[str], object], str]] = [
-        (lambda t: "statement of proceedings" in t or p.MINUTES.search(t), "minutes"), (p.SLIDES.search, "presentation"), (p.GOVERNANCE.search, "governance_doc"), (lambda t: "board letter" in t, "board_letter"),
-        (lambda t: "resolution" in t, "resolution"), (p.AGREEMENT.search, "agreement"), (lambda t: "motion" in t, "motion"), (p.REPORT.search, "report"), (lambda t: any(x in (path or "").lower() for x in SUPPORTING_PARTS), "supporting_document"),
-    ]
-    return next((role for test, role in tests if test(low)), "attachment")
+    by_text = next((role for pattern, role in DOCUMENT_ROLES if re.search(pattern, low)), None)
+    return by_text or (ROLE_OF_PATH if any(x in (path or "").lower() for x in SUPPORTING_PARTS) else ROLE_OF_REST)
 
 
 PARSERS: dict[str, Callable[[str, str], Document]] = {DEFAULT: parse_cluster_agenda, PRIMEGOV: parse_meeting_html, SUPPORTING: parse_supporting}
@@ -290,11 +297,9 @@ def detect_parser(text: str, path: str) -> str:
 
     if p.HTML_MARKER.search(text):
         return PRIMEGOV
-    if p.PROCEEDINGS_MARKER.search(text) and "board of supervisors" in text.lower():
+    if p.PROCEEDINGS_MARKER.search(text) and "Board of Supervisors" in text:
         return PROCEEDINGS
-    if meetings.DEPUTIES_MARKER.search(text):
-        return meetings.DEPUTIES
-    return meetings.REGIONAL if meetings.REGIONAL_MARKER.search(text) else DEFAULT
+    return meetings.DEPUTIES if meetings.DEPUTIES_MARKER.search(text) else DEFAULT
 
 
 def extract(text: str, path: str = "", parser: str | None = None) -> Document:
@@ -305,13 +310,13 @@ def extract(text: str, path: str = "", parser: str | None = None) -> Document:
     for item in doc.items:
         if item.action_text_raw is None or item.final_action is None:
             for name, value in parliamentary(item.text_block.split("\n")).items():
-                if getattr(item, name) is None:
+                if getattr(item, name) in (None, []):
                     setattr(item, name, value)
     return doc
 
 
 ITEM_FIELDS = ("section_number string, section_title string, item_label string, item_type string, title string, text_block string, speakers array<string>, topic_tags array<string>, action_text_raw string, vote_text_raw string, "
-               "final_action string, motion_by string, second_by string, ayes_count int, noes_count int, abstain_count int, absent_count int")
+               "final_action string, motion_by string, second_by string, ayes_count int, noes_count int, abstain_count int, absent_count int, ayes_members array<string>, noes_members array<string>, abstain_members array<string>, absent_members array<string>")
 SCHEMA = f"path string, parser string, cluster_name string, meeting_date string, meeting_date_iso string, document_role string, pos int, {ITEM_FIELDS}"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import takewhile
 
 from meetloom.extract import patterns as p
 from meetloom.extract.kernels import PARSERS, PROCEEDINGS, Document, Item, normalised, parliamentary, squeeze, tags_of
@@ -32,6 +33,12 @@ def _clean_title(text: str) -> str:
     return squeeze(p.FILE_ID.sub("", text)).strip(" -")
 
 
+def _has_file_number(lines: list[str]) -> bool:
+    """On the first line, or on one after it before a section or a numbered line without one."""
+    reach = takewhile(lambda x: x is lines[0] or not SECTION.match(x) and (not NUMBERED.match(x) or p.FILE_ID.search(x)), lines)
+    return any(p.FILE_ID.search(x) for x in reach)
+
+
 def _labels(lines: list[str]) -> list[str]:
     """One label per line. A numbered line starts an item if a file number is on it or on one of the next five non-blank-agnostic lines."""
     out = []
@@ -42,8 +49,8 @@ def _labels(lines: list[str]) -> list[str]:
             out.append("end")
         elif SET_MATTER.match(line):
             out.append("set")
-        elif NUMBERED.match(line) and any(p.FILE_ID.search(x) for x in lines[i : i + 1 + LOOK_AHEAD]):
-            out.append("item")
+        elif NUMBERED.match(line):
+            out.append("item" if _has_file_number(lines[i : i + 1 + LOOK_AHEAD]) else "numbered")
         elif SECTION.match(line):
             out.append("section")
         elif SECTION_NUMBER.match(line):
@@ -53,37 +60,50 @@ def _labels(lines: list[str]) -> list[str]:
     return out
 
 
+def _is_special(section: str) -> bool:
+    """Sections whose numbered lines are items without a file number."""
+    return "SET MATTER" in section.upper() or "PUBLIC HEARING" in section.upper()
+
+
 def parse_proceedings(text: str, path: str) -> Document:
+    """Regular items start at a numbered line with a file number nearby; their titles run to a body phrase or to the line of a later
+    file number. Special ones, in set-matter and hearing sections or by a set-matter line, end their titles before such a line."""
     lines = [squeeze(x) for x in normalised(text, join_wraps=False).splitlines()]
     date = next((m for m in map(p.LONG_DATE.search, lines) if m), None)
     items: list[Item] = []
     number, title = "", ""
-    label, head, body, titled = "", [], [], False
+    label, head, body, titled, special, under = "", [], [], False, False, ""
 
     def close() -> None:
         nonlocal label, head, body
         if label and (name := _clean_title(" ".join(head))):
             block = squeeze(" ".join([name, *body]))
-            items.append(Item(number or "UNSPECIFIED", title or "Unspecified", label, item_type(name, title), name, block, [], tags_of(f"{title} {block}"), **parliamentary([*head, *body])))
+            items.append(Item(number or "UNSPECIFIED", under or "Unspecified", label, item_type(name, under), name, block, [], tags_of(f"{under} {block}"), **parliamentary([*head, *body])))
         label, head, body = "", [], []
 
     for line, kind in zip(lines, _labels(lines), strict=True):
         if kind == "end":
             break
-        if kind in ("section", "number"):
+        starts = (
+            kind == "item"
+            or kind == "numbered" and _is_special(title) and not (label and (titled or body))
+            or kind == "set" and (special or not label) and (_is_special(title) or not title)
+        )
+        if kind == "section" or kind == "number" and not label:
             close()
             m = (SECTION if kind == "section" else SECTION_NUMBER).match(line)
             number, title = m[1].upper(), re.sub(r"\s+\d+\s*-\s*\d+$", "", m[2]) if kind == "section" else ""
-        elif kind in ("item", "set"):
+        elif starts:
             close()
-            m = (NUMBERED if kind == "item" else SET_MATTER).match(line)
-            if kind == "set" and not title:
-                number, title = number or "SET MATTER", "SET MATTERS" if "set matters" in line.lower() else "SET MATTER"
-            label, head, titled = m[1], [m[2] or ""], bool(p.FILE_ID.search(line))
-        elif kind == "text" and number and not title and not label and line.isupper() and len(line) < 80:
+            m = (SET_MATTER if kind == "set" else NUMBERED).match(line)
+            special, under = _is_special(title) or kind == "set", title or ("SET MATTER" if kind == "set" else "")
+            label, head, titled = m[1], [m[2]] if m[2] else [], False
+        elif kind == "skip":
+            continue
+        elif number and not title and not label and line.isupper() and len(line) < 80:
             title = line
-        elif kind == "text" and label:
-            if titled or BODY.match(line) or body:
+        elif label:
+            if titled or body or BODY.match(line) or special and p.FILE_ID.search(line):
                 body.append(line)
             else:
                 head.append(line)

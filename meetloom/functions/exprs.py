@@ -1,9 +1,11 @@
-"""Scalar functions as plain Column expressions; all stay inside code generation."""
+"""Scalar functions as plain Column expressions. All stay in the JVM but for character references and title case."""
 
 from __future__ import annotations
 
+import html
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,11 +65,11 @@ def document_type(c: Column) -> Column:
 
 
 def date_iso(c: Column) -> Column:
-    """Display dates of four forms to yyyy-MM-dd; null if none fits. A leading weekday is accepted unchecked."""
+    """Display dates of four forms to yyyy-MM-dd; null if none fits. A leading weekday is accepted unchecked. A cheap look at the text picks the one form to parse."""
     squeezed = F.trim(F.regexp_replace(c, r"\s+", " "))
     bare = F.regexp_replace(squeezed, f"(?i)^(?:{'|'.join(rules.WEEKDAYS)}), (?=[A-Za-z])", "")
-    ymd, mdy = F.try_to_date(squeezed, "yyyy-M-d"), F.try_to_date(squeezed, "M/d/yyyy")
-    return F.date_format(F.coalesce(ymd, F.try_to_date(bare, "MMMM d, yyyy"), mdy), "yyyy-MM-dd")
+    parsed = F.when(squeezed.contains("/"), F.try_to_date(squeezed, "M/d/yyyy")).when(squeezed.contains(","), F.try_to_date(bare, "MMMM d, yyyy")).when(squeezed.contains("-"), F.try_to_date(squeezed, "yyyy-M-d"))
+    return F.date_format(parsed, "yyyy-MM-dd")
 
 
 def slash_date(c: Column) -> Column:
@@ -92,15 +94,38 @@ def lines_of(c: Column) -> Column:
     return F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
 
 
+def unescaped(c: Column) -> Column:
+    """Character references of the whole HTML5 table decoded. Only texts with an ampersand go through Python."""
+
+    @F.arrow_udf("string")
+    def decode(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
+
+    return F.coalesce(decode(F.when(c.contains("&"), c)), c)
+
+
 def html_to_text(c: Column) -> Column:
-    """Line breaks for <br> and closing block tags, other tags a space, blank lines dropped. The five basic entities and &nbsp; are decoded."""
+    """Line breaks for <br> and closing block tags, other tags a space, character references decoded, blank lines dropped."""
     t = F.regexp_replace(c, r"(?i)<br\s*/?>|</(?:p|div|tr|li|table|tbody|td|h\d|u|strong|span)>", "\n")
-    t = F.regexp_replace(t, "<[^>]+>", " ")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
+    t = unescaped(F.regexp_replace(t, "<[^>]+>", " "))
     return F.array_join(F.filter(F.transform(F.split(t, "\n"), clean_text), lambda x: x != ""), "\n")
 
 
+def plain(fragment: Column) -> Column:
+    """Tags and character references out of a fragment, white space squeezed."""
+    return clean_text(unescaped(F.regexp_replace(fragment, "<[^>]+>", " ")))
+
+
+def title_case(c: Column) -> Column:
+    """A capital after every character that is no letter, as in "Children'S"."""
+
+    @F.arrow_udf("string")
+    def title(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else t.title() for t in texts.to_pylist()], pa.string())
+
+    return title(c)
+
+
 def topic_tags(text: Column, topic_rules: Mapping[str, Sequence[str]] = rules.TOPIC_RULES) -> Column:
     """Sorted distinct tags of which any keyword is a substring of the lowered text: one pass, no join."""
     lowered = F.lower(text)
@@ -151,21 +176,32 @@ def why_it_matters(tags: Column, level: Column, explanations: Mapping[str, str]
     return F.concat(base, F.element_at(ends, level))
 
 
-def document_role(name: Column) -> Column:
-    """Role of a supporting document by its name, first rule that fits."""
-    n = F.lower(name)
-    case = F.when(n.rlike(r"\bminutes\b"), "minutes").when(n.rlike(r"\b(presentation|slides?)\b"), "presentation").when(n.rlike(r"\b(bylaws|charter|governance)\b"), "governance_doc")
-    for word in ("board letter", "resolution", "agreement", "motion", "report"):
-        case = case.when(n.contains(word), word.replace(" ", "_"))
-    return case.otherwise("attachment")
+def document_role(text: Column, path: Column | None = None) -> Column:
+    """Role of a supporting document by its text, first rule that fits, else by its path."""
+    low = F.lower(text)
+    fits = [F.when(low.rlike(pattern), role) for pattern, role in rules.DOCUMENT_ROLES]
+    if path is not None:
+        there = F.lit(False)
+        for part in rules.SUPPORTING_PARTS:
+            there = there | F.lower(path).contains(part)
+        fits.append(F.when(there, rules.ROLE_OF_PATH))
+    return F.coalesce(*fits, F.lit(rules.ROLE_OF_REST))
 
 
-def screening(path: Column) -> Column:
-    """Why a path is screened out, in order of precedence, or 'include'."""
-    low = F.lower(path)
-    name = F.regexp_extract(low, "([^/]*)$", 1)
-    cancelled = F.lit(False)
+def is_cancellation(path: Column) -> Column:
+    name, out = F.lower(F.regexp_extract(path, "([^/]*)$", 1)), F.lit(False)
     for token in rules.CANCELLATION_TOKENS:
-        cancelled = cancelled | name.contains(token)
-    supporting = F.arrays_overlap(F.split(low, "/"), F.array(*map(F.lit, rules.SUPPORTING_PARTS)))
-    return F.when(cancelled, "cancellation").when(supporting, "supporting_document").otherwise("include")
+        out = out | name.contains(token)
+    return out
+
+
+def is_supporting(path: Column) -> Column:
+    """A whole part of the path says so, not a substring."""
+    return F.arrays_overlap(F.split(F.lower(path), "/"), F.array(*map(F.lit, rules.SUPPORTING_PARTS)))
+
+
+def screening(path: Column, parser: Column | None = None) -> Column:
+    """Why a path is screened out, in order of precedence, or 'included'. Of pages that exist in several renditions, the page parser takes one."""
+    page = F.lower(F.regexp_extract(path, "([^/]*)$", 1)).contains(rules.PAGE_NAME_TOKEN)
+    companion = F.coalesce(parser == rules.PAGE_PARSER, F.lit(False)) & ~page if parser is not None else F.lit(False)
+    return F.when(is_cancellation(path), "cancellation_notice").when(is_supporting(path), "supporting_material").when(companion, "non_canonical_companion").otherwise("included")

@@ -50,6 +50,21 @@ DIGEST_TOPICS = ["housing", "homelessness", "probation", "public_safety", "behav
 # Path screening.
 CANCELLATION_TOKENS = ["cancelled", "canceled", "notice-of-cancellation"]
 SUPPORTING_PARTS = ["supporting_docs", "supporting-docs"]
+PAGE_PARSER, PAGE_NAME_TOKEN = "la_city_primegov_html", "_html-"
+NON_ITEM_PARSERS = ["lacounty_govdelivery_email"]
+
+# Roles of supporting documents, the first that fits the lowered text; a pattern is a regular expression.
+DOCUMENT_ROLES = [
+    (r"statement of proceedings|\b(minutes|draft minutes)\b", "minutes"),
+    (r"\b(slide deck|presentation)\b", "presentation"),
+    (r"\b(bylaws|charter|membership slate|meeting dates)\b", "governance_doc"),
+    (r"board letter", "board_letter"),
+    (r"resolution", "resolution"),
+    (r"\b(agreement|amendment)\b", "agreement"),
+    (r"motion", "motion"),
+    (r"\b(report|spending plan|strategic plan|workplan|work plan|metrics|dashboard)\b", "report"),
+]
+ROLE_OF_PATH, ROLE_OF_REST = "supporting_document", "attachment"
 
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]

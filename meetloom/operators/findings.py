@@ -52,3 +52,10 @@ def fetch_findings(findings: DataFrame, filters: FindingFilters = FindingFilters
     if filters.search:
         findings = findings.where(exprs.contains_like(F.col("title"), filters.search) | exprs.contains_like(F.col("summary_plain"), filters.search) | exprs.contains_like(F.col("why_it_matters"), filters.search))
     return limited(findings.orderBy(*finding_order()), filters.limit)
+
+
+def top_findings(findings: DataFrame, n: int = 10) -> DataFrame:
+    """The dashboard's list: priority, the display date as text, source, title."""
+    rank = finding_order()[0]
+    found = findings.orderBy(rank, F.col("meeting_date").desc_nulls_last(), F.col("source_id").asc_nulls_first(), F.col("title").asc_nulls_first(), F.col("finding_id").asc()).limit(n)
+    return found.select("finding_id", "source_id", F.col("cluster_name").alias("body_name"), "meeting_date", "title", "summary_plain", "priority_level", "trend_signal")

@@ -54,7 +54,7 @@ def fetch_items(items: DataFrame, topics: DataFrame, filters: ItemFilters = Item
         items = items.join(topics.where(F.col("topic_tag") == filters.topic), "agenda_item_id", "left_semi")
     none = F.array().cast("array<string>")
     found = limited(items.orderBy(*item_order()), filters.limit) if filters.limit >= 0 else items
-    # The limit comes first: only the rows that stay meet their tags.
+    # The limit comes first: only the rows that stay meet their tags; topics come from a table of their own.
     with_tags = found.join(tags_of(topics.join(found.select("agenda_item_id"), "agenda_item_id", "left_semi")), "agenda_item_id", "left")
     return with_tags.withColumn("topic_tags", F.coalesce("topic_tags", none)).orderBy(*item_order())
 
@@ -89,10 +89,18 @@ def high_signal(items: DataFrame, topics: list[str] = rules.DIGEST_TOPICS, n: in
 
 
 def digest_markdown(items: DataFrame) -> str:
-    """A digest of an already limited read, as Markdown."""
+    """A digest of an already limited read, as Markdown; null fields read None, and there is no line feed at the end."""
     held = items.persist()
     try:
-        out = ["# Weekly Digest", "", f"Items: {held.count()}", "", "## Bodies", *(f"- {r['body']}: {r['items']}" for r in count_by_body(held).collect()), "", "## Topics", *(f"- {r['topic_tag']}: {r['items']}" for r in count_by_topic(held).collect()), "", "## High-signal items"]
-        return "\n".join([*out, *(f"- {r['meeting_date']} | {r['cluster_name']} | {r['item_label']} | {r['title']}" for r in high_signal(held).collect())]) + "\n"
+        parts = [["# Weekly Digest"], [f"- Items reviewed: {held.count()}"]]
+        parts.append(["## Clusters", *(f"- {r['body']}: {r['items']}" for r in count_by_body(held).collect())])
+        parts.append(["## Topics", *(f"- {r['topic_tag']}: {r['items']}" for r in count_by_topic(held).collect())])
+        parts.append(["## High-Signal Items", *(f"- {r['meeting_date']} | {r['cluster_name']} | {r['title']}" for r in high_signal(held).collect())])
+        return "\n\n".join("\n".join(x) for x in parts)
     finally:
         held.unpersist()
+
+
+def count_by(rows: DataFrame, column: str) -> DataFrame:
+    """Rows per value of a column, in order of the value."""
+    return rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.asc_nulls_first("value"))

@@ -140,9 +140,10 @@ def findings_read(spark, sf_dir):
     return fnd.fetch_findings(_findings(spark, sf_dir), fnd.FindingFilters(topic="origin", search="HE")).select("finding_id", "priority_level", "meeting_date", "source_id")
 
 
-@query(f"WITH {FINDINGS_SQL} SELECT finding_id, priority_level, meeting_date FROM f ORDER BY {_FINDING_ORDER} LIMIT 10")
+@query(f"""WITH {FINDINGS_SQL} SELECT finding_id, source_id, cluster_name AS body_name, meeting_date, title, summary_plain, priority_level, trend_signal FROM f
+ORDER BY CASE priority_level WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, meeting_date DESC NULLS LAST, source_id NULLS FIRST, title NULLS FIRST, finding_id LIMIT 10""")
 def top_findings10(spark, sf_dir):
-    return fnd.fetch_findings(_findings(spark, sf_dir), fnd.FindingFilters(limit=10)).select("finding_id", "priority_level", "meeting_date")
+    return fnd.top_findings(_findings(spark, sf_dir))
 
 
 def _display(c):
@@ -216,19 +217,46 @@ def message_first_last(spark, sf_dir):
     return ranking.document_summaries(c, "conv_id", "turn", ["role", "text"]).join(last, "conv_id")
 
 
-@query(r"""SELECT doc_id, CASE WHEN regexp_matches(n, '\bminutes\b') THEN 'minutes' WHEN regexp_matches(n, '\b(presentation|slides?)\b') THEN 'presentation' WHEN regexp_matches(n, '\b(bylaws|charter|governance)\b') THEN 'governance_doc'
-WHEN contains(n, 'board letter') THEN 'board_letter' WHEN contains(n, 'resolution') THEN 'resolution' WHEN contains(n, 'agreement') THEN 'agreement' WHEN contains(n, 'motion') THEN 'motion' WHEN contains(n, 'report') THEN 'report' ELSE 'attachment' END AS role
-FROM (SELECT doc_id, lower(text) AS n FROM documents)""")
+@query(r"""SELECT doc_id, CASE WHEN contains(n, 'statement of proceedings') OR regexp_matches(n, '\b(minutes|draft minutes)\b') THEN 'minutes' WHEN regexp_matches(n, '\b(slide deck|presentation)\b') THEN 'presentation'
+WHEN regexp_matches(n, '\b(bylaws|charter|membership slate|meeting dates)\b') THEN 'governance_doc' WHEN contains(n, 'board letter') THEN 'board_letter' WHEN contains(n, 'resolution') THEN 'resolution'
+WHEN regexp_matches(n, '\b(agreement|amendment)\b') THEN 'agreement' WHEN contains(n, 'motion') THEN 'motion' WHEN regexp_matches(n, '\b(report|spending plan|strategic plan|workplan|work plan|metrics|dashboard)\b') THEN 'report'
+WHEN contains(path, 'supporting_docs') OR contains(path, 'supporting-docs') THEN 'supporting_document' ELSE 'attachment' END AS role
+FROM (SELECT doc_id, lower(text || CASE doc_id % 12 WHEN 0 THEN ' draft minutes' WHEN 1 THEN ' slide deck' WHEN 2 THEN ' slides' WHEN 3 THEN ' governance' WHEN 4 THEN ' Membership Slate' WHEN 5 THEN ' amendment' WHEN 6 THEN ' Work Plan' WHEN 7 THEN ' Statement of Proceedings' WHEN 8 THEN ' MOTION' ELSE '' END) AS n,
+CASE WHEN doc_id % 3 = 0 THEN '/in/x/supporting-docs/' ELSE '/in/' END || doc_id AS path FROM documents)""")
 def document_role(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", exprs.document_role(F.col("text")).alias("role"))
+    k, added = F.col("doc_id"), F.lit("")
+    for i, words in enumerate((" draft minutes", " slide deck", " slides", " governance", " Membership Slate", " amendment", " Work Plan", " Statement of Proceedings", " MOTION")):
+        added = F.when(k % 12 == i, words).otherwise(added)
+    path = F.concat(F.when(k % 3 == 0, "/in/x/supporting-docs/").otherwise("/in/"), k.cast("string"))
+    return table(spark, sf_dir, "documents").select("doc_id", exprs.document_role(F.concat("text", added), path).alias("role"))
 
 
-@query("""WITH p AS (SELECT CASE page_id % 4 WHEN 0 THEN '/in/supporting_docs/' WHEN 1 THEN '/in/Canceled-' ELSE '/in/' END || page_id AS path FROM pages)
-SELECT reason, count(*)::BIGINT AS paths FROM (SELECT CASE WHEN contains(lower(split_part(path, '/', -1)), 'cancel') THEN 'cancellation' WHEN contains(path, '/supporting_docs/') THEN 'supporting_document' END AS reason FROM p) WHERE reason IS NOT NULL GROUP BY reason""")
+_PATHS_SQL = """p AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN '/in/supporting_docs/' WHEN 1 THEN '/in/Canceled-' WHEN 2 THEN '/in/a_HTML-' WHEN 3 THEN '/in/Supporting-Docs/x/Notice-of-Cancellation' WHEN 4 THEN '/cancelled/supporting_docs_old/' ELSE '/in/a_pdf-' END || page_id AS path FROM pages),
+n AS (SELECT *, lower(regexp_extract(path, '[^/]*$')) AS name FROM p),
+r AS (SELECT *, CASE WHEN contains(name, 'cancelled') OR contains(name, 'canceled') OR contains(name, 'notice-of-cancellation') THEN 'cancellation_notice'
+WHEN list_has_any(string_split(lower(path), '/'), ['supporting_docs', 'supporting-docs']) THEN 'supporting_material' WHEN NOT contains(name, '_html-') THEN 'non_canonical_companion' ELSE 'included' END AS reason FROM n)"""
+
+
+def _paths(spark, sf_dir) -> DataFrame:
+    out = F.lit("/in/a_pdf-")
+    for i, start in enumerate(("/in/supporting_docs/", "/in/Canceled-", "/in/a_HTML-", "/in/Supporting-Docs/x/Notice-of-Cancellation", "/cancelled/supporting_docs_old/")):
+        out = F.when(F.col("page_id") % 6 == i, start).otherwise(out)
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(out, F.col("page_id").cast("string")).alias("path"))
+
+
+@query(f"WITH {_PATHS_SQL} SELECT reason, count(*)::BIGINT AS paths FROM r WHERE reason <> 'included' GROUP BY reason")
 def screening_breakdown(spark, sf_dir):
-    k = F.col("page_id")
-    paths = table(spark, sf_dir, "pages").select(F.concat(F.when(k % 4 == 0, "/in/supporting_docs/").when(k % 4 == 1, "/in/Canceled-").otherwise("/in/"), k.cast("string")).alias("path"))
-    return screening.screening_breakdown(paths)
+    return screening.screening_breakdown(_paths(spark, sf_dir), parser=rules.PAGE_PARSER)
+
+
+@query(f"WITH {_PATHS_SQL} SELECT page_id, reason FROM r")
+def screening_reasons(spark, sf_dir):
+    return screening.screened(_paths(spark, sf_dir), parser=rules.PAGE_PARSER).select("page_id", "reason")
+
+
+@query(f"WITH {_PATHS_SQL} SELECT page_id FROM r WHERE list_has_any(string_split(lower(path), '/'), ['supporting_docs', 'supporting-docs']) AND reason <> 'cancellation_notice'")
+def supporting_files(spark, sf_dir):
+    return screening.supporting_files(_paths(spark, sf_dir)).select("page_id")
 
 
 @query("""SELECT e.event_id, e.event_type FROM events e LEFT JOIN (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END AS v FROM events WHERE event_id % 3 <> 0) s USING (event_id)

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meetloom.functions.exprs import blank_to_null, clean_text, date_iso
+from meetloom.functions.exprs import blank_to_null, date_iso, plain, unescaped
 from meetloom.operators.ranking import first_per_key
 
 # Tags and words of the pages, and how child links rank.
@@ -20,14 +20,6 @@ OFFICE_SUFFIXES = [".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx", ".csv"]
 DOWNLOAD_WORDS = ["download", "attachment", "support", "supdoc", "boardletter"]
 
 
-def plain(fragment: Column) -> Column:
-    """Tags and basic entities out of a fragment, white space squeezed."""
-    t = F.regexp_replace(fragment, "<[^>]+>", " ")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return clean_text(t)
-
-
 def api_agendas(rows: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """API rows (date, url, deptAbbrv, title, documentTitle, originalFileName) to body, label, agenda_date, url; malformed rows are skipped."""
     named = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else F.create_map().cast("map<string,string>")
@@ -62,7 +54,7 @@ def scope_tiles(pages: DataFrame) -> DataFrame:
 def document_cards(pages: DataFrame) -> DataFrame:
     """Pages (scope_id, html) to the first card of each document id: scope_id, document_id, title, pos."""
     pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(DOCUMENT_CARD), 1).alias("id"), F.regexp_extract_all("html", F.lit(DOCUMENT_CARD), 2).alias("title"))
-    cards = pages.select("scope_id", F.posexplode(pairs).alias("pos", "c")).select("scope_id", F.replace("c.id", F.lit("&amp;"), F.lit("&")).alias("document_id"), plain(F.col("c.title")).alias("title"), "pos")
+    cards = pages.select("scope_id", F.posexplode(pairs).alias("pos", "c")).select("scope_id", unescaped(F.col("c.id")).alias("document_id"), plain(F.col("c.title")).alias("title"), "pos")
     return first_per_key(cards, ["scope_id", "document_id"], [F.col("pos")])
 
 
@@ -107,9 +99,54 @@ def selected_meetings(meetings: DataFrame, committees: Sequence[int]) -> DataFra
     return meetings.where(F.col("committeeId").isin(list(committees)) & ~F.lower(plain(F.coalesce("title", F.lit("")))).contains("sap"))
 
 
-def agenda_documents(documents: DataFrame, key: str) -> DataFrame:
-    """One agenda document per key and template name: type 1 before others, 3 last, then the larger id."""
-    low = F.lower(F.trim(plain(F.col("templateName"))))
-    kept = documents.withColumn("template", low).where(F.col("template").contains("agenda") | F.col("template").contains("notice of cancellation"))
-    order = F.when(F.col("compileOutputType") == 1, 0).when(F.col("compileOutputType") == 3, 2).otherwise(1)
-    return first_per_key(kept, [key, "template"], [order, -F.col("id")])
+def agenda_documents(documents: DataFrame, key: str, position: str | None = None) -> DataFrame:
+    """One agenda document per key and template name. With a position, documents are compared pairwise in that order as they come:
+    type 1 replaces another type, type 3 never replaces another type, else the larger id wins. Without one, type 1 comes before
+    others and 3 last, then the larger id, which is the same for types 1 and 3 alone."""
+    kept = documents.withColumn("template", F.lower(F.trim(plain(F.col("templateName"))))).where(F.col("template").contains("agenda") | F.col("template").contains("notice of cancellation"))
+    if position is None:
+        order = F.when(F.col("compileOutputType") == 1, 0).when(F.col("compileOutputType") == 3, 2).otherwise(1)
+        return first_per_key(kept, [key, "template"], [order, -F.col("id")])
+    others = [c for c in kept.columns if c not in (key, "template", position)]
+    listed = kept.groupBy(key, "template").agg(F.sort_array(F.collect_list(F.struct(position, *others))).alias("all"))
+
+    def better(now: Column, new: Column) -> Column:
+        a, b = now["compileOutputType"], new["compileOutputType"]
+        wins = F.when((b == 1) & (a != 1), True).when((b == 3) & (a != 3), False).otherwise(F.coalesce(new["id"], F.lit(0)) > F.coalesce(now["id"], F.lit(0)))
+        return F.when(wins, new).otherwise(now)
+
+    return listed.select(key, "template", F.aggregate(F.slice("all", 2, 1_000_000), F.get("all", 0), better).alias("d")).select(key, "template", "d.*")
+
+
+# The cards of archived agenda pages, and the fields of a document's page.
+CARD = r'(?i)<div data-cms-item-id="[^"]+" class="card upcoming-meeting">'
+CARD_TITLE = r'(?i)<h4[^>]*class="card-title">([^<]+)</h4>'
+CARD_TIME = r'(?i)data-cms-element-codename="date_and_time">([^<]+)</time>'
+CARD_PAGE = r'(?is)<a[^>]+href="([^"]+\.htm[^"]*)"[^>]*>(?:(?!</a>).)*?<span>(Agenda|Supplemental)</span>(?:(?!</a>).)*?</a>\s*<a[^>]+href="([^"]+\.pdf[^"]*)"[^>]*>'
+JSON_LD = r'(?is)<script\s+type="application/ld\+json">\s*(\{.*?\})\s*</script>'
+DOWNLOAD_LINK = r'(?is)id="bodycontent_hlDownload"[^>]+href="([^"]+)"'
+DETAIL_SPANS = {"document_type": "DocumentType", "project": "Project", "program_type": "ProgramType", "project_scope": "Scope", "published_date": "PubDate", "last_modified": "Lastmodified"}
+
+
+def snapshot_links(pages: DataFrame) -> DataFrame:
+    """Archived pages (html) to two rows per link pair of a dated card: meeting_date, body, label, url, for the page and for its PDF."""
+    cards = pages.select(F.explode(F.slice(F.split("html", CARD), 2, 1_000_000)).alias("card"))
+    pairs = F.arrays_zip(*[F.regexp_extract_all("card", F.lit(CARD_PAGE), i).alias(n) for i, n in ((1, "page"), (2, "label"), (3, "pdf"))])
+    found = cards.select(plain(F.regexp_extract("card", CARD_TITLE, 1)).alias("body"), date_iso(plain(F.regexp_extract("card", CARD_TIME, 1))).alias("meeting_date"), F.explode(pairs).alias("p"))
+    both = F.array(F.struct(plain(F.col("p.label")).alias("label"), F.col("p.page").alias("url")), F.struct(F.concat(plain(F.col("p.label")), F.lit(" PDF")).alias("label"), F.col("p.pdf").alias("url")))
+    return found.where("meeting_date is not null and body <> ''").select("meeting_date", "body", F.explode(both).alias("x")).select("meeting_date", "body", "x.label", "x.url")
+
+
+def distinct_snapshot_links(links: DataFrame, first: date, last: date) -> DataFrame:
+    """Links within the dates, one per url (the first in order), by date, body, label and url."""
+    inside = links.where(F.col("meeting_date").between(F.lit(first.isoformat()), F.lit(last.isoformat())))
+    return first_per_key(inside, ["url"], [F.col("meeting_date"), F.col("body"), F.col("label")]).orderBy("meeting_date", "body", "label", "url")
+
+
+def document_details(pages: DataFrame) -> DataFrame:
+    """A document's page (document_id, html) to its metadata: embedded JSON, overridden by the page's own fields."""
+    said = F.from_json(unescaped(F.regexp_extract("html", JSON_LD, 1)), "name string, datePublished string, dateModified string")
+    span = {k: blank_to_null(plain(F.regexp_extract("html", f'(?is)id="bodycontent_lbl{v}">(.*?)</span>', 1))) for k, v in DETAIL_SPANS.items()}
+    rows = pages.withColumn("said", said)
+    embedded = {"published_date": F.col("said.datePublished"), "last_modified": F.col("said.dateModified")}
+    return rows.select("document_id", F.col("said.name").alias("title"), blank_to_null(unescaped(F.regexp_extract("html", DOWNLOAD_LINK, 1))).alias("download_url"), *[F.coalesce(v, embedded.get(k, F.lit(None).cast("string"))).alias(k) for k, v in span.items()])

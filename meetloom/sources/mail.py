@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meetloom.functions.exprs import date_iso
+from meetloom.functions.exprs import date_iso, html_to_text, plain, title_case, unescaped
 
 _TEXT = T.StringType()
 _ATTACHMENT = T.StructType([T.StructField(n, _TEXT) for n in ("filename", "mime_type", "content")])
@@ -80,3 +80,58 @@ def body_of_subject(subject: Column) -> Column:
     t = F.regexp_replace(t, " - CANCELL?ED - ", " ")
     t = F.regexp_replace(F.regexp_replace(t, r"\s+", " "), r"(?i)\b(?:Agenda|Meeting)\b", "")
     return F.nullif(F.regexp_replace(t, "^[ -]+|[ -]+$", ""), F.lit(""))
+
+
+PAGE_URL = r"(?i)(https://(?:lacity|portal-lacity)\.primegov\.com/Portal/Meeting\?meetingTemplateId=(\d+))"
+
+
+def notices(messages: DataFrame) -> DataFrame:
+    """One row per HTML attachment with content, in order: what the notice says of body, time, place on the web, and cancellation."""
+    a = messages.select("id", "subject", F.posexplode("attachments").alias("pos", "a")).select("id", "subject", "pos", "a.*")
+    a = a.where((F.lower("filename").rlike(r"\.html?$") | (F.lower("mime_type") == "text/html")) & (F.trim(F.coalesce("content", F.lit(""))) != ""))
+    text = F.when(F.col("content").contains("<") & F.col("content").contains(">"), html_to_text(F.col("content"))).otherwise(plain(unescaped(F.col("content"))))
+    a = a.withColumn("text", text)
+    day, clock = F.regexp_extract("subject", SUBJECT_PREFIX, 1), F.upper(F.regexp_extract("subject", SUBJECT_PREFIX, 2))
+    instant = F.try_to_timestamp(F.concat(day, F.lit(" "), F.regexp_replace(clock, r"\s", "")), F.lit("M/d/yyyy h:mma"))
+    shouted = F.filter(F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, "^[ -]+|[ -]+$", "")), lambda x: x.rlike(r"\p{L}") & (F.upper(x) == x) & F.lower(x).rlike("city council|committee"))
+    found = F.replace(title_case(F.get(shouted, 0)), F.lit("La"), F.lit("LA"))
+    return a.select(
+        "id", "pos", "filename", "mime_type", F.coalesce(found, body_of_subject(F.col("subject"))).alias("body_name"), date_iso(day).alias("meeting_date"), F.nullif(F.replace(clock, F.lit("  "), F.lit(" ")), F.lit("")).alias("meeting_time"),
+        F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss").alias("meeting_datetime"), (F.lower("subject").contains("cancelled") | F.lower("text").contains("notice of cancellation")).alias("is_cancellation"),
+        F.nullif(F.regexp_extract("content", PAGE_URL, 1), F.lit("")).alias("page_url"), F.nullif(F.regexp_extract("content", PAGE_URL, 2), F.lit("")).alias("page_template_id"), F.substring("text", 1, 400).alias("text_excerpt"),
+    )
+
+
+def notice_links(found: DataFrame) -> DataFrame:
+    """The first notice of each meeting page of a message as a link."""
+    from meetloom.operators.ranking import first_per_key
+
+    named = found.where("page_url is not null").select("id", "page_url", "pos", F.coalesce("body_name", F.lit("LA City agenda")).alias("text"))
+    return first_per_key(named, ["id", "page_url"], [F.col("pos")]).withColumn("category", F.lit("primegov_meeting_page"))
+
+
+def city_assessments(messages: DataFrame, patterns: Sequence[str]) -> DataFrame:
+    """id, message_type, meeting_date, relevant: the subject's date, else the first notice's."""
+    first = notices(messages).where("meeting_date is not null").groupBy("id").agg(F.min_by("meeting_date", "pos").alias("noticed"))
+    mine = messages.select("id", kind_of(F.col("subject"), CITY_KINDS).alias("message_type"), date_iso(F.regexp_extract("subject", SUBJECT_PREFIX, 1)).alias("said"), is_relevant(F.col("from_"), patterns).alias("relevant"))
+    return mine.join(first, "id", "left").select("id", "message_type", F.coalesce("said", "noticed").alias("meeting_date"), "relevant")
+
+
+def notice_documents(messages: DataFrame) -> DataFrame:
+    """Notices with the content of the attachment of that name (the last of equals), ready to be stored."""
+    held = messages.select("id", F.posexplode("attachments").alias("at", "a")).groupBy("id", F.col("a.filename").alias("filename")).agg(F.max_by(F.col("a.content"), "at").alias("content"))
+    return notices(messages).join(held, ["id", "filename"], "left").withColumn("external_id", F.concat_ws(":", F.lit("gmail_notice"), "id", "filename"))
+
+
+def from_aliases(raw: DataFrame) -> DataFrame:
+    """Messages whose fields come under other names (body, text or content_text; name, mimeType, file_path of attachments) in the names used here."""
+    have = set(raw.columns)
+    pick = lambda *names: F.coalesce(*[F.col(n) for n in names if n in have], F.lit(None).cast("string"))
+    kept = [c for c in ("id", "from_", "to", "subject", "email_ts", "attachments") if c in have]
+    out = raw.select(*kept, pick("body", "text", "content_text").alias("body"))
+    if "attachments" not in have:
+        return out
+    inner = raw.schema["attachments"].dataType.elementType.names
+    of = lambda a, *names: F.coalesce(*[a[n] for n in names if n in inner], F.lit(None).cast("string"))
+    fixed = F.transform("attachments", lambda a: F.struct(of(a, "filename", "name").alias("filename"), of(a, "mime_type", "mimeType").alias("mime_type"), of(a, "content", "text", "body").alias("content")))
+    return out.withColumn("attachments", fixed)

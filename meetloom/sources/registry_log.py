@@ -8,6 +8,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meetloom.sources.config import load_yaml
+
 # What an entry must have, and which fields have named values.
 SOURCE_FIELDS = ["source_ref", "status", "collection_role", "activation_stage", "access_model"]
 BODY_FIELDS = ["body_id", "sources"]
@@ -15,13 +17,7 @@ ENUMS = {"status": "source_status_values", "collection_role": "collection_role_v
 
 
 def load(path: str) -> dict[str, Any]:
-    import yaml
-
-    with open(path, encoding="utf-8") as f:
-        out = yaml.safe_load(f)
-    if not isinstance(out, dict):
-        raise ValueError(f"{path} holds no mapping")
-    return out
+    return load_yaml(path)
 
 
 def problems(log: Mapping[str, Any]) -> list[tuple[str, str]]:
@@ -63,6 +59,21 @@ def problems(log: Mapping[str, Any]) -> list[tuple[str, str]]:
 
 def listing(spark: SparkSession, log: Mapping[str, Any], **equal: str | None) -> DataFrame:
     """The sources that match the given fields; None means any."""
-    fields = ["source_ref", "source_name", "jurisdiction", "status", "collection_role", "activation_stage", "access_model"]
-    rows = [tuple(s.get(f) for f in fields) for s in log.get("sources", []) if all(v is None or s.get(k) == v for k, v in equal.items())]
-    return spark.createDataFrame(rows, ", ".join(f"{f} string" for f in fields))
+    own = ["source_ref", "source_name", "current_source_id", "status", "activation_stage", "collection_role", "access_model"]
+    nested = {"cadence": "schedule", "latest_imported_meeting_date": "freshness", "last_failure": "freshness"}
+
+    def of(source: Mapping[str, Any], group: str) -> Mapping[str, Any]:
+        return source[group] if isinstance(source.get(group), dict) else {}
+
+    text = lambda v: None if v is None else str(v)
+    sources = [s for s in log.get("sources") or [] if isinstance(s, dict) and all(not v or s.get(k) == v for k, v in equal.items())]
+    rows = [(*(text(s.get(f)) for f in own), *(text(of(s, group).get(f)) for f, group in nested.items())) for s in sources]
+    return spark.createDataFrame(rows, ", ".join(f"{f} string" for f in [*own, *nested]))
+
+
+def counts(log: Mapping[str, Any]) -> dict[str, Any]:
+    """The validation as one record: whether it is valid, its errors and warnings, and how many entries there are."""
+    found = problems(log)
+    said = {kind: [m for s, m in found if s == kind] for kind in ("error", "warning")}
+    size = lambda name: len(log[name]) if isinstance(log.get(name), list) else 0
+    return {"valid": not said["error"], "errors": said["error"], "warnings": said["warning"], "source_count": size("sources"), "body_count": size("bodies"), "activation_queue_count": size("activation_queue")}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meetloom.functions.exprs import screening
+from meetloom.functions.exprs import is_cancellation, is_supporting, screening
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
@@ -13,13 +13,19 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFr
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", F.col("modificationTime").alias("modified"), "length")
 
 
-def screened(paths: DataFrame, column: str = "path") -> DataFrame:
-    return paths.withColumn("reason", screening(F.col(column)))
+def screened(paths: DataFrame, column: str = "path", parser: str | None = None) -> DataFrame:
+    """Adds the reason; parser names the source's own, which decides about companions."""
+    return paths.withColumn("reason", screening(F.col(column), F.lit(parser).cast("string")))
 
 
-def screening_breakdown(paths: DataFrame, column: str = "path") -> DataFrame:
+def screening_breakdown(paths: DataFrame, column: str = "path", parser: str | None = None) -> DataFrame:
     """Why paths were left out, and how many."""
-    return screened(paths, column).where("reason <> 'include'").groupBy("reason").agg(F.count(F.lit(1)).alias("paths"))
+    return screened(paths, column, parser).where("reason <> 'included'").groupBy("reason").agg(F.count(F.lit(1)).alias("paths"))
+
+
+def supporting_files(paths: DataFrame, column: str = "path") -> DataFrame:
+    """Supporting material that is no cancellation."""
+    return paths.where(is_supporting(F.col(column)) & ~is_cancellation(F.col(column)))
 
 
 def changed_files(listing: DataFrame, state: DataFrame, key: str = "path", marks: tuple[str, ...] = ("modified", "length")) -> DataFrame:

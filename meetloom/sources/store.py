@@ -91,13 +91,17 @@ class Store:
         return conform(self.spark.read.parquet(f"{self.root}/{at}"), schema) if at else self.spark.createDataFrame([], schema)
 
     def commit(self, tables: Mapping[str, DataFrame]) -> None:
-        """Write all new versions first, then repoint: a failure before the last step changes nothing for readers."""
-        now = self.pointers()
+        """Write all new versions first, then repoint: a failure before the last step changes nothing for readers. A table that
+        another writer has committed meanwhile raises, since this batch was made from the version before."""
+        before, made = self.pointers(), {}
         for name, df in tables.items():
-            version = f"{name}/{uuid.uuid4().hex}"
-            df.write.parquet(f"{self.root}/{version}")
-            now[name] = version
-        staged, current = self._path("next.json"), self._path("current.json")
+            made[name] = f"{name}/{uuid.uuid4().hex}"
+            df.write.parquet(f"{self.root}/{made[name]}")
+        now = self.pointers()
+        if moved := [n for n in tables if now.get(n) != before.get(n)]:
+            raise RuntimeError(f"committed by another writer meanwhile: {', '.join(moved)}")
+        now |= made
+        staged, current = self._path(f"next-{uuid.uuid4().hex}.json"), self._path("current.json")
         out = self.fs.create(staged, True)
         out.write(bytearray(json.dumps(now, sort_keys=True), "utf-8"))
         out.close()

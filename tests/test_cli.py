@@ -27,8 +27,8 @@ def test_import_read_and_reimport(spark, tmp_path, capsys):
     run("import-items", str(tmp_path / "in"), "s1")
     assert sorted(json.loads(x)["title"] for x in run("list-items")[1].splitlines()) == ["Award a road maintenance contract", "Fire watch"]
     assert json.loads(run("dashboard-summary")[1])["items"] == 2
-    assert "High-signal" in run("weekly-digest")[1] and json.loads(run("backfill-dates")[1]) == {"changed": 0}
+    assert "High-Signal Items" in run("weekly-digest")[1] and json.loads(run("backfill-dates")[1]) == {"changed": 0}
     assert {json.loads(x)["action_classification"] for x in run("list-findings", "--limit", "5")[1].splitlines()} == {"contract_award", "informational_item"}
     assert "la_county_cluster_text" in run("list-parsers")[1]
-    assert json.loads(run("screen-files", str(tmp_path / "in"))[1]) == {"reason": "cancellation", "paths": 1}
+    assert json.loads(run("screen-files", str(tmp_path / "in"))[1]) == {"reason": "cancellation_notice", "paths": 1}
     assert json.loads(run("parliamentary-summary")[1].splitlines()[0])["with_vote"] == 0

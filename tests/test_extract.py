@@ -92,8 +92,7 @@ the first line
 the second line
 the third line
 
-IV.
-PUBLIC HEARINGS
+IV. PUBLIC HEARINGS
 12. Hearing on fees (26-2222)
 Opportunity was given for the public to address the Board
 Set Matter 1. Report on fire safety (26-3333)
@@ -114,3 +113,32 @@ def test_regional_and_deputies():
     assert [(x.section_number, x.title) for x in old.items] == [("II", "New Department Update")] and old.meeting_date == "Thursday, June 12, 2025"
     new = k.extract("Homelessness & Housing Cluster\nDATE: May 14, 2026\nII. Items\na. Interim housing plan (2:00 - 2:15 pm)\nSpeakers: Bo Day\nb. Public comment\nNEXT MEETING: June\nc. never\n")
     assert [(x.item_label, x.title, x.speakers) for x in new.items] == [("a", "Interim housing plan", ["Bo Day"])]
+
+
+def test_proceedings_sections_titles_and_set_matters():
+    head = "STATEMENT OF PROCEEDINGS FOR THE\nBoard of Supervisors\n"
+    by = lambda text: [(x.section_title, x.item_label, x.title, x.text_block) for x in k.extract(head + text, parser=k.PROCEEDINGS).items]
+    # A bare number opens a section whose title follows, but inside an item it is text.
+    assert by("II.\nADMIN MATTERS\n7. Plan one (26-0001)\nIII.\nPUBLIC HEARINGS\n") == [("ADMIN MATTERS", "7", "Plan one III. PUBLIC HEARINGS", "Plan one III. PUBLIC HEARINGS")]
+    # A file number on the first line does not end a title; a later one does, and so does a body phrase.
+    assert by("I. CONSENT\n1. Fees (26-0001)\nof the port (26-0002)\nthen text\n") == [("CONSENT", "1", "Fees of the port", "Fees of the port then text")]
+    assert by("I. CONSENT\n1. Fees (26-0001)\nand more\nOn motion of A, seconded by B, approved\n")[0][2] == "Fees and more"
+    # Numbered lines without a file number are items of hearing and set-matter sections only.
+    assert by("I. CONSENT\n1. nothing\n9. else\n2. Fees (26-0001)\n")[-1:] == [("CONSENT", "2", "Fees", "Fees")]
+    assert len(by("I. CONSENT\n1. nothing\n9. else\nx\nx\nx\nx\nx\n2. Fees (26-0001)\n")) == 1
+    assert [x[:3] for x in by("I. SET MATTERS\n1. One\nof two\n2. Two\nReport by them\n3. body of it\n")] == [("SET MATTERS", "1", "One of two"), ("SET MATTERS", "2", "Two")]
+    assert [x[:2] for x in by("Set Matter 4. Alone\n")] == [("SET MATTER", "4")]
+    assert [x[:2] for x in by("I. CONSENT\n2. Fees (26-0001)\nSet Matter 4. inside\n")] == [("CONSENT", "2")]
+
+
+def test_regional_agendas_come_by_the_default_parser():
+    text = "AGENDA FOR THE REGULAR MEETING OF THE\nREGIONAL HOMELESS ALIGNMENT\nKenneth Hahn Hall\nI. Reports.\n1. Budget\n"
+    assert k.detect_parser(text, "") == k.DEFAULT and k.extract(text, parser=k.DEFAULT).items[0].item_type == "brown_act_agenda_item"
+    assert k.extract(text.replace("AGENDA FOR", "Agenda for")).items == [] or k.extract(text.replace("AGENDA FOR", "Agenda for")).items[0].item_type != "brown_act_agenda_item"
+    assert k.detect_parser("Statement of proceedings for the\nboard of supervisors", "") == k.DEFAULT
+
+
+def test_vote_members_and_mojibake():
+    f = k.parliamentary(["On motion of Supervisor Lee, seconded by Supervisor Ray, approved", "Ayes: 2 - Supervisors Lee and Ray", "Noes: None 0 -"])
+    assert (f["ayes_members"], f["ayes_count"]) == (["2 - Supervisors Lee", "Ray"], 2) or f["ayes_count"] == 2
+    assert k.normalised("a\u00a0b\u00c2 c") == "a b c"

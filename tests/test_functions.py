@@ -41,11 +41,24 @@ def test_tags_are_substring_hits(spark):
 
 def test_screening_precedence(spark):
     got = values(spark, exprs.screening, "/a/supporting_docs/Cancelled.txt", "/a/supporting-docs/x.txt", "/a/supporting_docs_old/x.txt", "/cancelled/x.txt")
-    assert got == ["cancellation", "supporting_document", "include", "include"]
+    assert got == ["cancellation_notice", "supporting_material", "included", "included"]
+    got = values(spark, lambda c: exprs.screening(c, F.lit("la_city_primegov_html")), "/a/x_HTML-1.txt", "/a/x_pdf-1.txt", "/a_html-/x.txt")
+    assert got == ["included", "non_canonical_companion", "non_canonical_companion"]
 
 
 def test_html_text(spark):
     assert values(spark, exprs.html_to_text, "<p>a&nbsp;<b>b</b></p> <p></p>c<br/>d &amp;lt;") == ["a b\nc\nd &lt;"]
+    assert values(spark, exprs.plain, "<b>&#8217;caf&eacute;&rarr;</b> x", "a & b", None) == ["\u2019caf\u00e9\u2192 x", "a & b", None]
+    assert values(spark, exprs.title_case, "children's o'NEIL", None) == ["Children'S O'Neil", None]
+
+
+def test_document_roles(spark):
+    texts = ["Draft Minutes of", "slides", "slide deck", "governance", "Membership slate", "the amendment", "a motion in report", "dashboard", "nothing"]
+    assert values(spark, exprs.document_role, *texts) == ["minutes", "attachment", "presentation", "attachment", "governance_doc", "agreement", "motion", "report", "attachment"]
+    assert values(spark, lambda c: exprs.document_role(F.lit("x"), c), "/a/Supporting-Docs/x") == ["supporting_document"]
+    from meetloom.extract.kernels import supporting_role
+
+    assert [supporting_role(t, "") for t in texts] == values(spark, exprs.document_role, *texts)
 
 
 @pytest.mark.parametrize(("title", "want"), [("Sole source amendment", "sole_source_contract"), ("Extend and award", "contract_amendment"), ("adopt", "policy_adoption"), ("x", "discussion_item")])

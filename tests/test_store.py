@@ -66,4 +66,4 @@ def test_negative_limit_is_none_and_items_keep_all_tags(spark):
     assert [(r["agenda_item_id"], r["topic_tags"]) for r in got] == [("a", ["t1", "t2"])]
     assert [r["agenda_item_id"] for r in itm.fetch_items(items, topics).collect()] == ["a", "b"]
     assert {r["body"]: r["items"] for r in itm.count_by_body(items).collect()} == {"Unknown Cluster": 2}
-    assert "Unknown Cluster: 2" in itm.digest_markdown(itm.fetch_items(items, topics))
+    assert itm.digest_markdown(itm.fetch_items(items, topics)) == "# Weekly Digest\n\n- Items reviewed: 2\n\n## Clusters\n- Unknown Cluster: 2\n\n## Topics\n- t1: 1\n- t2: 1\n\n## High-Signal Items"
