@@ -1,4 +1,4 @@
-"""Command line over stored tables: reads, summaries, findings, extraction, dates and validation."""
+"""Command line over stored tables, text files, messages, the source registry and the source log."""
 
 from __future__ import annotations
 
@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from meetloom import schemas
 from meetloom.extract import kernels
-from meetloom.operators import findings, health, items
-from meetloom.sources import jobs, registry_log, screening, store
+from meetloom.operators import findings, items
+from meetloom.sources import config, fetch, jobs, mail, registry_log, screening, store
+
+ABOUT = "meetloom: items, topics and findings from public-meeting documents, on Spark"
 
 
 def session() -> SparkSession:
@@ -27,84 +29,162 @@ def show(df: DataFrame) -> None:
         print(r["j"])
 
 
+def say(value) -> None:
+    print(json.dumps(value, indent=2, default=str))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="meetloom", description=__doc__)
     top.add_argument("--store", default="warehouse", help="root of the stored tables")
+    top.add_argument("--config-dir", default="configs/sources", help="folder of the registry's files")
     sub = top.add_subparsers(dest="command", required=True)
 
-    def command(name: str, about: str, *options: str) -> argparse.ArgumentParser:
+    def command(name: str, about: str, *options: str, limit: int | None = None, flags: tuple[str, ...] = ()) -> None:
         c = sub.add_parser(name, help=about)
         for o in options:
             c.add_argument(o)
-        return c
-
-    filters = ("--source-id", "--topic", "--cluster", "--meeting-date", "--search")
-    for name, about, limit in (("list-items", "filtered items", 50), ("weekly-digest", "digest of filtered items", 100), ("parliamentary-summary", "movers, actions and votes", 500)):
-        command(name, about, *filters).add_argument("--limit", type=int, default=limit)
-    c = command("list-findings", "filtered findings", *filters, "--priority")
-    c.add_argument("--limit", type=int, default=50)
-    command("generate-findings", "findings of all items", *filters)
+        for f in flags:
+            c.add_argument(f, action="store_true")
+        if limit is not None:
+            c.add_argument("--limit", type=int, default=limit)
+
+    dated = ("--meeting-date", "--meeting-date-iso")
+    item_filters = ("--source-id", "--topic", "--cluster", *dated, "--motion-by", "--second-by", "--final-action", "--search")
+    command("about", "what this is")
     command("list-parsers", "names of the parsers")
+    command("list-sources", "the registry")
+    command("list-items", "filtered items", *item_filters, limit=50)
+    command("weekly-digest", "digest of filtered items as Markdown", *item_filters, limit=100)
+    command("parliamentary-summary", "movers, actions and votes of filtered items", *item_filters, limit=500)
+    command("generate-findings", "make and store the findings of filtered items", *item_filters, limit=jobs.FINDINGS_LIMIT)
+    command("list-findings", "filtered stored findings", "--source-id", "--topic", "--cluster", "--meeting-date", "--priority", "--search", limit=50)
     command("extract-items", "items of text files", "root", "--parser")
-    command("import-items", "upsert extracted items of text files", "root", "source_id", "--parser")
-    command("screen-files", "files left out, and why", "root")
-    command("backfill-dates", "recompute ISO dates of stored items")
-    command("dashboard-summary", "counts per source")
+    command("persist-items", "structured documents of text files as JSON below a folder", "root", "out", "--parser")
+    command("import-items", "extract text files and import their items", "root", "source_id", "--parser")
+    command("import-structured-items", "import a JSON array of items", "index", "source_id")
+    command("screen-files", "files left out, and why", "root", "--parser")
+    command("backfill-structured-dates", "recompute ISO dates of stored items, documents and meetings")
+    command("refresh-source", "import agenda files that are new or changed", "source_id", "--root", "--parser", flags=("--skip-findings",))
+    command("refresh-supporting-docs", "import supporting documents that are new or changed", "source_id", "--root", flags=("--skip-findings",))
+    command("dashboard-summary", "totals, source records, latest agendas, top findings", flags=("--registered",))
+    command("serve-dashboard", "the summary over HTTP", "--host", "--port", "--static", flags=("--registered",))
     command("validate-source-log", "problems of a source log", "path")
-    c = command("list-source-log", "sources of a log", "path", "--status", "--activation-stage", "--collection-role")
+    command("list-source-log", "sources of a log", "path", "--status", "--activation-stage", "--collection-role")
+    command("sync-source-config", "take a source's address over from the log", "path", "source_ref", flags=("--write",))
+    command("activate-source", "make a source's folder and take its address over", "path", "source_ref", flags=("--write",))
+    command("inspect-message", "kind, date, links and notices of message files", "path", "--sender", "--county")
+    command("download-message-links", "fetch what messages link to and write manifest and queues", "path", "out")
+    command("ingest-message", "store notices, fetch their meeting pages, import the items", "path", "source_id")
     return top
 
 
 def texts_below(spark: SparkSession, root: str, named: str | None) -> DataFrame:
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").withColumn("path", F.input_file_name())
-    return screening.screened(files).where("reason <> 'cancellation_notice'").select("path", F.col("value").alias("text"), F.lit(named).cast("string").alias("parser"))
+    return screening.screened(files, parser=named).where("reason not in ('cancellation_notice', 'non_canonical_companion')").select("path", F.col("value").alias("text"), F.lit(named).cast("string").alias("parser"))
 
 
-def main(argv: list[str] | None = None) -> int:
-    a = parser().parse_args(argv)
-    if a.command == "list-parsers":
+def item_filters(a: argparse.Namespace) -> items.ItemFilters:
+    return items.ItemFilters(source_id=a.source_id, topic=a.topic, cluster_name=a.cluster, meeting_date=a.meeting_date, meeting_date_iso=a.meeting_date_iso, motion_by=a.motion_by, second_by=a.second_by, final_action=a.final_action, search=a.search, limit=a.limit)
+
+
+def without_session(a: argparse.Namespace) -> int | None:
+    """Commands that need no Spark; None for the others."""
+    if a.command == "about":
+        print(ABOUT)
+    elif a.command == "list-parsers":
         kernels.detect_parser("", "")
         print("\n".join(sorted(kernels.PARSERS)))
-        return 0
-    if a.command == "validate-source-log":
-        found = registry_log.problems(registry_log.load(a.path))
-        print(json.dumps([{"severity": s, "problem": m} for s, m in found], indent=2))
-        return int(any(s == "error" for s, _ in found))
+    elif a.command == "list-sources":
+        say([{k: c.get(k) for k in ("source_id", "source_name", "status", "parser")} for c in config.load_configs(a.config_dir)])
+    elif a.command == "validate-source-log":
+        found = registry_log.counts(registry_log.load(a.path))
+        say(found)
+        return int(not found["valid"])
+    elif a.command in ("sync-source-config", "activate-source"):
+        say((config.sync_from_log if a.command == "sync-source-config" else config.activate)(registry_log.load(a.path), a.config_dir, a.source_ref, a.write))
+    else:
+        return None
+    return 0
+
+
+def refreshed(a: argparse.Namespace, tables: store.Store) -> dict:
+    """Root and parser as given, else as registered."""
+    known = {} if a.root else config.config_of(a.config_dir, a.source_id)
+    root = a.root or known["download_root"]
+    if a.command == "refresh-supporting-docs":
+        return jobs.refresh_supporting(tables, a.source_id, root, not a.skip_findings)
+    return jobs.refresh_source(tables, a.source_id, root, a.parser or known.get("parser"), not a.skip_findings)
+
+
+def backfilled(tables: store.Store) -> dict[str, int]:
+    out, changed = {}, {}
+    for name, schema in (("items", schemas.ITEMS), ("documents", schemas.DOCUMENTS), ("meetings", schemas.MEETINGS)):
+        dated = store.backfill_dates(tables.read(name, schema))
+        out[name], changed[name] = dated.drop("changed"), dated.where("changed").count()
+    tables.commit(out)
+    return changed
+
+
+def summed_up(a: argparse.Namespace, tables: store.Store) -> dict:
+    from meetloom.server import summary
+
+    return summary(tables, config.load_configs(a.config_dir) if a.registered else None)
+
+
+def main(argv: list[str] | None = None, fetcher: fetch.Fetcher = fetch.over_http) -> int:
+    a = parser().parse_args(argv)
+    if (code := without_session(a)) is not None:
+        return code
     spark = session()
     tables = store.Store(spark, a.store)
-    if a.command == "list-source-log":
+    read = lambda: items.fetch_items(tables.read("items", schemas.ITEMS), tables.read("item_topics", schemas.TOPICS), item_filters(a))
+    if a.command == "list-items":
+        show(read())
+    elif a.command == "weekly-digest":
+        print(items.digest_markdown(read()))
+    elif a.command == "parliamentary-summary":
+        found = read()
+        show(items.parliamentary_counts(found))
+        for column in ("motion_by", "second_by", "final_action"):
+            show(items.ranked(found, column))
+    elif a.command == "generate-findings":
+        say(jobs.generate_findings(tables, item_filters(a)))
+    elif a.command == "list-findings":
+        show(findings.fetch_findings(jobs.stored_findings(tables), findings.FindingFilters(a.source_id, a.topic, a.cluster, a.meeting_date, a.priority, a.search, a.limit)))
+    elif a.command == "list-source-log":
         show(registry_log.listing(spark, registry_log.load(a.path), status=a.status, activation_stage=a.activation_stage, collection_role=a.collection_role))
     elif a.command == "screen-files":
-        show(screening.screening_breakdown(screening.list_files(spark, a.root)))
+        show(screening.screening_breakdown(screening.list_files(spark, a.root), parser=a.parser))
     elif a.command == "extract-items":
         show(kernels.extract_items(texts_below(spark, a.root, a.parser)))
+    elif a.command == "persist-items":
+        found = kernels.extract_items(texts_below(spark, a.root, a.parser)).withColumn("source_id", F.lit(None).cast("string"))
+        jobs.structured_documents(found).write.mode("overwrite").json(a.out)
     elif a.command == "import-items":
-        print(json.dumps(jobs.import_items(tables, kernels.extract_items(texts_below(spark, a.root, a.parser)).withColumn("source_id", F.lit(a.source_id)))))
-    elif a.command == "backfill-dates":
-        dated = store.backfill_dates(tables.read("items", schemas.ITEMS))
-        print(json.dumps({"changed": dated.where("changed").count()}))
-        tables.commit({"items": dated.drop("changed")})
+        say(jobs.import_items(tables, kernels.extract_items(texts_below(spark, a.root, a.parser)).withColumn("source_id", F.lit(a.source_id))))
+    elif a.command == "import-structured-items":
+        say(jobs.import_items(tables, jobs.read_items_index(spark, a.index).withColumn("source_id", F.lit(a.source_id))))
+    elif a.command == "backfill-structured-dates":
+        say(backfilled(tables))
+    elif a.command in ("refresh-source", "refresh-supporting-docs"):
+        say(refreshed(a, tables))
     elif a.command == "dashboard-summary":
-        rows = tables.read("items", schemas.ITEMS)
-        show(health.per_source(rows, "source_id", items=F.count(F.lit(1)), documents=F.countDistinct("document_id"), latest_meeting=health.latest_date("meeting_date_iso", "meeting_date")))
+        say(summed_up(a, tables))
+    elif a.command == "serve-dashboard":
+        from meetloom.server import server
+
+        server(lambda: summed_up(a, tables), a.host or "127.0.0.1", int(a.port or 8765), a.static).serve_forever()
+    elif a.command == "inspect-message":
+        messages = mail.read_messages(spark, a.path)
+        patterns = [a.sender] if a.sender else []
+        show(mail.assess(messages, patterns) if a.county else mail.city_assessments(messages, patterns))
+        show(mail.message_links(messages))
+        show(mail.notices(messages))
+    elif a.command == "download-message-links":
+        targets = mail.download_targets(mail.message_links(mail.read_messages(spark, a.path)))
+        say(fetch.write_manifest(fetch.processed(fetch.fetch_targets(targets, fetcher, url="resolved_url")), a.out))
     else:
-        read, topics = tables.read("items", schemas.ITEMS), tables.read("item_topics", schemas.TOPICS)
-        limit = getattr(a, "limit", -1)
-        wanted = items.ItemFilters(source_id=a.source_id, topic=a.topic, cluster_name=a.cluster, meeting_date=a.meeting_date, search=a.search, limit=limit if a.command != "list-findings" else -1)
-        found = items.fetch_items(read, topics, wanted if a.command != "list-findings" else items.ItemFilters(limit=-1))
-        if a.command == "list-items":
-            show(found)
-        elif a.command == "weekly-digest":
-            print(items.digest_markdown(found), end="")
-        elif a.command == "parliamentary-summary":
-            show(items.parliamentary_counts(found))
-            for column in ("motion_by", "second_by", "final_action"):
-                show(items.ranked(found, column))
-        else:
-            made = findings.generate_findings(found)
-            if a.command == "list-findings":
-                made = findings.fetch_findings(made, findings.FindingFilters(a.source_id, a.topic, a.cluster, a.meeting_date, a.priority, a.search, limit))
-            show(made)
+        say(jobs.ingest_messages(tables, mail.read_messages(spark, a.path), a.source_id, fetcher))
     return 0
 
 

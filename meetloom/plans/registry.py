@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meetloom.functions import exprs, rules
+from meetloom.functions import exprs, files, rules
 from meetloom.operators import findings as fnd
 from meetloom.operators import health
 from meetloom.operators import items as itm
 from meetloom.operators import ranking
 from meetloom.plans.crosswalk import ITEMS_SQL, items, table, tags_sql, topics
-from meetloom.sources import screening, store
+from meetloom.sources import fetch, jobs, links, mail, screening, store
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
@@ -173,12 +173,100 @@ def backfill_dates(spark, sf_dir):
     return store.backfill_dates(o).select("o_orderkey", "meeting_date_iso", "changed")
 
 
-@query(r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host, regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) AS path FROM pages)
-SELECT page_id, host, path, regexp_extract(path, '(\.[A-Za-z0-9]+)$', 1) AS suffix, CASE WHEN host LIKE 'blog.%' THEN 'blog' WHEN host LIKE 'm.%' THEN 'mobile' WHEN regexp_matches(path, '\.html$') THEN 'page' ELSE 'other' END AS category FROM p""")
+_BOARD_URL_SQL = """u AS (SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'https://bos.lacounty.gov/executive-office/live-broadcast/' WHEN 1 THEN 'https://BOS.lacounty.gov/board-meeting-agendas/' WHEN 2 THEN 'https://publiccomment.bos.lacounty.gov/x'
+WHEN 3 THEN 'https://ceo.lacounty.gov/x' WHEN 4 THEN 'https://file.lacounty.gov/SDSInter/bos/supdocs/' || page_id || '.PDF?x=1' WHEN 5 THEN 'https://host.example/docs/' || page_id || '.docx' WHEN 6 THEN 'https://host.example/?id=' || page_id || '.xlsx' ELSE url END AS url FROM pages),
+p AS (SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM u),
+s AS (SELECT *, lower(regexp_extract(path, '[^/.][^/]*?([.][^./]+)$', 1)) AS own, lower(regexp_extract(CASE WHEN regexp_extract(path, '([^/]*)/*$', 1) <> '' THEN regexp_extract(path, '([^/]*)/*$', 1) ELSE regexp_extract(url, '[?&]id=([^&#]*)', 1) END, '[^.].*?([.][^./]+)$', 1)) AS listed FROM p)"""
+
+
+def _board_urls(spark, sf_dir) -> DataFrame:
+    k, out = F.col("page_id"), F.col("url")
+    made = ["https://bos.lacounty.gov/executive-office/live-broadcast/", "https://BOS.lacounty.gov/board-meeting-agendas/", "https://publiccomment.bos.lacounty.gov/x", "https://ceo.lacounty.gov/x"]
+    numbered = [("https://file.lacounty.gov/SDSInter/bos/supdocs/", ".PDF?x=1"), ("https://host.example/docs/", ".docx"), ("https://host.example/?id=", ".xlsx")]
+    for i, u in enumerate([*map(F.lit, made), *(F.concat(F.lit(a), k.cast("string"), F.lit(b)) for a, b in numbered)]):
+        out = F.when(k % 8 == i, u).otherwise(out)
+    return table(spark, sf_dir, "pages").select("page_id", out.alias("url"))
+
+
+@query(f"""WITH {_BOARD_URL_SQL} SELECT page_id, host, CASE WHEN ends_with(lower(path), '.pdf') THEN 'direct_pdf' WHEN host = 'bos.lacounty.gov' AND contains(path, 'live-broadcast') THEN 'live_board_page' WHEN host = 'bos.lacounty.gov' AND contains(path, 'board-meeting-agendas') THEN 'board_agenda_page'
+WHEN contains(host, 'publiccomment.bos.lacounty.gov') THEN 'public_comment_page' WHEN ends_with(host, 'lacounty.gov') THEN 'lacounty_page' ELSE 'external_page' END AS category FROM p""")
 def url_parts_and_category(spark, sf_dir):
-    parts = exprs.url_parts(F.col("url"))
-    p = table(spark, sf_dir, "pages").select("page_id", *[v.alias(k) for k, v in parts.items()])
-    return p.withColumn("category", F.when(F.col("host").startswith("blog."), "blog").when(F.col("host").startswith("m."), "mobile").when(F.col("path").endswith(".html"), "page").otherwise("other"))
+    return _board_urls(spark, sf_dir).select("page_id", exprs.url_parts(F.col("url"))["host"].alias("host"), mail.category_of(F.col("url")).alias("category"))
+
+
+@query(f"""WITH {_BOARD_URL_SQL} SELECT page_id, CASE WHEN listed IN ('.pdf', '.xlsx', '.xls', '.doc', '.docx') THEN listed ELSE '.pdf' END AS listed_suffix,
+CASE WHEN own IN ('.pdf', '.html', '.htm', '.txt', '.doc', '.docx', '.xls', '.xlsx', '.ppt', '.pptx', '.csv') THEN own WHEN page_id % 3 = 0 THEN '.pdf' WHEN page_id % 3 = 1 THEN '.html' ELSE '.txt' END AS download_suffix,
+CASE WHEN contains(lower(url), '/supdocs/') THEN 'board_supporting_document' WHEN page_id % 5 = 0 THEN 'cluster_agenda_packet' WHEN page_id % 5 = 1 THEN 'agenda_packet' ELSE 'linked_pdf' END AS kind FROM s""")
+def file_kinds(spark, sf_dir):
+    u, k = F.col("url"), F.col("page_id")
+    sent = F.when(k % 3 == 0, "application/pdf").when(k % 3 == 1, "text/html").otherwise("text/plain")
+    text = F.when(k % 5 == 0, "Cluster Agenda").when(k % 5 == 1, "The Agenda").otherwise("x")
+    return _board_urls(spark, sf_dir).select("page_id", files.listed_suffix(u).alias("listed_suffix"), files.download_suffix(u, sent).alias("download_suffix"), files.document_kind(text, u, F.lit("direct_pdf")).alias("kind"))
+
+
+@query(r"""WITH d AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%-m/%-d/%Y') WHEN 2 THEN '  to be  <b>announced</b> ' ELSE '' END AS raw, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN iso WHEN o_orderkey % 4 = 2 THEN 'to be announced' END AS lenient, CASE WHEN o_orderkey % 4 < 2 THEN iso || 'T00:00:00' WHEN o_orderkey % 4 = 2 THEN 'to be announced' END AS instant, CASE WHEN o_orderkey % 4 < 2 THEN iso WHEN o_orderkey % 4 = 3 THEN '' END AS listed FROM d""")
+def listing_dates(spark, sf_dir):
+    day, k = F.col("o_orderdate"), F.col("o_orderkey")
+    raw = F.when(k % 4 == 0, F.date_format(day, "yyyy-MM-dd")).when(k % 4 == 1, F.date_format(day, "M/d/yyyy")).when(k % 4 == 2, "  to be  <b>announced</b> ").otherwise("")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
+    return o.select("o_orderkey", files.lenient_date(F.col("raw")).alias("lenient"), files.lenient_datetime(F.col("raw")).alias("instant"), files.listing_date(F.when(k % 4 < 2, F.concat("raw", F.lit(", 9 am"))).otherwise(F.col("raw"))).alias("listed"))
+
+
+@query("SELECT source AS value, count(*)::BIGINT AS rows FROM documents GROUP BY source")
+def counts_by_key(spark, sf_dir):
+    return itm.count_by(table(spark, sf_dir, "documents"), "source")
+
+
+_RESULTS_SQL = """r AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.html' ELSE '.bin' END AS suffix, page_id % 2 = 0 AS got_text, CASE page_id % 10 WHEN 0 THEN 'http' WHEN 1 THEN 'url' WHEN 2 THEN 'missing' WHEN 3 THEN 'other' END AS kind, CASE page_id % 4 WHEN 0 THEN 404 WHEN 1 THEN 408 WHEN 2 THEN 429 ELSE 503 END AS code FROM pages),
+e AS (SELECT *, CASE kind WHEN 'http' THEN 'http_' || code WHEN 'missing' THEN 'file_not_found' WHEN 'url' THEN 'url_error' WHEN 'other' THEN 'unexpected_fetch_error' END AS error_code, kind IS NOT NULL AND (kind = 'url' OR kind = 'http' AND (code >= 500 OR code IN (408, 429))) AS retryable FROM r),
+p AS (SELECT page_id, error_code, CASE WHEN retryable THEN 'needs_retry' WHEN kind IS NOT NULL THEN 'download_failed' WHEN suffix = '.pdf' AND NOT got_text THEN 'downloaded_without_text' WHEN suffix = '.bin' THEN 'downloaded' ELSE 'ready' END AS processing_status,
+CASE WHEN kind IS NULL AND suffix = '.pdf' AND NOT got_text THEN 'needs_manual_review' ELSE 'not_needed' END AS review_status FROM e)"""
+
+
+def _results(spark, sf_dir) -> DataFrame:
+    k = F.col("page_id")
+    kind = F.when(k % 10 == 0, "http").when(k % 10 == 1, "url").when(k % 10 == 2, "missing").when(k % 10 == 3, "other")
+    code = F.when(k % 4 == 0, 404).when(k % 4 == 1, 408).when(k % 4 == 2, 429).otherwise(503)
+    suffix = F.when(k % 3 == 0, ".pdf").when(k % 3 == 1, ".html").otherwise(".bin")
+    r = table(spark, sf_dir, "pages").select("page_id", kind.alias("kind"), files.processing_status(suffix, F.when(k % 2 == 0, "extracted").otherwise("failed")).alias("done"), files.fetch_error(kind, code).alias("bad"))
+    failed = F.col("kind").isNotNull()
+    return r.select("page_id", F.when(failed, F.col("bad.code")).alias("error_code"), F.when(failed & F.col("bad.retryable"), "needs_retry").when(failed, "download_failed").otherwise(F.col("done.processing_status")).alias("processing_status"), F.when(failed, "not_needed").otherwise(F.col("done.review_status")).alias("review_status"))
+
+
+@query(f"WITH {_RESULTS_SQL} SELECT * FROM p")
+def processing_states(spark, sf_dir):
+    return _results(spark, sf_dir)
+
+
+@query(f"""WITH {_RESULTS_SQL}, b AS (SELECT CASE WHEN processing_status IN ('ready', 'needs_retry') THEN processing_status WHEN review_status = 'needs_manual_review' THEN review_status WHEN processing_status = 'download_failed' THEN processing_status END AS b FROM p)
+SELECT count(*)::BIGINT AS total, count(*) FILTER (b = 'ready')::BIGINT AS ready, count(*) FILTER (b = 'needs_retry')::BIGINT AS needs_retry, count(*) FILTER (b = 'needs_manual_review')::BIGINT AS needs_manual_review, count(*) FILTER (b = 'download_failed')::BIGINT AS download_failed FROM b""")
+def result_counts(spark, sf_dir):
+    return fetch.status_counts(_results(spark, sf_dir))
+
+
+@query("""WITH f AS (SELECT 'f' || l_orderkey || '-' || l_linenumber AS finding_id, l_orderkey AS item FROM lineitem), t AS (SELECT DISTINCT finding_id, l_returnflag AS topic_tag FROM f JOIN lineitem ON f.finding_id = 'f' || l_orderkey || '-' || l_linenumber)
+SELECT finding_id, topic_tag FROM t WHERE NOT CAST(substr(split_part(finding_id, '-', 1), 2) AS BIGINT) % 3 = 0""")
+def findings_cascade(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat(F.lit("f"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("finding_id"), F.col("l_returnflag").alias("topic_tag")).distinct()
+    gone_items = li.where("l_orderkey % 3 = 0").select("l_orderkey").distinct()
+    gone = li.join(gone_items, "l_orderkey", "left_semi").select("finding_id")
+    return store.without(li.select("finding_id", "topic_tag"), gone, "finding_id")
+
+
+@query("""SELECT o_orderkey AS agenda_item_id, CASE WHEN o_orderkey % 2 = 0 THEN 'new' ELSE o_orderstatus END AS topic_tag FROM orders UNION ALL SELECT o_orderkey, 'more' FROM orders WHERE o_orderkey % 2 = 0""")
+def topic_replace(spark, sf_dir):
+    old = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("agenda_item_id"), F.col("o_orderstatus").alias("topic_tag"))
+    batch = old.where("agenda_item_id % 2 = 0").select("agenda_item_id", F.explode(F.array(F.lit("new"), F.lit("more"))).alias("topic_tag"))
+    return store.replace_children(old, batch, "agenda_item_id", ["agenda_item_id", "topic_tag"])
+
+
+@query("""WITH b AS (SELECT 'b' || o_orderkey AS document_id, o_orderstatus AS source_id, 'f' || (o_orderkey % 500) AS file_path FROM orders WHERE o_orderkey % 2 = 0),
+k AS (SELECT source_id, file_path, min(document_id) AS known FROM (SELECT 'a' || o_orderkey AS document_id, o_orderstatus AS source_id, 'f' || (o_orderkey % 500) AS file_path FROM orders WHERE o_orderkey % 4 = 0) GROUP BY ALL)
+SELECT coalesce(known, document_id) AS document_id, source_id, file_path FROM b LEFT JOIN k USING (source_id, file_path)""")
+def known_document_ids(spark, sf_dir):
+    rows = lambda start, keep: table(spark, sf_dir, "orders").where(keep).select(F.concat(F.lit(start), F.col("o_orderkey").cast("string")).alias("document_id"), F.col("o_orderstatus").alias("source_id"), F.concat(F.lit("f"), (F.col("o_orderkey") % 500).cast("string")).alias("file_path"))
+    return jobs.with_known_ids(rows("a", "o_orderkey % 4 = 0"), rows("b", "o_orderkey % 2 = 0"))
 
 
 @query(r"""SELECT p_partkey, coalesce(nullif(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'document') AS slug,
@@ -344,8 +432,43 @@ def first_n_per_scope(spark, sf_dir):
     return ranking.first_n_per_scope(d, "source", [F.desc("n_chars"), F.col("doc_id")], 3).select("doc_id", "source")
 
 
-@query(r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host, url FROM pages)
-SELECT host, arg_min(page_id, {'a': CASE WHEN contains(url, '.html') THEN 0 ELSE 1 END, 'b': lower(url), 'c': page_id}) AS page_id FROM p GROUP BY host""")
+@query(r"""WITH p AS (SELECT lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host, url, lower(url) AS low, regexp_extract(lower(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1)), '([.][a-z0-9]+)$', 1) AS suffix FROM pages),
+r AS (SELECT *, CASE WHEN contains(low, '/supdocs/') THEN 0 WHEN suffix = '.pdf' THEN 1 WHEN suffix IN ('.doc', '.docx', '.xls', '.xlsx', '.ppt', '.pptx', '.csv') THEN 2
+WHEN contains(low, 'download') OR contains(low, 'attachment') OR contains(low, 'support') OR contains(low, 'supdoc') OR contains(low, 'boardletter') THEN 10 WHEN suffix IN ('.html', '.htm', '') THEN 20 ELSE 30 END AS rank FROM p)
+SELECT host, lower(arg_min(url, {'rank': rank, 'low': low})) AS url FROM r GROUP BY host""")
 def best_link(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("page_id", exprs.url_parts(F.col("url"))["host"].alias("host"), "url")
-    return ranking.first_per_key(p, ["host"], [F.when(F.col("url").contains(".html"), 0).otherwise(1), F.lower("url"), F.col("page_id")]).select("host", "page_id")
+    p = table(spark, sf_dir, "pages").select(exprs.url_parts(F.col("url"))["host"].alias("host"), "url")
+    return links.best_child(p, "host").select("host", F.lower("url").alias("url"))
+
+
+_RECORDS_SQL = """SELECT 'n' || n_nationkey AS source_id, n_name AS source_name, CASE WHEN n_nationkey % 3 = 0 THEN 'paused' ELSE 'active' END AS status, 'high' AS priority_level, NULL::VARCHAR AS download_root, NULL::VARCHAR AS structured_output_dir,
+coalesce(r.n, 0)::BIGINT AS raw_documents, coalesce(d.n, 0)::BIGINT AS structured_documents, coalesce(i.n, 0)::BIGINT AS structured_items, coalesce(f.n, 0)::BIGINT AS findings, coalesce(f.high, 0)::BIGINT AS high_priority_findings,
+r.latest AS latest_document_date, coalesce(d.iso, d.display) AS latest_structured_date, s.latest AS latest_refresh_recorded_at, coalesce(q.retry, 0)::BIGINT AS retry_queue_items, coalesce(q.review, 0)::BIGINT AS manual_review_items, n_nationkey = 7 AS has_parser_config_warning
+FROM nation LEFT JOIN (SELECT s_nationkey AS k, count(*) AS n, max(CASE WHEN s_suppkey % 4 > 0 THEN s_name END) AS latest FROM supplier GROUP BY 1) r ON r.k = n_nationkey
+LEFT JOIN (SELECT c_nationkey AS k, count(*) AS n, max(CASE WHEN c_nationkey % 2 = 0 AND c_custkey % 2 = 0 THEN c_name END) AS iso, max(c_mktsegment) AS display FROM customer WHERE c_custkey % 5 > 0 GROUP BY 1) d ON d.k = n_nationkey
+LEFT JOIN (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_nationkey > 2 GROUP BY 1) i ON i.k = n_nationkey
+LEFT JOIN (SELECT c_nationkey AS k, count(*) AS n, count(*) FILTER (c_mktsegment = 'BUILDING') AS high FROM customer GROUP BY 1) f ON f.k = n_nationkey
+LEFT JOIN (SELECT c_nationkey AS k, max(c_name) AS latest FROM customer GROUP BY 1) s ON s.k = n_nationkey
+LEFT JOIN (SELECT s_nationkey AS k, sum(2) FILTER (s_suppkey % 3 = 0) AS retry, sum(1) FILTER (s_suppkey % 3 = 1) AS review FROM supplier GROUP BY 1) q ON q.k = n_nationkey"""
+
+
+def _records(spark, sf_dir) -> DataFrame:
+    of = lambda c: F.concat(F.lit("n"), F.col(c).cast("string")).alias("source_id")
+    k, none = F.col("n_nationkey"), F.lit(None).cast("string")
+    sources = table(spark, sf_dir, "nation").select(of("n_nationkey"), F.col("n_name").alias("source_name"), F.when(k % 3 == 0, "paused").otherwise("active").alias("status"), F.lit("high").alias("priority_level"), none.alias("download_root"), none.alias("structured_output_dir"), F.when(k == 7, rules.NON_ITEM_PARSERS[0]).alias("parser"))
+    s, c = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    raw = s.select(of("s_nationkey"), F.when(F.col("s_suppkey") % 4 > 0, F.col("s_name")).otherwise("  ").alias("meeting_date"))
+    documents = c.where("c_custkey % 5 > 0").select(of("c_nationkey"), F.when((F.col("c_nationkey") % 2 == 0) & (F.col("c_custkey") % 2 == 0), F.col("c_name")).otherwise("").alias("meeting_date_iso"), F.col("c_mktsegment").alias("meeting_date"))
+    found = c.select(of("c_nationkey"), F.when(F.col("c_mktsegment") == "BUILDING", "high").otherwise("low").alias("priority_level"))
+    queues = s.select(of("s_nationkey"), F.when(F.col("s_suppkey") % 3 == 0, "/q/retry_queue.json").when(F.col("s_suppkey") % 3 == 1, "/q/manual_review_queue.json").otherwise("/q/other.json").alias("path"), F.when(F.col("s_suppkey") % 3 == 0, "[1, {}]").otherwise("[[]]").alias("value"))
+    return health.health_records(sources, raw, documents, c.where("c_nationkey > 2").select(of("c_nationkey")), found, c.select(of("c_nationkey"), F.col("c_name").alias("recorded_at")), health.queue_lengths(queues))
+
+
+@query(_RECORDS_SQL)
+def health_records(spark, sf_dir):
+    return _records(spark, sf_dir)
+
+
+@query(f"""SELECT count(*)::BIGINT AS source_count, count(*) FILTER (status = 'active')::BIGINT AS active_source_count, {', '.join(f'sum({c})::BIGINT AS {c}' for c in health.HEALTH_COUNTS)}, count(*) FILTER (has_parser_config_warning)::BIGINT AS sources_with_parser_config_warnings FROM ({_RECORDS_SQL})""")
+def health_totals(spark, sf_dir):
+    return health.health_totals(_records(spark, sf_dir))

@@ -159,3 +159,22 @@ def read_items_index(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([*schemas.ITEMS.fields, T.StructField("topic_tags", T.ArrayType(T.StringType()))])
     rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("pos", "r")).select("pos", "r.*")
     return rows.withColumn("topic_tags", F.coalesce("topic_tags", F.array().cast("array<string>")))
+
+
+def ingest_messages(tables: store.Store, messages: DataFrame, source_id: str, fetcher) -> dict:
+    """City notices: their documents are stored, the meeting pages they point to fetched once, and the pages' items imported."""
+    from meetloom.sources import fetch, mail
+
+    notes = mail.notice_documents(messages).persist()
+    try:
+        text = F.lit(None).cast("string")
+        raw = notes.select(F.concat(F.lit("doc_"), F.substring(F.sha1("external_id"), 1, 16)).alias("document_id"), F.lit(source_id).alias("source_id"), "external_id", F.col("body_name").alias("title"), F.when(F.col("is_cancellation"), "meeting_cancellation_notice").otherwise("agenda_notice").alias("document_type"), "meeting_date", "body_name", text.alias("file_path"), "mime_type")
+        upsert_raw_documents(tables, raw)
+        got = fetch.fetch_targets(mail.notice_links(notes.where("not is_cancellation")), fetcher, url="page_url").persist()
+        pages = got.where("content is not null").select(F.col("url").alias("path"), F.decode("content", "UTF-8").alias("text"), F.lit(kernels.PRIMEGOV).alias("parser"))
+        imported = import_items(tables, kernels.extract_items(pages).withColumn("source_id", F.lit(source_id)))
+        out = {"notices": notes.count(), "pages_fetched": got.where("content is not null").count(), "pages_failed": got.where("content is null").count(), "import_summary": imported}
+        got.unpersist()
+        return out
+    finally:
+        notes.unpersist()
