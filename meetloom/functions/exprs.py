@@ -138,28 +138,28 @@ def topic_tags(text: Column, topic_rules: Mapping[str, Sequence[str]] = rules.TO
     return F.array_compact(F.array(*hits))
 
 
-def action_class(title: Column, text: Column, section: Column) -> Column:
-    lowered = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(text, F.lit(""))))
-    out = F.lit(None).cast("string")
-    case = None
-    for word, name in rules.ACTION_RULES:
-        case = F.when(lowered.contains(word), name) if case is None else case.when(lowered.contains(word), name)
-    return F.coalesce(case, out, F.when(F.lower(section).contains("presentation"), "discussion_item"), F.lit("informational_item"))
+def lowered(title: Column, text: Column) -> Column:
+    """What the classifiers look at; compute it once as a column of its own."""
+    return F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(text, F.lit(""))))
 
 
-def priority(title: Column, text: Column, tags: Column, action: Column, high: Sequence[str] = rules.HIGH_PRIORITY_TOPICS, keywords: Sequence[str] = rules.HIGH_PRIORITY_KEYWORDS) -> Column:
-    lowered = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(text, F.lit(""))))
+def action_class(low: Column, section: Column) -> Column:
+    """The first rule whose word occurs; presentations are discussed, the rest informs."""
+    fits = [F.when(low.contains(word), name) for word, name in rules.ACTION_RULES]
+    return F.coalesce(*fits, F.when(F.lower(section).contains("presentation"), "discussion_item"), F.lit("informational_item"))
+
+
+def priority(low: Column, tags: Column, action: Column, high: Sequence[str] = rules.HIGH_PRIORITY_TOPICS, keywords: Sequence[str] = rules.HIGH_PRIORITY_KEYWORDS) -> Column:
     score = 2 * F.size(F.array_intersect(tags, F.array(*map(F.lit, high)))) + action.isin(rules.CONTRACT_ACTIONS).cast("int")
     for word in keywords:
-        score = score + lowered.contains(word).cast("int")
+        score = score + low.contains(word).cast("int")
     return F.when(score >= 5, "high").when(score >= 2, "medium").otherwise("low")
 
 
-def trend_signal(title: Column, text: Column, tags: Column, action: Column, high: Sequence[str] = rules.HIGH_PRIORITY_TOPICS, keywords: Sequence[str] = rules.TREND_KEYWORDS) -> Column:
-    lowered = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(text, F.lit(""))))
+def trend_signal(low: Column, tags: Column, action: Column, high: Sequence[str] = rules.HIGH_PRIORITY_TOPICS, keywords: Sequence[str] = rules.TREND_KEYWORDS) -> Column:
     pattern = F.lit(False)
     for word in keywords:
-        pattern = pattern | lowered.contains(word)
+        pattern = pattern | low.contains(word)
     return F.when(pattern, "recurring_vendor_or_contract_pattern").when(F.arrays_overlap(tags, F.array(*map(F.lit, high))), "policy_watch").when(action.isin(rules.DECISION_ACTIONS), "board_decision").otherwise("routine_monitoring")
 
 

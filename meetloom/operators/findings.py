@@ -24,11 +24,11 @@ class FindingFilters:
 
 
 def generate_findings(items: DataFrame, high: Sequence[str] = rules.HIGH_PRIORITY_TOPICS, explanations: Mapping[str, str] = rules.TOPIC_EXPLANATIONS, keywords: Sequence[str] = rules.HIGH_PRIORITY_KEYWORDS) -> DataFrame:
-    """One finding per item: one projection, no shuffle."""
-    title, text, tags = F.col("title"), F.col("text_block"), F.col("topic_tags")
-    acted = items.withColumn("action_classification", exprs.action_class(title, text, F.col("section_title")))
+    """One finding per item: projections only, no shuffle; the lowered text is made once."""
+    title, text, tags, low = F.col("title"), F.col("text_block"), F.col("topic_tags"), F.col("lowered_text")
+    acted = items.withColumn("lowered_text", exprs.lowered(title, text)).withColumn("action_classification", exprs.action_class(low, F.col("section_title")))
     action = F.col("action_classification")
-    scored = acted.withColumns({"priority_level": exprs.priority(title, text, tags, action, high, keywords), "trend_signal": exprs.trend_signal(title, text, tags, action, high)})
+    scored = acted.withColumns({"priority_level": exprs.priority(low, tags, action, high, keywords), "trend_signal": exprs.trend_signal(low, tags, action, high)})
     return scored.select(
         exprs.stable_id("finding_", F.col("agenda_item_id")).alias("finding_id"), "agenda_item_id", "document_id", "source_id", "cluster_name", "meeting_date", "title",
         exprs.summary_plain(F.col("cluster_name"), F.col("item_label"), action, title).alias("summary_plain"),

@@ -64,4 +64,4 @@ def test_document_roles(spark):
 @pytest.mark.parametrize(("title", "want"), [("Sole source amendment", "sole_source_contract"), ("Extend and award", "contract_amendment"), ("adopt", "policy_adoption"), ("x", "discussion_item")])
 def test_actions(spark, title, want):
     df = spark.createDataFrame([(title, "", "Presentations")], "t string, x string, s string")
-    assert df.select(exprs.action_class(F.col("t"), F.col("x"), F.col("s")).alias("a")).first()["a"] == want
+    assert df.select(exprs.action_class(exprs.lowered(F.col("t"), F.col("x")), F.col("s")).alias("a")).first()["a"] == want
