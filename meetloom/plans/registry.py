@@ -13,7 +13,7 @@ from meetloom.operators import health
 from meetloom.operators import items as itm
 from meetloom.operators import ranking
 from meetloom.plans.crosswalk import ITEMS_SQL, items, table, tags_sql, topics
-from meetloom.sources import fetch, jobs, links, mail, screening, store
+from meetloom.sources import fetch, jobs, links, mail, registry_log, screening, store
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
@@ -355,7 +355,9 @@ def changed_since_state(spark, sf_dir):
     return screening.changed_files(e, state, "event_id", ("value",)).select("event_id", "event_type")
 
 
-@query()
+@query("""WITH RECURSIVE k AS (SELECT event_type, min(ts) AS ts FROM events WHERE ts IS NOT NULL GROUP BY event_type
+UNION ALL SELECT k.event_type, min(e.ts) FROM k JOIN events e ON e.event_type = k.event_type AND e.ts >= k.ts + INTERVAL 6 DAYS GROUP BY k.event_type)
+SELECT event_type, ts FROM k""")
 def snapshot_thinning(spark, sf_dir):
     return ranking.thin_snapshots(table(spark, sf_dir, "events").select("event_type", "ts"), "event_type", "ts")
 
@@ -421,9 +423,7 @@ def recent_top10(spark, sf_dir):
 UNION ALL SELECT 'repeated name', c_mktsegment FROM customer GROUP BY c_mktsegment HAVING count(*) > 1""")
 def registry_validation(spark, sf_dir):
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation").where("n_nationkey < 20")
-    lost = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left_anti").select(F.lit("unknown reference").alias("problem"), F.col("c_custkey").cast("string").alias("subject"))
-    twice = c.groupBy("c_mktsegment").count().where("count > 1").select(F.lit("repeated name").alias("problem"), F.col("c_mktsegment").alias("subject"))
-    return lost.unionByName(twice)
+    return registry_log.unknown_references(c, "c_nationkey", "c_custkey", n, "n_nationkey").unionByName(registry_log.repeated(c, "c_mktsegment"))
 
 
 @query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS n FROM documents) WHERE n <= 3")

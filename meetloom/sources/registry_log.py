@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meetloom.sources.config import load_yaml
 
@@ -71,6 +72,18 @@ def listing(spark: SparkSession, log: Mapping[str, Any], **equal: str | None) ->
     return spark.createDataFrame(rows, ", ".join(f"{f} string" for f in [*own, *nested]))
 
 
+def unknown_references(rows: DataFrame, reference: str, subject: str, known: DataFrame, key: str) -> DataFrame:
+    """problem, subject: rows whose reference no known row has; a null reference is unknown too."""
+    lost = rows.join(known.select(F.col(key).alias(reference)).distinct(), reference, "left_anti")
+    return lost.select(F.lit("unknown reference").alias("problem"), F.col(subject).cast("string").alias("subject"))
+
+
+def repeated(rows: DataFrame, column: str) -> DataFrame:
+    """problem, subject: non-null values that more than one row has."""
+    twice = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return twice.select(F.lit("repeated name").alias("problem"), F.col(column).cast("string").alias("subject"))
+
+
 def counts(log: Mapping[str, Any]) -> dict[str, Any]:
     """The validation as one record: whether it is valid, its errors and warnings, and how many entries there are."""
     found = problems(log)
