@@ -3,8 +3,10 @@
 Tokens are the words [^\\x20\\x09-\\x0D]+ with A-Z lower-cased, and one end for each text. The
 corpus counts of all training tokens are a distributed table that grows with the corpus.
 The most frequent words are symbols of their own; any other word is a symbol by a hash of
-its ending, and within such a group its probability is (count + 1) / (the group's counts + 1
-each + 1 for what was never seen), so the model is a distribution over all words.
+its ending. Within such a group, a word's probability is q e^weight / Z: q is (count + 1) /
+(the group's counts + 1 each + 1 for what was never seen), the weight is that of the feature
+(whole word before, whole word), 0 where it has none, and Z the sum over the group. So the
+model is a distribution over all words.
 
 P(symbol | two symbols before) = P(class | ..) * P(symbol | class, ..), both softmaxes over
 the hashed features: bias, last symbol, skip (the symbol before it), and the pair. Weights
@@ -15,6 +17,11 @@ features in a second step, and the driver, which gets one packed sum of the mode
 takes a damped diagonal Newton step on every weight, with an L2 penalty. Model, events and
 gradients are bounded by SYMBOLS and BUCKETS, whatever the corpus' size.
 
+Word pairs have a feature if both words are FREQUENT and the pair has a share of PAIRS of all
+tokens, so there are at most 1/PAIRS of them. They are counted over the whole corpus in the
+pass that counts the events. As no feature of a word before touches another's, each part
+of them, dealt by the word before, runs its damped Newton steps by itself.
+
 Scoring runs in sparse numpy batches: a batch's distinct contexts gather their weight rows
 once. Words as frequent as FREQUENT (at most 1/FREQUENT of them, a bounded broadcast) are
 looked up in the task; only rarer ones are joined with the counts by a shuffle. A worker
@@ -37,7 +44,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +55,12 @@ SYMBOLS, TAILS, CLASSES = 256, 64, 16
 BUCKETS, ROUNDS, RATE, PENALTY = 1 << 14, 10, 0.5, 5.0
 #: A part of the events per so many of them, between the least and the most parts; runs of features that are summed up together.
 FREQUENT, PART_EVENTS, PARTS, RUNS = 4e-6, 500_000, (8, 256), 16
+#: The least share of a pair with a weight, the rounds and the L2 penalty of these weights.
+PAIRS, PAIR_ROUNDS, PAIR_PENALTY = 2e-6, 40, 0.5
+#: Codes of events are below EVENTS. Pairs are coded beyond, as the word before << KEY_BITS, plus the group, or TAILS plus the word.
+EVENTS, KEY_BITS = SYMBOLS**3, 20
 END = b""  # the end's key among the counts; no word is empty
-KEPT_TOKENS, KEPT_EVENTS = 200_000, 2_000_000
+KEPT_TOKENS, KEPT_EVENTS, KEPT_CODES = 200_000, 2_000_000, 1_000_000
 
 
 def tail_of(word: bytes) -> int:
@@ -72,9 +83,6 @@ class MaxEnt:
     by_class: np.ndarray = field(default_factory=lambda: np.zeros((BUCKETS, CLASSES), np.float32))
     by_symbol: np.ndarray = field(default_factory=lambda: np.zeros((BUCKETS, SYMBOLS), np.float32))
 
-    def tail_symbol(self, word: bytes) -> int:
-        return SYMBOLS - TAILS + tail_of(word)
-
     def log_parts(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural logs: (n, CLASSES) of the classes, (n, SYMBOLS) of the symbols within their classes."""
         f = context_features(context)
@@ -147,40 +155,116 @@ def _contexts(y: np.ndarray, length: np.ndarray) -> np.ndarray:
     return two * SYMBOLS + one
 
 
-def _coded(model: MaxEnt, symbol_of: dict[bytes, int], words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, symbols and text numbers of all tokens of some texts, ends included."""
-    flat: list[int] = []
-    for ws in words:
-        flat += [symbol_of[w] if w in symbol_of else model.tail_symbol(w) for w in ws]
-        flat.append(0)
-    y, length = np.array(flat, np.int64), np.array([len(ws) + 1 for ws in words])
-    return _contexts(y, length), y, np.repeat(np.arange(len(words)), length)
+@dataclass
+class Words:
+    """The frequent words as one index: place[word] leads to its count and symbol."""
 
+    head: dict[bytes, int]
+    words: list[bytes]
+    n: np.ndarray
+    place: dict[bytes, int] = field(default_factory=dict)
+
+    def indexed(self) -> Words:
+        """Built once a worker."""
+        if not hasattr(self, "symbol"):
+            self.place = {w: i for i, w in enumerate(self.words)}
+            self.log_n = np.log10(self.n + 1.0)
+            self.symbol = np.array([*map(self.symbol_of, self.words), 0], np.int64)  # one more for words that are not here
+        return self
+
+    def symbol_of(self, word: bytes) -> int:
+        return self.head[word] if word in self.head else SYMBOLS - TAILS + tail_of(word)
+
+
+def _coded(known: Words, words: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of some texts, ends included; their places (-1: not frequent), their symbols, the texts' lengths."""
+    flat = [w for ws in words for w in (*ws, END)]
+    at = np.fromiter(map(known.place.get, flat, repeat(-1)), np.int64, len(flat))
+    y, lacks = known.symbol[at], np.flatnonzero(at < 0)
+    y[lacks] = [known.symbol_of(flat[k]) for k in lacks.tolist()]
+    return flat, at, y, np.array([len(ws) + 1 for ws in words], np.int64)
 
-def count_events(texts: DataFrame, model: MaxEnt) -> DataFrame:
-    """context, symbol, n over all texts, computed once, contexts whole in their partitions. Tasks pre-aggregate before the shuffle."""
-    shared = texts.sparkSession.sparkContext.broadcast(model.head)
+
+def _pairs(known: Words, at: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where grouped words follow a frequent word (a text's first word follows an end): their indices, the pairs' codes with the group, and with the word (without one: that of the group)."""
+    before = np.concatenate([[known.place.get(END, -1)], at[:-1]])
+    here = np.flatnonzero((y >= SYMBOLS - TAILS) & (before >= 0))
+    code, group = EVENTS + (before[here] << KEY_BITS), y[here] - (SYMBOLS - TAILS)
+    return here, code + group, code + np.where(at[here] >= 0, TAILS + at[here], group)
+
+
+def count_events(texts: DataFrame, shared: Broadcast[Words], total: int) -> tuple[DataFrame, DataFrame]:
+    """(context, symbol, n with contexts whole in their partitions; code, n of the pairs and of their groups that reach PAIRS), over all texts, computed once. Tasks pre-aggregate before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = MaxEnt(shared.value, np.empty((0, 0)), np.empty((0, 0)))
+        known = shared.value.indexed()
         held = np.empty(0, np.int64), np.empty(0, np.int64)
+        waiting: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(held[0] // SYMBOLS), pa.array(held[0] % SYMBOLS), pa.array(held[1])], ["context", "symbol", "n"])
+            return pa.RecordBatch.from_arrays([*map(pa.array, held)], ["code", "n"])
 
         for batch in batches:
             for _, words in _chunks(batch.column(0)):
-                context, y, _ = _coded(m, m.head, words)
-                held = merged(held, np.unique(context * SYMBOLS + y, return_counts=True))
+                _, at, y, length = _coded(known, words)
+                _, group, word = _pairs(known, at, y)
+                waiting += [_contexts(y, length) * SYMBOLS + y, group, word[word != group]]
+                if sum(map(len, waiting)) > KEPT_CODES:
+                    held = merged(held, np.unique(np.concatenate(waiting), return_counts=True))
+                    waiting.clear()
                 if len(held[0]) > KEPT_EVENTS:
                     yield out()
                     held = held[0][:0], held[1][:0]
+        if waiting:
+            held = merged(held, np.unique(np.concatenate(waiting), return_counts=True))
         yield out()
 
-    events = texts.select("text").mapInArrow(run, "context long, symbol long, n long")
-    events = stored(events.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "lm-events")
+    counted = texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = stored(counted.where((F.col("code") < EVENTS) | (F.col("n") >= PAIRS * total)), "lm-events")
+    events = counted.where(F.col("code") < EVENTS).select(F.expr(f"code div {SYMBOLS}").alias("context"), (F.col("code") % SYMBOLS).alias("symbol"), "n")
     parts = min(PARTS[1], max(PARTS[0], events.count() // PART_EVENTS))
-    return saved(events.repartition(parts, "context"))
+    return saved(events.repartition(parts, "context")), counted.where(F.col("code") >= EVENTS)
+
+
+def fit_pairs(code: np.ndarray, n: np.ndarray, known: Words, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, log10 values) of these pairs and groups, with all that share a word before: the weight of a pair, -log10 Z of a group."""
+    order = np.argsort(code)
+    code, n = code[order], n[order].astype(np.float64)
+    key = (code - EVENTS) & ((1 << KEY_BITS) - 1)
+    whole, word = key < TAILS, key[key >= TAILS] - TAILS
+    groups, pairs = code[whole], code[~whole]
+    group = known.symbol[word] - (SYMBOLS - TAILS)
+    mine = np.searchsorted(groups, pairs - key[~whole] + group)  # a pair's group has its count at least, so it is here
+    c, of_group, q = n[~whole], n[whole][mine], (known.n[word] + 1) / tails[group]
+    weight = np.zeros(len(pairs))
+    for _ in range(PAIR_ROUNDS):
+        z = 1 + np.bincount(mine, q * np.expm1(weight), len(groups))
+        expected = of_group * q * np.exp(weight) / z[mine]
+        weight += RATE * (c - expected - PAIR_PENALTY * weight) / (np.maximum(c, expected) + PAIR_PENALTY)
+    z = 1 + np.bincount(mine, q * np.expm1(weight), len(groups))
+    met = np.unique(mine)
+    return np.concatenate([pairs, groups[met]]), np.concatenate([weight / math.log(10), -np.log10(z[met])])
+
+
+def pair_values(pairs: DataFrame, shared: Broadcast[Words], tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes and their log10 values, at most 2/PAIRS of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(2)] for b in batches]
+        if parts:
+            code, value = fit_pairs(*(np.concatenate([p[i] for p in parts]) for i in range(2)), shared.value.indexed(), tails)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(value.astype(np.float32))], ["code", "value"])
+
+    got = pairs.repartition(F.expr(f"shiftright(code - {EVENTS}, {KEY_BITS})")).mapInArrow(run, "code long, value float").toPandas().sort_values("code")
+    return got["code"].to_numpy(np.int64), got["value"].to_numpy(np.float32)
+
+
+def looked_up(codes: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of the wanted codes; 0 where there is none."""
+    if not len(codes):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+    return np.where(codes[at] == wanted, values[at], 0)
 
 
 def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -281,28 +365,6 @@ def train(events: DataFrame, model: MaxEnt, rounds: int = ROUNDS) -> MaxEnt:
     return model
 
 
-@dataclass
-class Words:
-    """The frequent words as one index: place[word] leads to its count and symbol; tails are the log10 of the groups' totals."""
-
-    model: MaxEnt
-    words: list[bytes]
-    n: np.ndarray
-    tails: np.ndarray
-
-    def __post_init__(self) -> None:
-        self.place: dict[bytes, int] = {}
-
-    def indexed(self) -> Words:
-        if not self.place:
-            self.place = {w: i for i, w in enumerate(self.words)}
-            self.words = []
-            self.log_n = np.log10(self.n + 1.0)
-            self.symbol = np.array([self.model.head[w] if w in self.model.head else self.model.tail_symbol(w) for w in self.place], np.int32)
-            self.alone = np.array([w not in self.model.head for w in self.place], bool)
-        return self
-
-
 def score_documents(docs: DataFrame, parts: int = 7, held_out: int = 2, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per row of docs, logs to base 10."""
     spark = docs.sparkSession
@@ -315,36 +377,31 @@ def score_documents(docs: DataFrame, parts: int = 7, held_out: int = 2, rounds:
     words = [w.encode() for w in frequent["token"]]
     top = [w for w in words if w != END][: SYMBOLS - TAILS - 1]
     model = MaxEnt({END: 0, **{w: i + 1 for i, w in enumerate(top)}})
-    tails = tail_totals(counts, model.head)
+    tails = np.array(tail_totals(counts, model.head), np.float64)
+    vocabulary = spark.sparkContext.broadcast(Words(model.head, words, frequent["n"].to_numpy(np.int64)))
+    codes, values = np.empty(0, np.int64), np.empty(0, np.float32)
     if total:
-        model = train(count_events(training, model), model, rounds)
+        events, pairs = count_events(training, vocabulary, total)
+        model = train(events, model, rounds)
+        codes, values = pair_values(pairs, vocabulary, tails)
     log_n = math.log10(total + distinct + 1)
-    shared = spark.sparkContext.broadcast(Words(model, words, frequent["n"].to_numpy(np.int64), np.log10(np.array(tails, np.float64))))
+    shared = spark.sparkContext.broadcast((model, np.log10(tails), codes, values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value.indexed()
-        m, place = known.model, known.place
+        known, (m, log_tails, codes, values) = vocabulary.value.indexed(), shared.value
         table, filled = held_one(shared, lambda: (np.empty((SYMBOLS * SYMBOLS, SYMBOLS), np.float32), np.zeros(SYMBOLS * SYMBOLS, bool)))
         row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         for batch in batches:
             ids = batch.column(0)
             for at, texts in _chunks(batch.column(1)):
                 n = len(texts)
-                length = np.array([len(ws) + 1 for ws in texts], np.int64)
-                text = np.repeat(np.arange(n), length)
-                at_word = np.array([i for ws in texts for i in (*map(place.get, ws, repeat(-1)), place.get(END, -1))], np.int64)
-                met = at_word >= 0
-                y = np.zeros(len(at_word), np.int64)
-                y[met] = known.symbol[at_word[met]]
+                flat, at_word, y, length = _coded(known, texts)
+                text, met = np.repeat(np.arange(n), length), at_word >= 0
                 lost: list[dict[bytes, int]] = [{} for _ in texts]
-                starts = (np.cumsum(length) - length).tolist()
                 for k in np.flatnonzero(~met).tolist():
-                    i = int(text[k])
-                    j = k - starts[i]
-                    if j < len(texts[i]):
-                        w = texts[i][j]
-                        y[k] = m.tail_symbol(w)
-                        lost[i][w] = lost[i].get(w, 0) + 1
+                    if w := flat[k]:
+                        of_text = lost[text[k]]
+                        of_text[w] = of_text.get(w, 0) + 1
                 context = _contexts(y, length)
                 new = np.unique(context[~filled[context]])
                 for low in range(0, len(new), 512):
@@ -353,8 +410,9 @@ def score_documents(docs: DataFrame, parts: int = 7, held_out: int = 2, rounds:
                 grouped = y >= SYMBOLS - TAILS
                 logs, own = np.zeros(len(y)), np.zeros(len(y))
                 logs[met] = known.log_n[at_word[met]]
-                own[met] = np.where(known.alone[at_word[met]], logs[met], 0)
-                own[grouped] -= known.tails[y[grouped] - (SYMBOLS - TAILS)]
+                own[grouped] = logs[grouped] - log_tails[y[grouped] - (SYMBOLS - TAILS)]
+                here, group, word = _pairs(known, at_word, y)
+                own[here] += looked_up(codes, values, group) + np.where(word != group, looked_up(codes, values, word), 0)
                 score, base = np.bincount(text, table[context, y] + own, n), np.bincount(text, logs, n)
                 kind = pa.list_(pa.struct([("token", pa.string()), ("n", pa.int64())]))
                 rare = [[{"token": w.decode("utf-8", "replace"), "n": k} for w, k in r.items()] for r in lost]

@@ -43,10 +43,11 @@ def test_score_equals_a_plain_model_over_the_same_weights(spark, monkeypatch):
     import zlib
     from collections import Counter
 
-    kept = []
+    kept, fitted = [], []
+    monkeypatch.setattr(lm, "pair_values", lambda pairs, shared, tails, f=lm.pair_values: fitted.append((shared, f(pairs, shared, tails))) or fitted[-1][1])
     monkeypatch.setattr(lm, "train", lambda events, model, rounds, f=lm.train: kept.append(f(events, model, rounds)) or kept[-1])
     rng = random.Random(8)
-    texts = [" ".join(rng.choices([f"w{i}" for i in range(400)], [1 / (i + 1) for i in range(400)], k=rng.randint(0, 60))) for _ in range(120)] + [None, "", "Never seen words"]
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(400)], [1 / (i + 1) for i in range(400)], k=rng.randint(0, 60))) for _ in range(120)] + ["odd ones meet odd ones"] * 4 + [None, "", "Never seen words"]
     got = {r["doc_id"]: r["score"] for r in lm.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rounds=3).collect()}
     count = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in [*(t or "").lower().encode().split(), b""])
     (m,) = kept
@@ -55,21 +56,57 @@ def test_score_equals_a_plain_model_over_the_same_weights(spark, monkeypatch):
         if w not in m.head:
             tail[zlib.crc32(w[-3:]) % lm.TAILS] += n + 1
     each = lm.SYMBOLS // lm.CLASSES
+    ((shared, (codes, values)),) = fitted
+    value, place = dict(zip(codes.tolist(), values.tolist(), strict=True)), {w: i for i, w in enumerate(shared.value.words)}
 
-    def log_probability(two, one, word):
+    def weight(before, word):
+        at = place.get(word)
+        return 0.0 if before not in place or at is None else value.get(lm.EVENTS + (place[before] << lm.KEY_BITS) + lm.TAILS + at, 0.0)
+
+    def within(before, word):
+        group = [w for w in count if w not in m.head and lm.tail_of(w) == lm.tail_of(word)]
+        q, unseen = {w: (count[w] + 1) / (tail[lm.tail_of(word)] + 1) for w in group}, 1 / (tail[lm.tail_of(word)] + 1)
+        z = unseen + math.fsum(q[w] * 10 ** weight(before, w) for w in group)
+        return (q[word] if word in q else unseen) * 10 ** weight(before, word) / z
+
+    def log_probability(two, one, word, before):
         y = m.head.get(word, lm.SYMBOLS - lm.TAILS + zlib.crc32(word[-3:]) % lm.TAILS)
         f = lm.context_features(np.array([two * lm.SYMBOLS + one]))[0]
         c = [math.fsum(float(m.by_class[k, i]) for k in f) for i in range(lm.CLASSES)]
         s = [math.fsum(float(m.by_symbol[k, i]) for k in f) for i in range(y // each * each, y // each * each + each)]
         p = math.exp(c[y // each]) / sum(map(math.exp, c)) * math.exp(s[y % each]) / sum(map(math.exp, s))
         if word not in m.head:
-            p *= (count[word] + 1) / (tail[zlib.crc32(word[-3:]) % lm.TAILS] + 1)
+            p *= within(before, word)
         return math.log10(p), y
 
     for i, t in enumerate(texts):
         two = one = 0
-        total = 0.0
+        total, before = 0.0, b""
         for w in [*(t or "").lower().encode().split(), b""]:
-            x, y = log_probability(two, one, w)
-            total, two, one = total + x, one, y
+            x, y = log_probability(two, one, w, before)
+            total, two, one, before = total + x, one, y, w
         assert math.isclose(got[i], total, abs_tol=1e-3 + 1e-5 * abs(total))
+    assert len(codes) > 100 and within(b"odd", b"ones") > within(b"w0", b"ones")
+
+
+def test_pair_weights_solve_their_equations():
+    """At the optimum, a pair's count is its expectation and the penalty; a word before without a group's pairs has no value there."""
+    words = [f"x{i}".encode() for i in range(60)]
+    known = lm.Words({b"": 0}, words, np.arange(1, 61)[::-1].copy()).indexed()
+    tails = np.full(lm.TAILS, 1.0)
+    for i, w in enumerate(words):
+        tails[lm.tail_of(w)] += known.n[i] + 1
+    rng, pair, total = np.random.default_rng(2), {}, {}
+    for before, word, n in zip(rng.integers(0, 9, 150), rng.integers(0, 60, 150), rng.integers(1, 30, 150), strict=True):
+        pair[before, word] = pair.get((before, word), 0) + int(n)
+        total[before, lm.tail_of(words[word])] = total.get((before, lm.tail_of(words[word])), 3) + int(n)
+    total[9, 0] = 8
+    coded = {lm.EVENTS + (int(b) << lm.KEY_BITS) + lm.TAILS + int(w): n for (b, w), n in pair.items()} | {lm.EVENTS + (int(b) << lm.KEY_BITS) + g: n for (b, g), n in total.items()}
+    codes, values = lm.fit_pairs(np.array(list(coded)), np.array(list(coded.values())), known, tails)
+    value = dict(zip(codes.tolist(), (values * np.log(10)).tolist(), strict=True))
+    assert len(value) == len(pair) + len(total) - 1
+    for (b, w), n in pair.items():
+        g = lm.tail_of(words[w])
+        weight, minus_log_z = value[lm.EVENTS + (int(b) << lm.KEY_BITS) + lm.TAILS + int(w)], value[lm.EVENTS + (int(b) << lm.KEY_BITS) + g]
+        expected = total[b, g] * (known.n[w] + 1) / tails[g] * np.exp(weight + minus_log_z)
+        assert abs(n - expected - lm.PAIR_PENALTY * weight) < 0.02 * (n + 1)
