@@ -56,7 +56,7 @@ BUCKETS, ROUNDS, RATE, PENALTY = 1 << 14, 10, 0.5, 5.0
 #: A part of the events per so many of them, between the least and the most parts; runs of features that are summed up together.
 FREQUENT, PART_EVENTS, PARTS, RUNS = 4e-6, 500_000, (8, 256), 16
 #: The least share of a pair with a weight, the rounds and the L2 penalty of these weights.
-PAIRS, PAIR_ROUNDS, PAIR_PENALTY = 2e-6, 40, 0.5
+PAIRS, PAIR_ROUNDS, PAIR_PENALTY = 2e-6, 80, 0.5
 #: Codes of events are below EVENTS. Pairs are coded beyond, as the word before << KEY_BITS, plus the group, or TAILS plus the word.
 EVENTS, KEY_BITS = SYMBOLS**3, 20
 END = b""  # the end's key among the counts; no word is empty
