@@ -361,7 +361,7 @@ def train(events: DataFrame, model: MaxEnt, rounds: int = ROUNDS) -> MaxEnt:
         for weight, cols in ((model.by_class, slice(None, CLASSES)), (model.by_symbol, slice(CLASSES, None))):
             g, s = slope[:, cols], seen[:, cols]
             weight += RATE * (g - PENALTY * weight) / (np.maximum(s, s - g) + PENALTY)  # the larger of observed and expected
-        shared.unpersist()
+        shared.destroy()  # its sums are here; unpersist would leave a file a round on the driver
     return model
 
 
