@@ -41,6 +41,8 @@ def rows_of(df):
     """A pandas frame as a sorted list of plain tuples, columns by name."""
     import math
 
+    import pandas as pd
+
     cols = sorted(df.columns)
-    plain = lambda v: None if v is None or v is __import__("pandas").NaT or (isinstance(v, float) and math.isnan(v)) else v if isinstance(v, (int, float)) else str(v)
+    plain = lambda v: None if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)) else v if isinstance(v, (int, float)) else str(v)
     return cols, sorted((tuple(map(plain, r)) for r in df[cols].astype(object).itertuples(index=False, name=None)), key=repr)
