@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meetloom.llm import bpe, chat, decontaminate, imatch, langid, lm, shard, simhash, toxicity, urlfilter
+from meetloom.llm import bpe, chat, decontaminate, imatch, langid, lm, repair, repeats, shard, simhash, spelling, toxicity, urlfilter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -63,6 +63,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"), [*rules, *urlfilter.SPAM_RULES])
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(repair.faults(repair.damaged(table(spark, sf_dir, "conversations"))))
+
+
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,11 +82,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_bpe, op3_lm_score, op4_language_id, op5_chat_format, op6_hilbert_shards, op7_simhash, op8_toxicity, op9_imatch, op10_url_filter, pipeline)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_bpe, op3_lm_score, op4_language_id, op5_chat_format, op6_hilbert_shards, op7_simhash, op8_toxicity, op9_imatch, op10_url_filter, op11_spelling_variants, op12_conversation_repair, op13_repeated_passages, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": OP10_SQL, "op5_chat_format": OP5_SQL, "op9_imatch": OP9_SQL}
+    return {"op10_url_filter": OP10_SQL, "op5_chat_format": OP5_SQL, "op9_imatch": OP9_SQL, "op11_spelling_variants": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_repeated_passages": OP13_SQL}
 
 
 OP10_SQL = r"""
@@ -142,3 +154,92 @@ SELECT doc_id, n_chars::BIGINT AS n_chars, edited_sha256, fingerprint, edited_fi
   CASE WHEN len(met_n) > 0 THEN len(list_filter(met_n, lambda i: substr(fingerprint, 17 + 4 * i, 4) = substr(next_print, 17 + 4 * i, 4)))::DOUBLE / len(met_n) ELSE (left(fingerprint, 16) = left(next_print, 16))::INT::DOUBLE END AS near_next
 FROM m
 """
+
+#: CRC-32 of the UTF-8 bytes of {x}, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(8 * strlen({x})), lambda k: (('0x' || substr(hex(encode({x})), 2 * (k // 8) + 1, 2))::BIGINT >> (k % 8)) & 1)),
+  lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"""
+
+OP11_SQL = (
+    r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+d AS (SELECT id, run, id || ':' || run AS key, count(*) AS n FROM runs GROUP BY ALL),
+h AS (SELECT run, n, """
+    + CRC32_SQL.format(x="key")
+    + r""" AS h FROM d),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM w)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN w b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min({'less': -near_n, 'near': near}) AS top FROM pairs GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.less >= 2 * w.n THEN top.near END AS form, CASE WHEN -top.less >= 2 * w.n THEN -top.less END AS form_n FROM w LEFT JOIN best USING (word)),
+up(word, root, depth) AS (
+  SELECT word, word, 0 FROM f
+  UNION ALL SELECT up.word, f.form, up.depth + 1 FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n::BIGINT AS n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM f JOIN (SELECT word, arg_max(root, depth) AS root FROM up GROUP BY word) r USING (word)
+"""
+)
+
+OP12_SQL = (
+    r"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (SELECT *, ("""
+    + CRC32_SQL.format(x="key")
+    + r""") % 20 AS code FROM k),
+d AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM h WHERE code <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS time FROM d),
+r AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN time > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM o),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id),
+inserts(src, added, lines, dst, plus) AS (VALUES
+  ('t', '', '', 't', 0), ('t', 'I', 'user:' || chr(10), 'u', 5), ('t', 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 'a', 10),
+  ('s', '', '', 's', 0), ('s', 'I', 'user:' || chr(10), 'u', 5), ('s', 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 'a', 10),
+  ('u', '', '', 'u', 0), ('u', 'I', 'assistant:' || chr(10), 'a', 5), ('u', 'II', 'assistant:' || chr(10) || 'user:' || chr(10), 'u', 10),
+  ('a', '', '', 'a', 0), ('a', 'I', 'user:' || chr(10), 'u', 5), ('a', 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 'a', 10)),
+reads(src, edit, takes, dst, plus) AS (VALUES
+  ('t', 'D', '', 't', 2), ('s', 'D', '', 's', 2), ('u', 'D', '', 'u', 2), ('a', 'D', '', 'a', 2),
+  ('t', 'K', 's', 's', 0), ('t', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('u', 'K', 'a', 'a', 0), ('a', 'K', 'u', 'u', 0),
+  ('t', 'R', 'u', 'u', 1), ('s', 'R', 'u', 'u', 1), ('u', 'R', 'a', 'a', 1), ('a', 'R', 'u', 'u', 1)),
+moves AS (
+  SELECT i.src, i.added || e.edit AS edits, i.lines, e.edit, e.takes, e.dst, i.plus + e.plus AS plus FROM inserts i JOIN reads e ON e.src = i.dst),
+way(conv_id, i, src, best) AS (
+  SELECT conv_id, 0::BIGINT, 't', {'cost': 0::BIGINT, 'audit': '', 'lines': ''} FROM counts
+  UNION ALL
+  SELECT w.conv_id, r.i, m.dst,
+         min({'cost': w.best.cost + m.plus + CASE WHEN m.edit <> 'D' AND r.fault = 'truncated' THEN 5 ELSE 0 END, 'audit': w.best.audit || m.edits,
+              'lines': w.best.lines || m.lines || CASE m.edit WHEN 'D' THEN '' WHEN 'K' THEN r.role || ':' || r.text || chr(10) ELSE CASE m.takes WHEN 'u' THEN 'user:' ELSE 'assistant:' END || r.text || chr(10) END})
+  FROM way w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN moves m ON m.src = w.src
+  WHERE m.edit = 'D' OR (r.fault NOT IN ('blank', 'duplicate') AND (m.edit = 'R' OR left(r.role, 1) = m.takes))
+  GROUP BY w.conv_id, r.i, m.dst),
+done AS (
+  SELECT c.conv_id, min({'cost': w.best.cost + x.plus, 'audit': w.best.audit || x.added, 'lines': w.best.lines || x.lines}) AS best
+  FROM counts c JOIN way w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n JOIN inserts x ON x.src = w.src AND x.dst IN ('t', 'a') GROUP BY c.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+       coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(left(best.lines, greatest(length(best.lines) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+)
+
+OP13_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS doc, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+win AS (SELECT doc, i, md5(array_to_string(words[i : i + 34], ' ')) AS h FROM (SELECT doc, words, unnest(range(1, len(words) - 33)) AS i FROM t)),
+again AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+marked AS (SELECT doc, i FROM win JOIN again USING (h)),
+pos AS (SELECT doc, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM t),
+covered AS (SELECT p.doc, p.i, word, max((m.i IS NOT NULL)::INT) OVER (PARTITION BY p.doc ORDER BY p.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM pos p LEFT JOIN marked m ON m.doc = p.doc AND m.i = p.i)
+SELECT t.doc_id, len(any_value(words))::BIGINT AS n_words, coalesce(sum(gone), 0)::BIGINT AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (gone = 0), '')) AS kept_sha256
+FROM t LEFT JOIN covered c USING (doc) GROUP BY t.doc, t.doc_id
+"""
