@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meetloom import schemas
 from meetloom.extract import kernels
 from meetloom.operators import findings, items
-from meetloom.sources import config, fetch, jobs, mail, registry_log, screening, store
+from meetloom.sources import config, downloads, fetch, jobs, mail, registry_log, screening, store
 
 ABOUT = "meetloom: items, topics and findings from public-meeting documents, on Spark"
 
@@ -182,7 +182,7 @@ def main(argv: list[str] | None = None, fetcher: fetch.Fetcher = fetch.over_http
         show(mail.notices(messages))
     elif a.command == "download-message-links":
         targets = mail.download_targets(mail.message_links(mail.read_messages(spark, a.path)))
-        say(fetch.write_manifest(fetch.processed(fetch.fetch_targets(targets, fetcher, url="resolved_url")), a.out))
+        say(fetch.write_manifest(fetch.processed(downloads.download(targets, fetcher, f"{a.out}/files", url="resolved_url")), a.out))
     else:
         say(jobs.ingest_messages(tables, mail.read_messages(spark, a.path), a.source_id, fetcher))
     return 0

@@ -87,7 +87,7 @@ def iso_date(text: str | None) -> str | None:
 
 def header_date(text: str) -> str | None:
     m = p.DATE_LINE.search(text)
-    return m and ", ".join(squeeze(x) for x in m.groups() if x)
+    return m and ", ".join(squeeze(x).rstrip(",") for x in m.groups() if x)
 
 
 def cluster_in(line: str) -> str | None:

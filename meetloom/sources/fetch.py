@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import hashlib
 import html
+import json
 import re
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
 from pathlib import PurePosixPath
 from urllib.parse import urljoin, urlparse
 
@@ -80,31 +82,36 @@ def resolve(url: str, fetch: Fetcher, trusted: Callable[[str], bool] = lambda u:
     return (*resolve(child, fetch, trusted, depth - 1, seen)[:3], "followed_landing_page")
 
 
+def fetch_one(url: str, fetch: Fetcher, tries: int = 3, follow: bool = False) -> dict:
+    """What became of an address: its content, or what failed; never an exception."""
+    row: dict = dict.fromkeys(x.split()[0] for x in RESULTS.split(", ")) | {"url": url, "attempts": 0}
+
+    def once(x: str) -> tuple[bytes, str, str]:
+        row["attempts"] += 1
+        return fetch(x)
+
+    try:
+        got = resolve(url, with_retry(once, tries)) if follow else (*with_retry(once, tries)(url), "direct_download")
+        row |= {"content": got[0], "content_type": got[1], "final_url": got[2], "outcome": got[3], "sha256": hashlib.sha256(got[0]).hexdigest(), "bytes_downloaded": len(got[0])}
+    except urllib.error.HTTPError as e:
+        row |= {"error_kind": "http", "http_code": e.code, "error": str(e)}
+    except urllib.error.URLError as e:
+        row |= {"error_kind": "missing" if isinstance(e.reason, FileNotFoundError) else "url", "error": str(e.reason)}
+    except FileNotFoundError as e:
+        row |= {"error_kind": "missing", "error": str(e)}
+    except Exception as e:  # noqa: BLE001 - the row tells
+        row |= {"error_kind": "other", "error": str(e)}
+    return row
+
+
 def fetch_targets(targets: DataFrame, fetch: Fetcher, tries: int = 3, follow: bool = False, url: str = "url") -> DataFrame:
-    """One row per distinct address: its content, or what failed. Failures are rows, never exceptions."""
+    """One row per distinct address with its content, fetched each time that the rows are made; downloads.download fetches once and keeps them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in RESULTS.split(", ")]
         for b in batches:
             for u in b["url"].tolist():
-                row: dict = dict.fromkeys(names) | {"url": u, "attempts": 0}
-
-                def once(x: str, row=row) -> tuple[bytes, str, str]:
-                    row["attempts"] += 1
-                    return fetch(x)
-
-                try:
-                    got = resolve(u, with_retry(once, tries)) if follow else (*with_retry(once, tries)(u), "direct_download")
-                    row |= {"content": got[0], "content_type": got[1], "final_url": got[2], "outcome": got[3], "sha256": hashlib.sha256(got[0]).hexdigest(), "bytes_downloaded": len(got[0])}
-                except urllib.error.HTTPError as e:
-                    row |= {"error_kind": "http", "http_code": e.code, "error": str(e)}
-                except urllib.error.URLError as e:
-                    row |= {"error_kind": "missing" if isinstance(e.reason, FileNotFoundError) else "url", "error": str(e.reason)}
-                except FileNotFoundError as e:
-                    row |= {"error_kind": "missing", "error": str(e)}
-                except Exception as e:  # noqa: BLE001 - the row tells
-                    row |= {"error_kind": "other", "error": str(e)}
-                yield pd.DataFrame([row], columns=names).astype({"bytes_downloaded": "Int64", "http_code": "Int32"})
+                yield pd.DataFrame([fetch_one(u, fetch, tries, follow)], columns=names).astype({"bytes_downloaded": "Int64", "http_code": "Int32"})
 
     return targets.select(F.col(url).alias("url")).where("url is not null").distinct().mapInPandas(run, RESULTS)
 
@@ -134,8 +141,15 @@ def review_queue(results: DataFrame) -> DataFrame:
 
 
 def write_manifest(results: DataFrame, folder: str) -> dict:
-    """documents, retry_queue and manual_review_queue as JSON lines below the folder, written by the tasks; the counts come back."""
+    """documents, retry_queue and manual_review_queue as JSON lines below the folder, written by the tasks, and summary.json with the counts, which come back.
+    Results are read several times: they should be rows that are stored, as receipts of downloads are."""
     rows = results.drop("content")
     for name, df in (("documents", rows), ("retry_queue", retry_queue(rows)), ("manual_review_queue", review_queue(rows))):
         df.write.mode("overwrite").json(f"{folder}/{name}")
-    return status_counts(rows).first().asDict()
+    counts = status_counts(rows).first().asDict()
+    summary = counts | {"generated_at": datetime.now(timezone.utc).isoformat()}
+    path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{folder}/summary.json")
+    out = path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(json.dumps(summary, indent=2), "utf-8"))
+    out.close()
+    return counts
