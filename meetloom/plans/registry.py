@@ -13,7 +13,7 @@ from meetloom.operators import health
 from meetloom.operators import items as itm
 from meetloom.operators import ranking
 from meetloom.plans.crosswalk import ITEMS_SQL, items, table, tags_sql, topics
-from meetloom.sources import fetch, jobs, links, mail, registry_log, screening, store
+from meetloom.sources import downloads, fetch, frontier, jobs, ledger, links, mail, manifests, registry_log, screening, store
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
@@ -472,3 +472,85 @@ def health_records(spark, sf_dir):
 @query(f"""SELECT count(*)::BIGINT AS source_count, count(*) FILTER (status = 'active')::BIGINT AS active_source_count, {', '.join(f'sum({c})::BIGINT AS {c}' for c in health.HEALTH_COUNTS)}, count(*) FILTER (has_parser_config_warning)::BIGINT AS sources_with_parser_config_warnings FROM ({_RECORDS_SQL})""")
 def health_totals(spark, sf_dir):
     return health.health_totals(_records(spark, sf_dir))
+
+
+HREF = r'(?i)<a[^>]+href="([^"]+)"'
+_PAGE_WEB = f"""p AS (SELECT page_id, list_distinct(regexp_extract_all(html, '{HREF}', 1)) AS found, regexp_extract_all(html, '{HREF}', 1) AS children FROM pages),
+web AS (SELECT children[-1] AS url, arg_min(children, page_id) AS children, min(page_id) AS page_id FROM p WHERE len(children) > 0 GROUP BY children[-1]),
+starts AS (SELECT DISTINCT unnest(found) AS url FROM p)"""
+_RANKED = "list_sort(list_transform(list_filter({children}, lambda x: NOT list_contains({path}, x)), lambda x, i: {{'rank': CASE WHEN contains(lower(x), '/supdocs/') THEN 0 WHEN regexp_matches(lower(x), 'download|attachment|support|supdoc|boardletter') THEN 10 ELSE 20 END, 'low': lower(x), 'i': i, 'x': x}}))[1].x"
+
+
+@query(f"""WITH RECURSIVE {_PAGE_WEB},
+chain(start, here, path, hops) AS (
+  SELECT url, url, [url], 0 FROM starts
+  UNION ALL
+  SELECT c.start, {_RANKED.format(children='w.children', path='c.path')}, list_append(c.path, {_RANKED.format(children='w.children', path='c.path')}), c.hops + 1
+  FROM chain c JOIN web w ON w.url = c.here WHERE c.hops < 2 AND w.page_id % 4 <> 0 AND len(list_filter(w.children, lambda x: NOT list_contains(c.path, x))) > 0),
+ends AS (SELECT start, max(hops) AS hops, arg_max(here, hops) AS here FROM chain GROUP BY start)
+SELECT e.start, e.hops::INT AS hops, e.here AS final_url, w.page_id AS page_id,
+  CASE WHEN w.url IS NULL THEN 'download_error' WHEN e.hops > 0 THEN 'followed_landing_page' WHEN w.page_id % 4 <> 0 THEN 'html_page_needs_review' ELSE 'direct_download' END AS outcome
+FROM ends e LEFT JOIN web w ON w.url = e.here""")
+def link_frontier(spark, sf_dir):
+    """Links of all pages followed two levels deep. A page stands at the address that its last link names; of four pages one is a document."""
+    found = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract_all("html", F.lit(HREF), 1).alias("children")).where("size(children) > 0")
+    web = found.groupBy(F.element_at("children", -1).alias("url")).agg(F.min_by("children", "page_id").alias("children"), F.min("page_id").alias("page_id"))
+    pages = web.select("url", F.col("url").alias("final_url"), (F.col("page_id") % 4 != 0).alias("is_page"), "children", F.col("page_id").cast("string").alias("sha256"), F.lit("text/html").alias("content_type"), F.lit(0).cast("long").alias("bytes_downloaded"))
+
+    def look(addresses: DataFrame) -> DataFrame:
+        got = addresses.join(pages, "url", "left")
+        return got.withColumns({"error": F.when(F.col("final_url").isNull(), "no page"), "final_url": F.coalesce("final_url", "url"), "is_page": F.coalesce("is_page", F.lit(False))})
+
+    ended = frontier.follow(found.select(F.explode("children").alias("url")), look, follows=lambda u: F.lit(True))
+    return ended.select("start", "hops", "final_url", F.col("sha256").cast("long").alias("page_id"), "outcome")
+
+
+@query("""WITH h AS (SELECT l_partkey AS path, min(l_linenumber)::VARCHAR AS held FROM lineitem GROUP BY 1), s AS (SELECT c_custkey AS path, min(c_nationkey)::VARCHAR AS said FROM customer GROUP BY 1)
+SELECT coalesce(s.path, h.path) AS path, CASE WHEN h.path IS NULL THEN 'missing' WHEN s.path IS NULL THEN 'orphaned' WHEN said <> held THEN 'changed' ELSE 'matched' END AS state, said, held FROM s FULL JOIN h ON s.path = h.path""")
+def manifest_reconcile(spark, sf_dir):
+    """Customers as a manifest's entries, line items as the files of a folder."""
+    said = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("path"), F.col("c_nationkey").cast("string").alias("mark"))
+    held = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("path"), F.col("l_linenumber").cast("string").alias("mark"))
+    return manifests.reconcile(said, held, "path", "mark")
+
+
+COUNTED = ("documents", "pages", "conversations", "labels", "events", "orders", "lineitem", "customer")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*)::BIGINT AS table_rows FROM {t}" for t in COUNTED))
+def table_counts(spark, sf_dir):
+    return manifests.table_counts({t: table(spark, sf_dir, t) for t in COUNTED})
+
+
+_HOST_SQL = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
+
+
+@query(f"""SELECT url, host, nth::BIGINT AS nth FROM (SELECT url, {_HOST_SQL} AS host, row_number() OVER (PARTITION BY {_HOST_SQL} ORDER BY page_id % 3, page_id::VARCHAR, url) AS nth FROM pages) WHERE nth <= 2""")
+def host_wave(spark, sf_dir):
+    """The first wave of a ledger that holds all pages: two addresses a host, those with the fewest tries first."""
+    rows = table(spark, sf_dir, "pages").select("url", downloads.host_of(F.col("url")).alias("host"), (F.col("page_id") % 3).alias("tries"), F.col("page_id").cast("string").alias("window_from"), F.lit("s").alias("source_id"))
+    taken = ledger.wave(rows, 2)
+    order = Window.partitionBy("host").orderBy("tries", "window_from", "url")
+    return taken.select("url", "host", F.row_number().over(order).cast("long").alias("nth"))
+
+
+@query("""SELECT user_id::VARCHAR AS source_id, event_type AS url, arg_max(ts, event_id) AS at, arg_max(value, event_id) AS value, max(event_id) AS seq FROM events GROUP BY ALL""")
+def ledger_states(spark, sf_dir):
+    """The last event of each user and type, as a ledger's states."""
+    e = table(spark, sf_dir, "events")
+    return ledger.states(e.select(F.col("user_id").cast("string").alias("source_id"), F.col("event_type").alias("url"), F.col("ts").alias("at"), "value", F.col("event_id").alias("seq")))
+
+
+@query("""WITH base AS (SELECT c_custkey AS source_id, c_mktsegment AS status, c_nationkey::VARCHAR AS notes, 'first' AS created_at, 'first' AS updated_at FROM customer),
+batch AS (SELECT s_suppkey AS source_id, n_name AS status, s_nationkey::VARCHAR AS notes FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION ALL SELECT c_custkey, c_mktsegment, c_nationkey::VARCHAR FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT -n_nationkey - 1, n_name, NULL FROM nation)
+SELECT coalesce(a.source_id, b.source_id) AS source_id, CASE WHEN b.source_id IS NULL THEN a.status ELSE b.status END AS status, CASE WHEN b.source_id IS NULL THEN a.notes ELSE b.notes END AS notes, coalesce(a.created_at, 'second') AS created_at,
+CASE WHEN b.source_id IS NULL THEN a.updated_at WHEN a.source_id IS NOT NULL AND a.status IS NOT DISTINCT FROM b.status AND a.notes IS NOT DISTINCT FROM b.notes THEN a.updated_at ELSE 'second' END AS updated_at
+FROM base a FULL JOIN batch b ON a.source_id = b.source_id""")
+def sources_stamped(spark, sf_dir):
+    """Customers as stored sources; a batch of all of them, some as suppliers say they are, and new ones."""
+    c, s, n = (table(spark, sf_dir, t) for t in ("customer", "supplier", "nation"))
+    base = c.select(F.col("c_custkey").alias("source_id"), F.col("c_mktsegment").alias("status"), F.col("c_nationkey").cast("string").alias("notes"), F.lit("first").alias("created_at"), F.lit("first").alias("updated_at"))
+    told = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(F.col("s_suppkey").alias("source_id"), F.col("n_name").alias("status"), F.col("s_nationkey").cast("string").alias("notes"))
+    same = base.join(told, "source_id", "left_anti").select("source_id", "status", "notes")
+    new = n.select((-F.col("n_nationkey") - 1).cast("long").alias("source_id"), F.col("n_name").alias("status"), F.lit(None).cast("string").alias("notes"))
+    return store.upsert_stamped(base, told.unionByName(same).unionByName(new), ["source_id"], F.lit("second"))

@@ -29,7 +29,7 @@ STATE = T.StructType([*_texts("source_id", "path"), T.StructField("modified", T.
 MEETING_UPDATES = ["source_id", "body_name", "meeting_date", "meeting_date_iso"]
 
 
-def _with_ids(found: DataFrame) -> DataFrame:
+def with_ids(found: DataFrame) -> DataFrame:
     """Ids by content: a document's from its path, an item's from document, label and title (not its section), a meeting's from parser,
     body, date and path. Rows that carry a meeting's id keep it."""
     path = "path" if "path" in found.columns else "source_path"
@@ -46,9 +46,9 @@ def _with_ids(found: DataFrame) -> DataFrame:
 
 def stored_items(found: DataFrame) -> DataFrame:
     """Extracted rows as stored ones, with their position for last-wins."""
-    return _with_ids(found).withColumnRenamed("path", "source_path").select(*[f.name for f in ITEMS], "pos")
+    return with_ids(found).withColumnRenamed("path", "source_path").select(*[f.name for f in ITEMS], "pos")
 
 
 def item_topics(found: DataFrame) -> DataFrame:
     """One row per item row and tag: an id that occurs twice with one tag shows as a repeat, which the import refuses."""
-    return _with_ids(found).select("agenda_item_id", F.explode("topic_tags").alias("topic_tag"))
+    return with_ids(found).select("agenda_item_id", F.explode("topic_tags").alias("topic_tag"))

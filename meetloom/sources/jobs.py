@@ -37,26 +37,25 @@ def meeting_rows(rows: DataFrame) -> DataFrame:
 
 def import_items(tables: store.Store, found: DataFrame) -> dict[str, int]:
     """Merge extracted rows (with source_id): meetings keep what the batch doesn't know, items that a document no longer has go with
-    their topics, findings and finding topics, the others are merged, topics are replaced; all in one commit."""
-    rows, topics = schemas.stored_items(found).persist(), schemas.item_topics(found)
-    try:
-        old = tables.read("items", schemas.ITEMS)
-        old_topics, old_findings, old_tags = (tables.read(n, s) for n, s in (("item_topics", schemas.TOPICS), ("findings", schemas.FINDINGS), ("finding_topics", schemas.FINDING_TOPICS)))
-        batch = store.last_per_key(rows.withColumn("at", F.col("pos")), ["agenda_item_id"], "at").drop("pos")
-        gone = store.stale_children(old, batch, "document_id", "agenda_item_id").select("agenda_item_id")
-        gone_findings = old_findings.join(gone, "agenda_item_id", "left_semi").select("finding_id")
-        documents = document_rows(rows)
-        tables.commit({
-            "meetings": store.upsert(tables.read("meetings", schemas.MEETINGS), meeting_rows(rows), ["meeting_id"], schemas.MEETING_UPDATES),
-            "documents": store.upsert(tables.read("documents", schemas.DOCUMENTS), documents, ["document_id"]),
-            "items": store.upsert(store.without(old, gone, "agenda_item_id"), store.conform(batch, schemas.ITEMS), ["agenda_item_id"]),
-            "item_topics": store.replace_children(store.without(old_topics, gone, "agenda_item_id"), topics, "agenda_item_id", ["agenda_item_id", "topic_tag"]),
-            "findings": store.without(old_findings, gone, "agenda_item_id"),
-            "finding_topics": store.without(old_tags, gone_findings, "finding_id"),
-        })
-        return {"documents_imported": documents.count(), "items_imported": rows.count(), "topics_imported": topics.count()}
-    finally:
-        rows.unpersist()
+    their topics, findings and finding topics, the others are merged, topics are replaced; all in one commit. The rows are extracted
+    once and staged; everything else is read from there, so a lost executor extracts nothing again."""
+    staged = tables.staged(schemas.with_ids(found))
+    rows, topics = schemas.stored_items(staged), schemas.item_topics(staged)
+    old = tables.read("items", schemas.ITEMS)
+    old_topics, old_findings, old_tags = (tables.read(n, s) for n, s in (("item_topics", schemas.TOPICS), ("findings", schemas.FINDINGS), ("finding_topics", schemas.FINDING_TOPICS)))
+    batch = store.last_per_key(rows.withColumn("at", F.col("pos")), ["agenda_item_id"], "at").drop("pos")
+    gone = store.stale_children(old, batch, "document_id", "agenda_item_id").select("agenda_item_id")
+    gone_findings = old_findings.join(gone, "agenda_item_id", "left_semi").select("finding_id")
+    documents = document_rows(rows)
+    tables.commit({
+        "meetings": store.upsert(tables.read("meetings", schemas.MEETINGS), meeting_rows(rows), ["meeting_id"], schemas.MEETING_UPDATES),
+        "documents": store.upsert(tables.read("documents", schemas.DOCUMENTS), documents, ["document_id"]),
+        "items": store.upsert(store.without(old, gone, "agenda_item_id"), store.conform(batch, schemas.ITEMS), ["agenda_item_id"]),
+        "item_topics": store.replace_children(store.without(old_topics, gone, "agenda_item_id"), topics, "agenda_item_id", ["agenda_item_id", "topic_tag"]),
+        "findings": store.without(old_findings, gone, "agenda_item_id"),
+        "finding_topics": store.without(old_tags, gone_findings, "finding_id"),
+    })
+    return {"documents_imported": documents.count(), "items_imported": rows.count(), "topics_imported": topics.count()}
 
 
 def generate_findings(tables: store.Store, filters: itm.ItemFilters = itm.ItemFilters(limit=FINDINGS_LIMIT)) -> dict[str, int]:
@@ -132,21 +131,30 @@ def raw_lineage(tables: store.Store, source_id: str) -> DataFrame:
 
 
 def upsert_raw_documents(tables: store.Store, batch: DataFrame, reuse_ids_by_file: bool = False) -> None:
-    """Merge raw documents on their id. With reuse_ids_by_file a row takes the id of a stored row of the same source and file."""
-    old, batch = tables.read("raw_documents", schemas.RAW_DOCUMENTS), store.conform(batch, schemas.RAW_DOCUMENTS)
+    """Merge raw documents on their id; of equal ids in the batch the last row wins (by `pos` where it has one, else in the batch's own order).
+    With reuse_ids_by_file a row takes the id of a stored row of the same source and file."""
+    old = tables.read("raw_documents", schemas.RAW_DOCUMENTS)
+    place = F.col("pos") if "pos" in batch.columns else F.monotonically_increasing_id()
+    rows = batch.withColumn("place", place).select("place", *[(F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.RAW_DOCUMENTS])
     if reuse_ids_by_file:
-        batch = with_known_ids(old, batch)
-    tables.commit({"raw_documents": store.upsert(old, batch.dropDuplicates(["document_id"]), ["document_id"])})
+        rows = with_known_ids(old, rows)
+    tables.commit({"raw_documents": store.upsert(old, store.last_per_key(rows, ["document_id"], "place"), ["document_id"])})
 
 
 def with_known_ids(old: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows with the id of the stored row of the same source and file. Files that come under several new ids at once would become one
+    document; they raise and name themselves."""
     known = old.where("file_path is not null").groupBy("source_id", "file_path").agg(F.min("document_id").alias("known_id"))
-    return batch.join(known, ["source_id", "file_path"], "left").withColumn("document_id", F.coalesce("known_id", "document_id")).select(*batch.columns)
+    found = batch.join(known, ["source_id", "file_path"], "left")
+    clash = found.where("known_id is not null").groupBy("source_id", "file_path").agg(F.count_distinct("document_id").alias("ids")).where("ids > 1").limit(5).collect()
+    if clash:
+        raise ValueError(f"several documents of one file: {', '.join(r['source_id'] + ' ' + r['file_path'] for r in clash)}")
+    return found.withColumn("document_id", F.coalesce("known_id", "document_id")).select(*batch.columns)
 
 
 def structured_documents(found: DataFrame) -> DataFrame:
     """Extracted rows as one nested row per document, items in order; write with .write.json."""
-    rows = schemas._with_ids(found)
+    rows = schemas.with_ids(found)
     about = ["document_id", "source_id", "path", "meeting_id", "document_role", "cluster_name", "meeting_date", "meeting_date_iso"]
     item = F.struct("pos", *[c for c in rows.columns if c not in about and c != "pos"])
     return rows.groupBy(*about).agg(F.count(F.lit(1)).alias("item_count"), F.sort_array(F.collect_list(item)).alias("items"))
@@ -161,20 +169,25 @@ def read_items_index(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("topic_tags", F.coalesce("topic_tags", F.array().cast("array<string>")))
 
 
-def ingest_messages(tables: store.Store, messages: DataFrame, source_id: str, fetcher) -> dict:
-    """City notices: their documents are stored, the meeting pages they point to fetched once, and the pages' items imported."""
-    from meetloom.sources import fetch, mail
+def items_index(tables: store.Store, source_id: str | None = None) -> DataFrame:
+    """Stored items with their tags, as rows of an index; write with .write.json, and read with read_items_index."""
+    items = tables.read("items", schemas.ITEMS)
+    items = items if source_id is None else items.where(F.col("source_id") == source_id)
+    tags = tables.read("item_topics", schemas.TOPICS).groupBy("agenda_item_id").agg(F.array_sort(F.collect_set("topic_tag")).alias("topic_tags"))
+    return items.join(tags, "agenda_item_id", "left").withColumn("topic_tags", F.coalesce("topic_tags", F.array().cast("array<string>")))
 
-    notes = mail.notice_documents(messages).persist()
-    try:
-        text = F.lit(None).cast("string")
-        raw = notes.select(F.concat(F.lit("doc_"), F.substring(F.sha1("external_id"), 1, 16)).alias("document_id"), F.lit(source_id).alias("source_id"), "external_id", F.col("body_name").alias("title"), F.when(F.col("is_cancellation"), "meeting_cancellation_notice").otherwise("agenda_notice").alias("document_type"), "meeting_date", "body_name", text.alias("file_path"), "mime_type")
-        upsert_raw_documents(tables, raw)
-        got = fetch.fetch_targets(mail.notice_links(notes.where("not is_cancellation")), fetcher, url="page_url").persist()
-        pages = got.where("content is not null").select(F.col("url").alias("path"), F.decode("content", "UTF-8").alias("text"), F.lit(kernels.PRIMEGOV).alias("parser"))
-        imported = import_items(tables, kernels.extract_items(pages).withColumn("source_id", F.lit(source_id)))
-        out = {"notices": notes.count(), "pages_fetched": got.where("content is not null").count(), "pages_failed": got.where("content is null").count(), "import_summary": imported}
-        got.unpersist()
-        return out
-    finally:
-        notes.unpersist()
+
+def ingest_messages(tables: store.Store, messages: DataFrame, source_id: str, fetcher) -> dict:
+    """City notices: their documents are stored, the meeting pages they point to fetched once and kept, and the pages' items imported."""
+    from meetloom.sources import downloads, fetch, mail
+
+    notes = tables.staged(mail.notice_documents(messages))
+    text = F.lit(None).cast("string")
+    raw = notes.select(F.concat(F.lit("doc_"), F.substring(F.sha1("external_id"), 1, 16)).alias("document_id"), F.lit(source_id).alias("source_id"), "external_id", F.col("body_name").alias("title"), F.when(F.col("is_cancellation"), "meeting_cancellation_notice").otherwise("agenda_notice").alias("document_type"), "meeting_date", "body_name", text.alias("file_path"), "mime_type")
+    upsert_raw_documents(tables, raw)
+    kept = f"{tables.root}/pages"
+    got = fetch.processed(downloads.download(mail.notice_links(notes.where("not is_cancellation")), fetcher, kept, url="page_url"))
+    pages = downloads.contents(got.where("sha256 is not null").select("url", "sha256"), kept).select(F.col("url").alias("path"), F.decode("content", "UTF-8").alias("text"), F.lit(kernels.PRIMEGOV).alias("parser"))
+    imported = import_items(tables, kernels.extract_items(pages).withColumn("source_id", F.lit(source_id)))
+    counted = got.agg(F.count_if(F.col("sha256").isNotNull()).alias("ok"), F.count_if(F.col("sha256").isNull()).alias("bad")).first()
+    return {"notices": notes.count(), "pages_fetched": counted["ok"], "pages_failed": counted["bad"], "import_summary": imported}

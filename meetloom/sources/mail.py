@@ -23,9 +23,14 @@ CITY_KINDS = [("cancelled", "meeting_cancellation_notice"), ("agenda", "agenda_n
 DOWNLOADED = ["direct_pdf", "board_agenda_page"]
 
 
+#: Message files as they come, under any of the names that from_aliases knows.
+_RAW_ATTACHMENT = T.StructType([T.StructField(n, _TEXT) for n in ("filename", "name", "mime_type", "mimeType", "content", "body", "text", "content_text", "attachment_id", "attachmentId", "path", "file_path")])
+RAW_MESSAGE = T.StructType([T.StructField("id", _TEXT), T.StructField("from_", _TEXT), T.StructField("to", T.ArrayType(_TEXT)), *[T.StructField(n, _TEXT) for n in ("subject", "body", "text", "content_text", "email_ts")], T.StructField("attachments", T.ArrayType(_RAW_ATTACHMENT))])
+
+
 def read_messages(spark, path: str) -> DataFrame:
-    """Message files, one JSON object each."""
-    return spark.read.schema(MESSAGE).option("multiLine", True).json(path)
+    """Message files, one JSON object each, whatever names their fields have."""
+    return from_aliases(spark.read.schema(RAW_MESSAGE).option("multiLine", True).json(path))
 
 
 def kind_of(subject: Column, kinds: Sequence[tuple[str, str]]) -> Column:
@@ -124,7 +129,8 @@ def notice_documents(messages: DataFrame) -> DataFrame:
 
 
 def from_aliases(raw: DataFrame) -> DataFrame:
-    """Messages whose fields come under other names (body, text or content_text; name, mimeType, file_path of attachments) in the names used here."""
+    """Messages whose fields come under other names in the names used here. An attachment's name, type and content are the first of their names that
+    is not blank; one without a name is called 'attachment'."""
     have = set(raw.columns)
     pick = lambda *names: F.coalesce(*[F.col(n) for n in names if n in have], F.lit(None).cast("string"))
     kept = [c for c in ("id", "from_", "to", "subject", "email_ts", "attachments") if c in have]
@@ -132,6 +138,6 @@ def from_aliases(raw: DataFrame) -> DataFrame:
     if "attachments" not in have:
         return out
     inner = raw.schema["attachments"].dataType.elementType.names
-    of = lambda a, *names: F.coalesce(*[a[n] for n in names if n in inner], F.lit(None).cast("string"))
-    fixed = F.transform("attachments", lambda a: F.struct(of(a, "filename", "name").alias("filename"), of(a, "mime_type", "mimeType").alias("mime_type"), of(a, "content", "text", "body").alias("content")))
+    of = lambda a, *names: F.coalesce(*[F.when(F.trim(a[n]) != "", a[n]) for n in names if n in inner], F.lit(None).cast("string"))
+    fixed = F.transform("attachments", lambda a: F.struct(F.coalesce(of(a, "filename", "name"), F.lit("attachment")).alias("filename"), of(a, "mime_type", "mimeType").alias("mime_type"), of(a, "content", "body", "text", "content_text").alias("content")))
     return out.withColumn("attachments", fixed)

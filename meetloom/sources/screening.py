@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meetloom.functions.exprs import is_cancellation, is_supporting, screening
+from meetloom.functions.names import free
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
@@ -30,8 +31,10 @@ def supporting_files(paths: DataFrame, column: str = "path") -> DataFrame:
 
 def changed_files(listing: DataFrame, state: DataFrame, key: str = "path", marks: tuple[str, ...] = ("modified", "length")) -> DataFrame:
     """Rows of the listing that the state lacks or has with other marks."""
-    old = state.select(F.col(key), *[F.col(m).alias(f"__{m}") for m in marks], F.lit(True).alias("__known"))
-    same = F.col("__known").isNotNull()
-    for m in marks:
-        same = same & F.col(m).eqNullSafe(F.col(f"__{m}"))
+    was = [free(f"was_{m}", listing.columns) for m in marks]
+    known = free("known", listing.columns)
+    old = state.select(F.col(key), *[F.col(m).alias(w) for m, w in zip(marks, was, strict=True)], F.lit(True).alias(known))
+    same = F.col(known).isNotNull()
+    for m, w in zip(marks, was, strict=True):
+        same = same & F.col(m).eqNullSafe(F.col(w))
     return listing.join(old, key, "left").where(~same).select(*listing.columns)
