@@ -74,13 +74,13 @@ def fit_text(samples: list[tuple[str, str]]) -> TextModel:
 
 
 def labelled_sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """At most SAMPLE_DOCS texts with their languages, in the order of a hash of the id, and SAMPLE_BYTES of UTF-8 text."""
-    ids = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
-    rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "text")
+    """At most SAMPLE_DOCS texts with their languages, each of another id, in the order of a hash of the id, and SAMPLE_BYTES of UTF-8 text. Of an id's
+    rows the first in order of language and text stands for it, so an id that is repeated takes one place."""
+    labelled = docs.where("text is not null and lang is not null and doc_id is not null")
+    ids = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    rows = labelled.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row"))
     out, size = [], 0
-    for r in rows.toLocalIterator():
-        if len(out) >= SAMPLE_DOCS:
-            break
+    for r in rows.select("doc_id", "row.text", "row.lang").orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():
         n = len(r["text"].encode("utf-8", "replace"))
         if size + n > SAMPLE_BYTES:  # a text that does not fit leaves room for those after it
             continue
