@@ -7,7 +7,7 @@ weight per r-scaled feature, and weight * r is what scoring adds up.
 
 The sample is bounded: at most SAMPLE_DOCS labelled documents, in the order of a hash of
 their id, and SAMPLE_BYTES of UTF-8 text; fitting happens on the driver within those bounds.
-The strongest MOST_FEATURES features that pass LEAST_Z carry weights, which bounds the model.
+All features that pass LEAST_Z carry weights; the sample bounds their number.
 Scoring runs over all rows in Arrow batches and reads nothing but the text.
 
 Null text counts as empty and gets the prior. A document labelled twice takes its highest
@@ -29,8 +29,8 @@ from meetloom.llm.common import saved, small_batches, text_udf, training_part
 SAMPLE_DOCS, SAMPLE_BYTES = 4_000, 48 << 20
 SIZES, BUCKET_BITS = (5, 6, 8), 22
 BUCKETS = 1 << BUCKET_BITS
-#: A feature is learned from if so many sampled documents hold it and its share of toxic ones lies so many standard deviations from the mean; the strongest MOST_FEATURES are.
-LEAST_DOCS, LEAST_Z, MOST_FEATURES = 4, 5.0, 20_000
+#: A feature is learned from if so many sampled documents hold it and its share of toxic ones lies so many standard deviations from the mean. The sample bounds their number.
+LEAST_DOCS, LEAST_Z = 4, 5.0
 PENALTY, STEPS = 3e-4, 300
 REJECT_AT = 0.3
 FOLD = bytes(b | 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -94,7 +94,6 @@ def fit(samples: list[tuple[str | None, int]]) -> ToxicityModel:
     share = y.mean()
     z = np.where(held >= LEAST_DOCS, (in_toxic - held * share) / np.sqrt(np.maximum(held, 1) * share * (1 - share)), 0)
     cols = np.flatnonzero(np.abs(z) >= LEAST_Z)
-    cols = np.sort(cols[np.argsort(-np.abs(z[cols]), kind="stable")[:MOST_FEATURES]])
     p, q = in_toxic[cols] + 1.0, held[cols] - in_toxic[cols] + 1.0
     r = np.log(p / (y.sum() + 2)) - np.log(q / (len(y) - y.sum() + 2))
     new = np.full(BUCKETS, -1, np.int64)
