@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from meetloom import schemas
 from meetloom.extract import kernels
 from meetloom.operators import findings, items
-from meetloom.sources import config, downloads, fetch, jobs, mail, registry_log, screening, store
+from meetloom.sources import config, dispatch, downloads, fetch, frontier, jobs, mail, manifests, registry_log, screening, store
 
 ABOUT = "meetloom: items, topics and findings from public-meeting documents, on Spark"
 
@@ -75,6 +76,12 @@ def parser() -> argparse.ArgumentParser:
     command("inspect-message", "kind, date, links and notices of message files", "path", "--sender", "--county")
     command("download-message-links", "fetch what messages link to and write manifest and queues", "path", "out")
     command("ingest-message", "store notices, fetch their meeting pages, import the items", "path", "source_id")
+    command("check-online-source", "plan what a log's sources have put online, fetch it once, refresh the sources", "path", "source_ref", "--today", "--root", "--job", flags=("--download-only", "--skip-findings"))
+    command("backfill-ceo-supporting-docs", "follow the links of downloaded agendas to their supporting documents", "agendas", "out", flags=("--inventory-only",))
+    command("import-manifest", "raw documents of a download manifest whose files are there", "path", "source_id", "--root")
+    command("write-items-index", "stored items with their tags as JSON lines", "out", "--source-id")
+    command("db-counts", "rows of the stored tables")
+    command("vacuum", "remove versions that no recent commit names")
     return top
 
 
@@ -125,6 +132,38 @@ def backfilled(tables: store.Store) -> dict[str, int]:
     return changed
 
 
+def online(a: argparse.Namespace, tables: store.Store, fetcher: fetch.Fetcher) -> dict:
+    """One source of a log (or all, by 'all'): planned, worked off, refreshed where it is registered."""
+    entries = [s for s in registry_log.load(a.path).get("sources", []) if a.source_ref in ("all", s.get("source_ref"))]
+    if not entries:
+        raise KeyError(f"unknown source_ref: {a.source_ref}")
+    today = date.fromisoformat(a.today) if a.today else date.today()
+    out = dispatch.check_online(tables, fetcher, entries, today, a.root or f"{tables.root}/files", a.job or f"online-{today.isoformat()}")
+    out["refreshed"] = [] if a.download_only else [jobs.refresh_source(tables, c["source_id"], c["download_root"], c.get("parser"), not a.skip_findings) for c in config.load_configs(a.config_dir) if c.get("source_id") in {e.get("current_source_id") for e in entries}]
+    return out
+
+
+def backfilled_documents(a: argparse.Namespace, tables: store.Store, fetcher: fetch.Fetcher) -> dict[str, int]:
+    """Supporting documents of agendas given as JSON lines (external_id, url, text, links)."""
+    agendas = tables.spark.read.schema("external_id string, url string, text string, links array<string>").json(a.agendas)
+    found = agendas.select(F.explode(F.array_distinct(F.coalesce("links", F.array().cast("array<string>")))).alias("url")).where(frontier.trusted(F.col("url")))
+    counts = {"agenda_documents_considered": agendas.count(), "trusted_supporting_links_discovered": found.count(), "supporting_documents_downloaded": 0, "review_target_count": 0}
+    if a.inventory_only:
+        return counts
+    documents, review = frontier.supporting_documents(agendas, frontier.fetched(fetcher, f"{a.out}/files"))
+    documents.write.mode("overwrite").json(f"{a.out}/supporting_documents")
+    review.write.mode("overwrite").json(f"{a.out}/review_targets")
+    return counts | {"supporting_documents_downloaded": documents.count(), "review_target_count": review.count()}
+
+
+def imported_manifest(a: argparse.Namespace, tables: store.Store) -> dict[str, int]:
+    entries = manifests.read_manifest(tables.spark, a.path)
+    rows, missing = manifests.proceedings_documents(entries, manifests.folder_marks(tables.spark, a.root or a.path.rpartition("/")[0], "*.pdf"), a.source_id)
+    rows = tables.staged(rows)
+    jobs.upsert_raw_documents(tables, rows)
+    return {"documents_imported": rows.count(), "missing_files": missing.count()}
+
+
 def summed_up(a: argparse.Namespace, tables: store.Store) -> dict:
     from meetloom.server import summary
 
@@ -183,6 +222,18 @@ def main(argv: list[str] | None = None, fetcher: fetch.Fetcher = fetch.over_http
     elif a.command == "download-message-links":
         targets = mail.download_targets(mail.message_links(mail.read_messages(spark, a.path)))
         say(fetch.write_manifest(fetch.processed(downloads.download(targets, fetcher, f"{a.out}/files", url="resolved_url")), a.out))
+    elif a.command == "check-online-source":
+        say(online(a, tables, fetcher))
+    elif a.command == "backfill-ceo-supporting-docs":
+        say(backfilled_documents(a, tables, fetcher))
+    elif a.command == "import-manifest":
+        say(imported_manifest(a, tables))
+    elif a.command == "write-items-index":
+        jobs.items_index(tables, a.source_id).write.mode("overwrite").json(a.out)
+    elif a.command == "db-counts":
+        say({r["table_name"]: r["table_rows"] for r in manifests.table_counts({n: tables.read(n, s) for n, s in (("raw_documents", schemas.RAW_DOCUMENTS), ("documents", schemas.DOCUMENTS), ("items", schemas.ITEMS))}).collect()})
+    elif a.command == "vacuum":
+        say({"folders_removed": tables.vacuum()})
     else:
         say(jobs.ingest_messages(tables, mail.read_messages(spark, a.path), a.source_id, fetcher))
     return 0

@@ -301,3 +301,49 @@ def test_index_of_stored_items(spark, tmp_path):
     got = {r["agenda_item_id"]: r["topic_tags"] for r in jobs.items_index(tables, "s").collect()}
     assert got == {"i1": ["a", "b"], "i2": []}
     assert downloads.host_of(F.col("x")) is not None
+
+
+def test_an_import_extracts_each_file_once(spark, tmp_path):
+    from meetloom.extract import kernels
+
+    log = str(tmp_path / "log")
+    text = "DATE: May 20, 2026\nOperations Cluster\n\n1. ITEMS:\n\nA. Award a road contract\nB. Tenant outreach\n"
+    files = spark.createDataFrame([(f"/in/{i}.txt", text, None) for i in range(4)], "path string, text string, parser string")
+
+    def noted(batches):
+        for b in batches:
+            with open(log, "a") as f:
+                f.writelines(p + "\n" for p in b["path"])
+            yield b
+
+    read = files.mapInPandas(noted, files.schema)
+    tables = store.Store(spark, str(tmp_path / "wh"))
+    got = jobs.import_items(tables, kernels.extract_items(read).withColumn("source_id", F.lit("s")))
+    assert got["documents_imported"] == 4 and set(asked_of(log).values()) == {1} and len(asked_of(log)) == 4
+
+
+def asked_of(log):
+    return Counter(Path(log).read_text().split())
+
+
+def test_commands_for_online_sources(spark, tmp_path, capsys):
+    from meetloom import cli
+
+    log = tmp_path / "log.yaml"
+    log.write_text("sources:\n  - source_ref: board\n    current_source_id: s_board\n    adapter_candidate: la_county_bos_current_page\n    schedule:\n      lookback_days: 20\n")
+    pages = {listings.BOARD_PAGE: card("Tuesday, May 5, 2026", "Board", 1), "https://x/1.htm": "page", "https://x/1.pdf": ("pdf", "application/pdf"), SUP + "1.pdf": ("one", "application/pdf")}
+    run = lambda *a: (cli.main(["--store", str(tmp_path / "wh"), "--config-dir", str(tmp_path / "cfg"), *a], site(pages)), capsys.readouterr().out)[1]
+    got = json.loads(run("check-online-source", str(log), "board", "--today", "2026-05-14", "--download-only"))
+    assert got["downloads"] == {"done": 2} and got["sources"][0]["from_date"] == "2026-04-24" and got["refreshed"] == []
+    agendas = tmp_path / "agendas.json"
+    agendas.write_text(json.dumps({"external_id": "a", "url": "https://a/", "text": "", "links": [SUP + "1.pdf", "https://zoom.us/1"]}) + "\n" + json.dumps({"external_id": "b", "url": "https://b/", "text": "Attachments: x", "links": []}))
+    out = str(tmp_path / "out")
+    assert json.loads(run("backfill-ceo-supporting-docs", str(agendas), out, "--inventory-only")) == {"agenda_documents_considered": 2, "trusted_supporting_links_discovered": 1, "supporting_documents_downloaded": 0, "review_target_count": 0}
+    assert json.loads(run("backfill-ceo-supporting-docs", str(agendas), out))["supporting_documents_downloaded"] == 1
+    folder = tmp_path / "sop"
+    folder.mkdir()
+    (folder / "a.pdf").write_bytes(b"a")
+    (folder / "m.json").write_text(json.dumps({"documents": [{"sds_doc_id": "7", "local_path": str(folder / "a.pdf")}, {"local_path": "/none"}]}))
+    assert json.loads(run("import-manifest", str(folder / "m.json"), "sop")) == {"documents_imported": 1, "missing_files": 1}
+    assert json.loads(run("db-counts")) == {"raw_documents": 1, "documents": 0, "items": 0}
+    assert json.loads(run("vacuum"))["folders_removed"] >= 1
