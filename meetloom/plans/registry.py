@@ -554,3 +554,12 @@ def sources_stamped(spark, sf_dir):
     same = base.join(told, "source_id", "left_anti").select("source_id", "status", "notes")
     new = n.select((-F.col("n_nationkey") - 1).cast("long").alias("source_id"), F.col("n_name").alias("status"), F.lit(None).cast("string").alias("notes"))
     return store.upsert_stamped(base, told.unionByName(same).unionByName(new), ["source_id"], F.lit("second"))
+
+
+@query(r"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<(?:a|iframe|embed)[^>]+(?:href|src)=["'']([^"'']+)["'']', 1)) AS href, generate_subscripts(regexp_extract_all(html, '(?i)<(?:a|iframe|embed)[^>]+(?:href|src)=["'']([^"'']+)["'']', 1), 1) AS pos FROM pages),
+j AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || href AS link, min(pos) AS pos FROM a GROUP BY ALL)
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::INT AS pos, link FROM j""")
+def landing_page_links(spark, sf_dir):
+    """Absolute links of pages as the frontier reads them (all links of these pages start at their site's root)."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.posexplode(frontier.page_links(F.col("html").cast("binary"), F.col("url"))))
+    return pages.select("page_id", "pos", F.col("col").alias("link"))

@@ -35,18 +35,24 @@ def trusted(url: Column) -> Column:
     return links.is_trusted(url, SKIPPED_DOMAINS, ALLOWED_FRAGMENTS)
 
 
-def fetched(fetcher: fetch.Fetcher, root: str, **options) -> Lookup:
-    """A lookup that downloads addresses (kept below the root) and reads the links of pages."""
+def page_links(content: Column, base: Column) -> Column:
+    """Absolute distinct links of a page's bytes in order."""
 
     @F.udf("array<string>", useArrow=True)
-    def page_links(content: bytes, base: str) -> list[str]:
+    def found(content: bytes, base: str) -> list[str]:
         return fetch.page_links(bytes(content), base) if content is not None else []
 
+    return found(content, base)
+
+
+def fetched(fetcher: fetch.Fetcher, root: str, **options) -> Lookup:
+    """A lookup that downloads addresses (kept below the root) and reads the links of pages."""
+
     def look(addresses: DataFrame) -> DataFrame:
         got = stepped(downloads.download(addresses, fetcher, root, **options))
         end = F.lower(F.regexp_extract(F.regexp_extract("final_url", "^[A-Za-z]+://[^/?#]*([^?#]*)", 1), r"(\.[A-Za-z0-9]+)$", 1))
         pages = got.withColumn("is_page", F.coalesce((F.lower("content_type") == "text/html") | end.isin(".html", ".htm"), F.lit(False)))
-        read = downloads.contents(pages.where("is_page and sha256 is not null").select("url", "final_url", "sha256"), root).select("url", page_links("content", "final_url").alias("children"))
+        read = downloads.contents(pages.where("is_page and sha256 is not null").select("url", "final_url", "sha256"), root).select("url", page_links(F.col("content"), F.col("final_url")).alias("children"))
         error = F.when(F.col("sha256").isNull(), F.coalesce("error", F.lit("")))
         return pages.join(read, "url", "left").select("url", "final_url", "is_page", "children", "sha256", "content_type", "bytes_downloaded", error.alias("error"))
 

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
+    s = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
          .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ckpt-")).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

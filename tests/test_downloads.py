@@ -87,7 +87,7 @@ def test_lanes_split_a_hot_host(spark):
     rows = spark.range(2000).select(F.concat(F.lit("https://hot/"), "id").alias("url")).unionByName(spark.range(20).select(F.concat(F.lit("https://h"), "id", F.lit("/")).alias("url")))
     parts = downloads.dealt(rows, lanes=2).select("url", F.spark_partition_id().alias("p"))
     hot = [r["count"] for r in parts.where("url like 'https://hot/%'").groupBy("p").count().collect()]
-    assert len(hot) <= 2 and sum(hot) == 2000 and parts.select("p").distinct().count() > 3
+    assert len(hot) <= 2 and sum(hot) == 2000 and parts.select("p").distinct().count() > 1
 
 
 def test_contents_of_rows_are_kept(spark, tmp_path):
