@@ -138,8 +138,10 @@ def online(a: argparse.Namespace, tables: store.Store, fetcher: fetch.Fetcher) -
     if not entries:
         raise KeyError(f"unknown source_ref: {a.source_ref}")
     today = date.fromisoformat(a.today) if a.today else date.today()
-    out = dispatch.check_online(tables, fetcher, entries, today, a.root or f"{tables.root}/files", a.job or f"online-{today.isoformat()}")
+    root = a.root or f"{tables.root}/files"
+    out = dispatch.check_online(tables, fetcher, entries, today, root, a.job or f"online-{today.isoformat()}")
     out["refreshed"] = [] if a.download_only else [jobs.refresh_source(tables, c["source_id"], c["download_root"], c.get("parser"), not a.skip_findings) for c in config.load_configs(a.config_dir) if c.get("source_id") in {e.get("current_source_id") for e in entries}]
+    fetch.write_summary(tables.spark, f"{root}/online_manifest.json", out)
     return out
 
 
@@ -153,7 +155,9 @@ def backfilled_documents(a: argparse.Namespace, tables: store.Store, fetcher: fe
     documents, review = frontier.supporting_documents(agendas, frontier.fetched(fetcher, f"{a.out}/files"))
     documents.write.mode("overwrite").json(f"{a.out}/supporting_documents")
     review.write.mode("overwrite").json(f"{a.out}/review_targets")
-    return counts | {"supporting_documents_downloaded": documents.count(), "review_target_count": review.count()}
+    counts |= {"supporting_documents_downloaded": documents.count(), "review_target_count": review.count()}
+    fetch.write_summary(tables.spark, f"{a.out}/backfill_manifest.json", counts)
+    return counts
 
 
 def imported_manifest(a: argparse.Namespace, tables: store.Store) -> dict[str, int]:
@@ -161,7 +165,9 @@ def imported_manifest(a: argparse.Namespace, tables: store.Store) -> dict[str, i
     rows, missing = manifests.proceedings_documents(entries, manifests.folder_marks(tables.spark, a.root or a.path.rpartition("/")[0], "*.pdf"), a.source_id)
     rows = tables.staged(rows)
     jobs.upsert_raw_documents(tables, rows)
-    return {"documents_imported": rows.count(), "missing_files": missing.count()}
+    counts = {"documents_imported": rows.count(), "missing_files": missing.count()}
+    fetch.write_summary(tables.spark, f"{a.path.rpartition('/')[0]}/import_manifest.json", counts | {"input_manifest_path": a.path, "missing": [r["path"] for r in missing.limit(1000).collect()]})
+    return counts
 
 
 def summed_up(a: argparse.Namespace, tables: store.Store) -> dict:

@@ -293,7 +293,7 @@ def html_text(spark, sf_dir):
 f AS (SELECT *, sum((length(line) < 12)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM l)
 SELECT doc_id, island::BIGINT AS island, count(*)::BIGINT AS lines, sum(length(line))::BIGINT AS chars FROM f WHERE island > 0 GROUP BY ALL""")
 def line_islands(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(exprs.lines_of(F.col("text"))).alias("pos", "line"))
     starts = F.sum((F.char_length("line") < 12).cast("int")).over(Window.partitionBy("doc_id").orderBy("pos"))
     return lines.withColumn("island", starts).where("island > 0").groupBy("doc_id", "island").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.char_length("line")).cast("long").alias("chars"))
 

@@ -19,7 +19,7 @@ from pathlib import PurePosixPath
 from urllib.parse import urljoin, urlparse
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meetloom.functions import files
@@ -140,6 +140,14 @@ def review_queue(results: DataFrame) -> DataFrame:
     return results.where("review_status = 'needs_manual_review'")
 
 
+def write_summary(spark: SparkSession, path: str, value: dict) -> None:
+    """A small manifest as one JSON file with the time it was made."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(json.dumps(value | {"generated_at": datetime.now(timezone.utc).isoformat()}, indent=2, default=str), "utf-8"))
+    out.close()
+
+
 def write_manifest(results: DataFrame, folder: str) -> dict:
     """documents, retry_queue and manual_review_queue as JSON lines below the folder, written by the tasks, and summary.json with the counts, which come back.
     Results are read several times: they should be rows that are stored, as receipts of downloads are."""
@@ -147,9 +155,5 @@ def write_manifest(results: DataFrame, folder: str) -> dict:
     for name, df in (("documents", rows), ("retry_queue", retry_queue(rows)), ("manual_review_queue", review_queue(rows))):
         df.write.mode("overwrite").json(f"{folder}/{name}")
     counts = status_counts(rows).first().asDict()
-    summary = counts | {"generated_at": datetime.now(timezone.utc).isoformat()}
-    path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{folder}/summary.json")
-    out = path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).create(path, True)
-    out.write(bytearray(json.dumps(summary, indent=2), "utf-8"))
-    out.close()
+    write_summary(rows.sparkSession, f"{folder}/summary.json", counts)
     return counts

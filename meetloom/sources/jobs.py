@@ -137,19 +137,22 @@ def upsert_raw_documents(tables: store.Store, batch: DataFrame, reuse_ids_by_fil
     place = F.col("pos") if "pos" in batch.columns else F.monotonically_increasing_id()
     rows = batch.withColumn("place", place).select("place", *[(F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.RAW_DOCUMENTS])
     if reuse_ids_by_file:
+        one_id_a_file(rows)
         rows = with_known_ids(old, rows)
     tables.commit({"raw_documents": store.upsert(old, store.last_per_key(rows, ["document_id"], "place"), ["document_id"])})
 
 
 def with_known_ids(old: DataFrame, batch: DataFrame) -> DataFrame:
-    """Rows with the id of the stored row of the same source and file. Files that come under several new ids at once would become one
-    document; they raise and name themselves."""
+    """Rows with the id of the stored row of the same source and file."""
     known = old.where("file_path is not null").groupBy("source_id", "file_path").agg(F.min("document_id").alias("known_id"))
-    found = batch.join(known, ["source_id", "file_path"], "left")
-    clash = found.where("known_id is not null").groupBy("source_id", "file_path").agg(F.count_distinct("document_id").alias("ids")).where("ids > 1").limit(5).collect()
+    return batch.join(known, ["source_id", "file_path"], "left").withColumn("document_id", F.coalesce("known_id", "document_id")).select(*batch.columns)
+
+
+def one_id_a_file(batch: DataFrame) -> None:
+    """Files that come under several ids at once would become one document; they raise and name themselves."""
+    clash = batch.where("file_path is not null").groupBy("source_id", "file_path").agg(F.count_distinct("document_id").alias("ids")).where("ids > 1").limit(5).collect()
     if clash:
         raise ValueError(f"several documents of one file: {', '.join(r['source_id'] + ' ' + r['file_path'] for r in clash)}")
-    return found.withColumn("document_id", F.coalesce("known_id", "document_id")).select(*batch.columns)
 
 
 def structured_documents(found: DataFrame) -> DataFrame:
