@@ -81,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     command("import-manifest", "raw documents of a download manifest whose files are there", "path", "source_id", "--root")
     command("write-items-index", "stored items with their tags as JSON lines", "out", "--source-id")
     command("db-counts", "rows of the stored tables")
+    command("store-sources", "put the registry into the stored sources")
     command("vacuum", "remove versions that no recent commit names")
     return top
 
@@ -238,6 +239,8 @@ def main(argv: list[str] | None = None, fetcher: fetch.Fetcher = fetch.over_http
         jobs.items_index(tables, a.source_id).write.mode("overwrite").json(a.out)
     elif a.command == "db-counts":
         say({r["table_name"]: r["table_rows"] for r in manifests.table_counts({n: tables.read(n, s) for n, s in (("raw_documents", schemas.RAW_DOCUMENTS), ("documents", schemas.DOCUMENTS), ("items", schemas.ITEMS))}).collect()})
+    elif a.command == "store-sources":
+        say({"buckets_rewritten": jobs.store_sources(tables, config.config_rows(spark, config.load_configs(a.config_dir)))})
     elif a.command == "vacuum":
         say({"folders_removed": tables.vacuum()})
     else:

@@ -24,6 +24,8 @@ RAW_DOCUMENTS = T.StructType(_texts("document_id", "source_id", "external_id", "
 MEETINGS = T.StructType(_texts("meeting_id", "source_id", "body_name", "meeting_date", "meeting_date_iso", "meeting_title", "meeting_type", "meeting_status", "jurisdiction", "location_text", "start_time_text"))
 FINDINGS = T.StructType(_texts("finding_id", "agenda_item_id", "document_id", "source_id", "cluster_name", "meeting_date", "title", "summary_plain", "why_it_matters", "priority_level", "action_classification", "trend_signal", "evidence_text"))
 FINDING_TOPICS = T.StructType(_texts("finding_id", "topic_tag"))
+#: Registered sources with the times at which they came and last changed.
+SOURCES = T.StructType(_texts("source_id", "source_name", "jurisdiction", "government_level", "body_name", "source_type", "collection_method", "base_url", "meeting_frequency", "priority_level", "status", "adapter", "parser", "notes", "created_at", "updated_at"))
 #: What a refresh has seen: one row per source and file.
 STATE = T.StructType([*_texts("source_id", "path"), T.StructField("modified", T.TimestampType()), T.StructField("length", T.LongType()), *_texts("recorded_at")])
 MEETING_UPDATES = ["source_id", "body_name", "meeting_date", "meeting_date_iso"]

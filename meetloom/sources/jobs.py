@@ -130,6 +130,14 @@ def raw_lineage(tables: store.Store, source_id: str) -> DataFrame:
     return raw.groupBy("text_path").agg(F.max("document_id").alias("source_document_id"))
 
 
+def store_sources(tables: store.Store, sources: DataFrame, now: datetime | None = None) -> int:
+    """Merge the registry's rows into the stored sources: created_at stays, updated_at moves only where a row has changed, and only touched
+    buckets are rewritten; how many there were."""
+    stamp = F.lit((now or datetime.now(timezone.utc)).isoformat())
+    rows = sources.select(*[(F.col(f.name).cast("string") if f.name in sources.columns else F.lit(None).cast("string")).alias(f.name) for f in schemas.SOURCES if f.name not in ("created_at", "updated_at")])
+    return tables.merge("sources", schemas.SOURCES, rows, ["source_id"], lambda old, new: store.upsert_stamped(old, new, ["source_id"], stamp))
+
+
 def upsert_raw_documents(tables: store.Store, batch: DataFrame, reuse_ids_by_file: bool = False) -> None:
     """Merge raw documents on their id; of equal ids in the batch the last row wins (by `pos` where it has one, else in the batch's own order).
     With reuse_ids_by_file a row takes the id of a stored row of the same source and file."""

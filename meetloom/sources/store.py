@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 from meetloom.functions.exprs import date_iso
 from meetloom.functions.names import free
 
+#: Buckets of a table that is merged in parts.
+BUCKETS = 16
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the schema's columns; missing ones are null."""
@@ -147,14 +150,34 @@ class Store:
             path = f"{name}/{uuid.uuid4().hex}"
             df.write.parquet(f"{self.root}/{path}")
             made[name] = [*before.get(name, []), path] if name in (added or {}) else [path]
+        self._publish(before, made)
+
+    def _publish(self, before: Mapping[str, list[str]], made: Mapping[str, list[str]]) -> None:
         while True:
             numbers = self._numbers()
             now = self._pointer(numbers[-1]) if numbers else {}
             if moved := [n for n in made if now.get(n) != before.get(n)]:
                 raise RuntimeError(f"committed by another writer meanwhile: {', '.join(moved)}")
-            if self._named((numbers[-1] if numbers else 0) + 1, now | made):
+            if self._named((numbers[-1] if numbers else 0) + 1, {**now, **made}):
                 return
 
+    def merge(self, name: str, schema: T.StructType, batch: DataFrame, key: Sequence[str], change: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Rewrite the buckets of a table that a batch touches, and commit; how many there were. Rows lie in BUCKETS buckets by a hash of their
+        key; change(old rows of those buckets, batch) gives their new rows. Other buckets are neither read nor written."""
+        bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+        touched = {r["b"] for r in batch.select(bucket.alias("b")).distinct().collect()}
+        before = self.pointers()
+        held = before.get(name, [])
+        if any("=" not in p for p in held):  # written as a whole: it becomes buckets now
+            touched = set(range(BUCKETS))
+        mine = [p for p in held if "=" not in p or int(p.rpartition("=")[2]) in touched]
+        old = conform(self.spark.read.parquet(*[f"{self.root}/{p}" for p in mine]), schema) if mine else self.spark.createDataFrame([], schema)
+        folder, at = f"{name}/{uuid.uuid4().hex}", free("b", schema.names)
+        conform(change(old, batch), schema).withColumn(at, bucket).write.partitionBy(at).parquet(f"{self.root}/{folder}")
+        made = [f.getPath().getName() for f in self.fs.listStatus(self._path(folder))]
+        self._publish(before, {name: [p for p in held if p not in mine] + [f"{folder}/{m}" for m in sorted(made) if "=" in m]})
+        return len(touched)
+
     def _named(self, number: int, tables: Mapping[str, list[str]]) -> bool:
         """Put the pointer in place by a rename that replaces nothing; False if another writer has taken its number."""
         staged, target = self._path(f"next-{uuid.uuid4().hex}.json"), self._path(f"pointer-{number:012d}.json")
@@ -176,7 +199,7 @@ class Store:
     def vacuum(self, keep: int = 2) -> int:
         """Remove versions that none of the last `keep` pointers names, and what is staged; how many folders went. Not while others read or write."""
         numbers = self._numbers()
-        used = {x for n in numbers[-keep:] for paths in self._pointer(n).values() for x in paths}
+        used = {"/".join(x.split("/")[:2]) for n in numbers[-keep:] for paths in self._pointer(n).values() for x in paths}
         tables = {x.split("/")[0] for n in numbers for paths in self._pointer(n).values() for x in paths}
         gone = 0
         for folder in (*sorted(tables), "staged"):

@@ -347,3 +347,22 @@ def test_commands_for_online_sources(spark, tmp_path, capsys):
     assert json.loads(run("import-manifest", str(folder / "m.json"), "sop")) == {"documents_imported": 1, "missing_files": 1}
     assert json.loads(run("db-counts")) == {"raw_documents": 1, "documents": 0, "items": 0}
     assert json.loads(run("vacuum"))["folders_removed"] >= 1
+
+
+def test_sources_keep_their_stamps_and_untouched_buckets(spark, tmp_path):
+    tables = store.Store(spark, str(tmp_path / "wh"))
+    rows = lambda *r: spark.createDataFrame(list(r), "source_id string, source_name string, status string")
+    t1, t2, t3 = (datetime.datetime(2026, 1, d, tzinfo=datetime.timezone.utc) for d in (1, 2, 3))
+    jobs.store_sources(tables, rows(*[(f"s{i}", f"n{i}", "active") for i in range(40)]), t1)
+    before = tables.pointers()["sources"]
+    assert jobs.store_sources(tables, rows(("s1", "n1", "active"), ("s2", "n2", "paused"), ("new", "n", None)), t2) <= 3
+    after = tables.pointers()["sources"]
+    assert len(set(before) & set(after)) >= len(before) - 3
+    got = {r["source_id"]: r for r in tables.read("sources", schemas.SOURCES).collect()}
+    day = lambda s, c: got[s][c][8:10]
+    assert len(got) == 41 and [(day(s, "created_at"), day(s, "updated_at")) for s in ("s1", "s2", "s3", "new")] == [("01", "01"), ("01", "02"), ("01", "01"), ("02", "02")]
+    assert tables.vacuum(keep=1) == 0 and tables.read("sources", schemas.SOURCES).count() == 41
+    tables.commit({"sources": tables.read("sources", schemas.SOURCES)})  # written as a whole, then merged again
+    assert jobs.store_sources(tables, rows(("s2", "n2", "active")), t3) == store.BUCKETS
+    again = {r["source_id"]: r for r in tables.read("sources", schemas.SOURCES).collect()}
+    assert len(again) == 41 and again["s2"]["updated_at"][8:10] == "03" and again["s3"]["updated_at"][8:10] == "01"
