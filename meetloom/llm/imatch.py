@@ -1,6 +1,6 @@
 """I-Match document fingerprints over randomised lexicons.
 
-The lexicon keeps the terms whose share of documents lies in a band: neither so common
+The lexicon keeps the terms whose share of documents (of large groups of copies one) lies in a band: neither so common
 that they say nothing nor so rare that one edit moves them. A fingerprint hashes a text's
 sorted distinct lexicon terms once for each of LEVELS * PER_LEVEL random subsets of the
 lexicon; subsets of a level hold a quarter as many terms as those of the level above, so
@@ -8,7 +8,7 @@ texts of any length meet subsets that catch a term or two. Likeness of two finge
 the share of agreeing hashes among the subsets that either text meets, on the levels
 fine enough for the longer of the two.
 
-The band bounds the lexicon: a term needs BAND[0] of all documents, so there are at most
+The band bounds the lexicon: a term needs BAND[0] of these documents, so there are at most
 (mean distinct terms of a document) / BAND[0] of them. That is checked before broadcasting;
 beyond MAX_BROADCAST_TERMS the lexicon is joined by a shuffle. DataFrame functions only.
 
@@ -45,10 +45,16 @@ def terms_of(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """term, mask: the band's terms; bit i of mask says that subset i holds the term."""
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    total = texts.count()
-    counted = texts.select(F.explode(terms_of(F.col("text"))).alias("term")).where("term <> ''").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """term, mask: the band's terms; bit i of mask says that subset i holds the term. Copies of a text that make up BAND[0] of all rows or more
+    count once, so a large group of copies doesn't lift its terms above the band. There are at most 1 / BAND[0] such texts."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("print", F.md5(F.col("text").cast("binary")))
+    n = texts.count()
+    copied = saved(texts.groupBy("print").agg(F.count(F.lit(1)).alias("copies")).where((F.col("copies") > 1) & (F.col("copies") >= band[0] * n)))
+    held = copied.agg(F.count(F.lit(1)).alias("texts"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()
+    total = n - held["rows"] + held["texts"]
+    prints = F.broadcast(copied.select("print"))
+    once = texts.join(prints, "print", "left_anti").select("text").unionByName(texts.join(prints, "print", "left_semi").select("text").distinct())
+    counted = once.select(F.explode(terms_of(F.col("text"))).alias("term")).where("term <> ''").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = counted.where((F.col("df") >= band[0] * total) & (F.col("df") <= band[1] * total)).select("term")
     mask = F.lit(0).cast("long")
     for i in range(SUBSETS):

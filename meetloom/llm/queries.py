@@ -129,10 +129,14 @@ s AS (
   UNION ALL SELECT doc_id, 1, left(text, n_chars - n_chars // 3) || left(after, n_chars // 3) FROM e),
 t AS (SELECT doc_id, side, body, list_distinct(regexp_split_to_array(lower(body), '[\x00-/:-@\[-`{-\x7F]+')) AS terms FROM s),
 x AS (SELECT doc_id, side, unnest(terms) AS term FROM t),
+copies AS (SELECT body, count(*) AS n FROM t WHERE side = 0 GROUP BY body HAVING count(*) > 1 AND count(*) >= 0.0005 * (SELECT count(*) FROM documents)),
+once AS (
+  SELECT terms FROM t WHERE side = 0 AND body NOT IN (SELECT body FROM copies)
+  UNION ALL SELECT any_value(terms) FROM t WHERE side = 0 AND body IN (SELECT body FROM copies) GROUP BY body),
 lex AS (
   SELECT term, list_filter(range(40), lambda i: ('0x' || left(md5(term || ':' || i), 3))::INT < (4096 >> (2 * (i // 8 + 1))::INT)) AS subsets
-  FROM x WHERE side = 0 AND term <> '' GROUP BY term
-  HAVING count(*) >= 0.0005 * (SELECT count(*) FROM documents) AND count(*) <= 0.02 * (SELECT count(*) FROM documents)),
+  FROM (SELECT unnest(terms) AS term FROM once) WHERE term <> '' GROUP BY term
+  HAVING count(*) >= 0.0005 * (SELECT count(*) FROM once) AND count(*) <= 0.02 * (SELECT count(*) FROM once)),
 held AS (SELECT doc_id, side, term, subsets FROM x JOIN lex USING (term)),
 size AS (SELECT doc_id, side, count(*) AS n FROM held GROUP BY ALL),
 hashed AS (SELECT doc_id, side, i, left(md5(string_agg(term, ' ' ORDER BY term)), 4) AS h FROM (SELECT doc_id, side, term, unnest(subsets) AS i FROM held) GROUP BY ALL),
