@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meetloom.llm.common import SLICE_BYTES, small_batches, stored, text_slices, text_udf
+from meetloom.llm.common import SLICE_BYTES, saved, small_batches, stored, text_slices, text_udf
 
 WINDOW, SEED = 35, 6
 #: Bytes of texts of a shard; distinct stretches of a seed that one task compares.
@@ -325,7 +325,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, sha
     shards = max(1, -(-size // shard_bytes))
     docs = _with_row(docs, shards)
     dealt = docs.select("shard", "row", "doc_id", packed("text").alias("packed"))
-    recurring = seed_rows(docs, window, seed).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
+    # Saved, so that the join with it is a stage of its own, whose hot seeds AQE splits.
+    recurring = saved(seed_rows(docs, window, seed).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"))
     held = stored(stretch_rows(docs, window, seed).join(recurring, "seed"), "stretches")
     distinct = held.groupBy("seed", "digest").agg(F.count(F.lit(1)).alias("places"), F.min(F.struct("row", "start", "n", shard_of("row", shards))).alias("at"))
     per_seed = distinct.groupBy("seed").agg((F.count(F.lit(1)) > hot).alias("hot"), F.count(F.lit(1)).alias("n"), F.min("places").alias("least")).where("n > 1 and least = 1").select("seed", "hot")
