@@ -169,6 +169,17 @@ def test_imatch_against_plain_python(spark, sf):
     assert sum(g["near_edited"] > g["near_next"] for g in long) > 0.9 * len(long)
 
 
+def test_imatch_of_a_large_group_of_copies(spark):
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(10_000)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(60, 150)))) for i in range(300)]
+    copy = " ".join(rng.choices(words, k=120))
+    got = {r["doc_id"]: r for r in imatch.imatch_fingerprints(spark.createDataFrame(rows + [(1000 + i, copy) for i in range(30)], "doc_id long, text string")).collect()}
+    copies = [got[1000 + i] for i in range(30)]
+    assert all(r["n_terms"] > 0 and r["near_edited"] > 0 for r in copies) and len({r["fingerprint"] for r in copies}) == 1
+    assert sorted(r["near_next"] for r in copies)[1] == 1.0
+
+
 def test_imatch_of_ids_at_both_ends_of_long(spark):
     ids = [-(2**63), -(2**62), -5, 0, 2**53, 2**53 + 1, 2**62 + 5, 2**63 - 1, None, None]
     df = spark.createDataFrame([(i, f"text of row {k} " * (k + 3)) for k, i in enumerate(ids)], "doc_id long, text string")
