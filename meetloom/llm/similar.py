@@ -10,13 +10,18 @@ bounded, and there are as many bands as leave at most MISSED of the pairs at exa
 As in simhash, a variant is shipped by its leading bits and enumerated where it arrives.
 
 What meets is verified in two steps: fingerprints within RADIUS bits become candidates, and candidates are
-compared set with set; only pairs that pass are linked, and components are those of simhash. A variant shared
-by up to ALL_PAIRS fingerprints gives all their pairs, one shared by more the pairs of each with its
-neighbours in order and with the pivots within RADIUS of it (a fingerprint within reach of no earlier pivot is
-one). Of a band's pairs only the closest that connect the same fingerprints, a minimum spanning forest, become
-candidates: a dense group of m texts gives at most m - 1 a band, never all pairs, and a pair that one band's
-forest leaves out is still met in the others, where other members are present. Everything works on distinct
-shingle sets: exact copies are one of them. Texts are read again only for sets that have a candidate.
+compared set with set; only pairs that pass are linked, and components are those of simhash. A variant shared by up to ALL_PAIRS
+fingerprints gives all their pairs, one shared by more those with neighbours in order and with pivots. Of a band's pairs only
+the closest that connect the same fingerprints, a minimum spanning forest, become candidates: a dense group of m texts gives
+at most m - 1 a band, never all pairs. Everything works on distinct shingle sets: exact copies are one of them.
+
+Bands, buckets and forests leave links out, so an exact step follows that finds every link between two of the components
+so far. A set of n shingles has a head: its floor((1 - LIKE) n) + 1 first shingles in an order that all sets share. Two sets
+at LIKE or more have their first common shingle in both heads, so heads are shuffled by shingle, and all members of a
+bucket are paired that differ in component and that sizes and places in the heads allow to reach LIKE; no bucket has a cap.
+The order puts shingles first that are rare in a part of the corpus, so a common line is in a head only where a text has
+little else; which part that is affects the speed, never the result. Texts are read again only for sets that have a
+candidate.
 
 Null, empty and wordless texts have the empty set and are copies of each other. Null ids lose against others.
 Repeated rows are copies; columns of docs are returned unchanged, whatever their names.
@@ -38,6 +43,10 @@ from meetloom.llm.common import each_text, lower_words, saved, small_batches, st
 
 SHINGLE, LIKE, SEED = 5, 0.8, 42
 BITS, RADIUS, MISSED, HALF = 128, 34, 0.005, 1
+#: Sets by which common shingles are told (or one of ORDER_SHARE, if more), their least count there, and how many are told at most.
+ORDER_SETS, ORDER_SHARE, COMMON, MOST_COMMON = 4096, 16, 3, 1 << 18
+#: Hashes that a bin of a set holds on average, at most.
+PER_BIN = 4
 APART = math.acos(2 * LIKE / (1 + LIKE)) / math.pi
 ALL_PAIRS = 48
 #: Fingerprints of other texts that share a variant of a band with one, on average, at most.
@@ -95,17 +104,62 @@ def band_value(hi: np.ndarray, lo: np.ndarray, band: np.ndarray) -> np.ndarray:
     return bits[:, band].astype(np.int64) @ (1 << np.arange(len(band)))
 
 
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several sets of a part of the corpus have, sorted, and their counts. They say in what order heads are made, nothing else."""
+    text = docs["text"].cast("string")
+    share = max(ORDER_SETS, (n := docs.count()) // ORDER_SHARE) / max(1, n)
+    some = docs.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, texts in text_slices(b.column(0)):
+                held = list(map(shingles, texts))
+                yield pa.RecordBatch.from_arrays([pa.array([key_of(s) for s in held], pa.int64()), pa.array([s.view(np.int64) for s in held], pa.list_(pa.int64()))], ["fp", "held"])
+
+    each = some.select(text.alias("text")).mapInArrow(run, "fp long, held array<long>").dropDuplicates(["fp"]).select(F.explode("held").alias("h"))
+    counts = each.groupBy("h").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "h").limit(MOST_COMMON).toArrow()
+    h, count = counts.column("h").to_numpy().view(np.uint64), counts.column("count").to_numpy()
+    order = np.argsort(h)
+    return h[order], count[order]
+
+
+def head(held: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a set, as many as must hold one of any near copy's: those that are not common, then the others from the rarest on; ties by hash."""
+    size = len(held) - math.ceil(LIKE * len(held) - 1e-9) + 1 if len(held) else 0
+    names, counts = common
+    if not len(names):
+        return held[:size]
+    at = np.minimum(np.searchsorted(names, held), len(names) - 1)
+    count = np.where(names[at] == held, counts[at], 0)
+    return held[np.argsort(count, kind="stable")[:size]]
+
+
+def bins(held: np.ndarray) -> np.ndarray:
+    """How many of a set's hashes begin with which bits; larger sets have more bins."""
+    bits = max(3, (len(held) // PER_BIN).bit_length())
+    return np.minimum(np.bincount((held >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def may_share(x: bytes, y: bytes, need: float) -> bool:
+    """Whether sets with these bins can share as many hashes as needed: in each bin at most as many as the one with fewer has there."""
+    few, many = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    if max(few.max(), many.max()) == 255:  # or more
+        return True
+    return np.minimum(few, many.reshape(len(few), -1).sum(1)).sum() >= need - 1e-6
+
+
 def prints_of(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the set's key), hi, lo, n (its size) of every row, computed once."""
+    """doc_id, fp (the set's key), hi, lo, n (its size), bins, head of every row, computed once."""
     small_batches(docs.sparkSession)
+    common = common_shingles(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(key_of(s), sketch(s), len(s)) for s in map(shingles, each_text(b.column(1)))]
-            both = np.array([x for _, x, _ in found], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([k for k, _, _ in found], pa.int64()), pa.array(both[:, 1]), pa.array(both[:, 0]), pa.array([n for _, _, n in found], pa.int64())], ["doc_id", "fp", "hi", "lo", "n"])
+            found = [(key_of(s), *sketch(s).tolist(), len(s), bins(s).tobytes(), head(s, common).tobytes()) for s in map(shingles, each_text(b.column(1)))]
+            fp, lo, hi, n, counts, heads = zip(*found, strict=True) if found else [()] * 6
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (fp, hi, lo, n)), pa.array(counts, pa.binary()), pa.array(heads, pa.binary())], ["doc_id", "fp", "hi", "lo", "n", "bins", "head"])
 
-    return saved(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, hi long, lo long, n long"))
+    return saved(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, hi long, lo long, n long, bins binary, head binary"))
 
 
 def _apart(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -148,6 +202,15 @@ def closest(rows: dict[str, np.ndarray], pairs: Iterator[tuple[np.ndarray, np.nd
     return folded()
 
 
+def within(bucket: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of members of one bucket that lie at most `reach` places apart; bucket is sorted."""
+    for d in range(1, min(reach + 1, len(bucket))):
+        at = np.flatnonzero(bucket[d:] == bucket[:-d])
+        if not len(at):
+            return
+        yield at, at + d
+
+
 def bucket_pairs(rows: dict[str, np.ndarray], who: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of near members of buckets: who[k] (an index into rows) lies in bucket[k]; sorted by bucket, then who."""
     start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -256,6 +319,108 @@ def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarr
         yield columns()
 
 
+def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Sorted batches as columns in which no key is cut; rows alone with their key are left out."""
+    held: list[pa.RecordBatch] = []
+
+    def columns() -> dict[str, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        key = table.column(0).to_numpy()
+        same = key[1:] == key[:-1]
+        some = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+        return {c: table.column(c).to_numpy()[some] for c in table.column_names}
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column(0).to_numpy()
+        if held and held[-1].column(0)[-1].as_py() == key[-1]:
+            held.append(b)
+            continue
+        cut = int(np.searchsorted(key, key[-1]))
+        held.append(b.slice(0, cut))
+        yield columns()
+        held = [b.slice(cut)]
+    if held:
+        yield columns()
+
+
+def allowed(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether members i and j of a bucket differ in component and can be alike, if the bucket's shingle is the first that they share."""
+    left = np.minimum(rows["n"][i] - rows["at"][i], rows["n"][j] - rows["at"][j])
+    return (rows["root"][i] != rows["root"][j]) & (left >= LIKE / (1 + LIKE) * (rows["n"][i] + rows["n"][j]) - 1e-6)
+
+
+def paired(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All allowed pairs of members of buckets (rows sorted by key)."""
+    start = np.flatnonzero(np.r_[True, rows["key"][1:] != rows["key"][:-1]])
+    size = np.diff(np.r_[start, len(rows["key"])])
+    small = np.flatnonzero(np.repeat(size <= ALL_PAIRS, size))
+    for x, y in within(rows["key"][small], ALL_PAIRS - 1):
+        i, j = small[x], small[y]
+        can = allowed(rows, i, j)
+        yield i[can], j[can]
+    for at, n in zip(start[size > ALL_PAIRS].tolist(), size[size > ALL_PAIRS].tolist(), strict=True):
+        if (rows["root"][at : at + n] == rows["root"][at]).all():
+            continue
+        members = at + np.argsort(rows["n"][at : at + n], kind="stable")
+        # In order of size, those a member can be alike with end where LIKE of the size is over its own.
+        ends = np.searchsorted(rows["n"][members] * LIKE - 1e-6, rows["n"][members], "right").tolist()
+        for k, end in enumerate(ends):
+            others = members[k + 1 : end]
+            others = others[allowed(rows, members[k], others)]
+            yield np.full(len(others), members[k]), others
+
+
+def missed(prints: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """prints (doc_id, fp, n, head); sets: distinct fp with least; roots (node, root) of what is linked. Pairs (a, b), a > b, of two components that hold all whose sets are near copies."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                fp, root, n = (b.column(i).to_numpy() for i in range(3))
+                heads = [np.frombuffer(x, np.int64) for x in b.column(3).to_pylist()]
+                size = np.array(list(map(len, heads)))
+                row = np.repeat(np.arange(len(heads)), size)
+                place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(heads), fp[row], root[row], n[row] << 32 | place)], ["key", "fp", "root", "n_at"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        waiting = 0
+
+        def out() -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate(held), axis=0)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        for rows in whole_buckets(batches):
+            rows |= {"root": np.where(rows["root"] == 0, rows["fp"], rows["root"]), "n": rows["n_at"] >> 32, "at": rows["n_at"] & 0xFFFFFFFF}
+            for i, j in paired(rows):
+                if len(i):
+                    a, b = rows["fp"][i], rows["fp"][j]
+                    held.append(np.stack([np.maximum(a, b), np.minimum(a, b)], 1))
+                    waiting += len(i)
+                    if waiting > 1 << 18 or len(held) > 4096:
+                        yield out()
+                        waiting = 0
+        if held:
+            yield out()
+
+    def hinted(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= simhash.BROADCAST_KEYS else df
+
+    # One row of a set goes on; rows equal in id and set may both do, since members of one component are never paired.
+    copies = prints.select("doc_id", "fp").join(sets.select("fp", "least"), "fp").where(~F.col("doc_id").eqNullSafe(F.col("least")))
+    copies = hinted(saved(copies.select(F.col("doc_id").alias("c_id"), F.col("fp").alias("c_fp")).distinct()))
+    one_each = prints.where("n > 0").join(copies, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("fp") == F.col("c_fp")), "left_anti")
+    linked = one_each.select("fp", "n", "head").join(hinted(roots.withColumnRenamed("node", "fp")), "fp", "left")
+    # No root is 0: that is the key of the empty set, which has no head.
+    dealt = linked.select("fp", F.coalesce("root", F.lit(0)).alias("root"), "n", "head").mapInArrow(deal, "key long, fp long, root long, n_at long")
+    return saved(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct())
+
+
 def alike(a: bytes, b: bytes) -> bool:
     """Whether two shingle sets (as bytes) are near copies."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -265,11 +430,23 @@ def alike(a: bytes, b: bytes) -> bool:
     return both >= LIKE * (len(x) + len(y) - both)
 
 
-def near_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b), a > b, of keys whose shingle sets are near copies. sets: distinct fp with least, hi, lo, n."""
-    size = sets.select("fp", "n")
-    met_pairs = candidates(sets).join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b")
-    pairs = saved(met_pairs.where(F.least("n_a", "n_b") >= LIKE * F.greatest("n_a", "n_b")).select("a", "b"))
+def near_links(docs: DataFrame, prints: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b), a > b, of keys whose shingle sets are near copies; they connect all that are. sets: distinct fp of prints with least, hi, lo, n, bins."""
+    found = saved(verified(docs, sets, candidates(sets)))
+    return found.union(verified(docs, sets, missed(prints, sets, simhash.components(found))))
+
+
+def verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Those of the candidates (a, b) whose shingle sets are near copies."""
+    size = sets.select("fp", "n", "bins")
+    met_pairs = candidates.join(size.toDF("a", "n_a", "bins_a"), "a").join(size.toDF("b", "n_b", "bins_b"), "b")
+    sized = met_pairs.where(F.least("n_a", "n_b") >= LIKE * F.greatest("n_a", "n_b"))
+
+    @F.arrow_udf("boolean")
+    def can_pass(x: pa.Array, y: pa.Array, need: pa.Array) -> pa.Array:
+        return pa.array([may_share(*each) for each in zip(x.to_pylist(), y.to_pylist(), need.to_pylist(), strict=True)], pa.bool_())
+
+    pairs = saved(sized.where(can_pass("bins_a", "bins_b", (F.col("n_a") + F.col("n_b")) * (LIKE / (1 + LIKE)))).select("a", "b"))
     nodes = saved(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(sets.select("fp", "least"), "fp"))
     (wanted,) = unclashing(["m_id"], docs.columns)
     ids = nodes.select(F.col("least").alias(wanted)).distinct()
@@ -302,7 +479,7 @@ def key_column():
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One row of docs of each group of near copies, columns unchanged; which one is said at simhash.keep_first."""
     prints = prints_of(docs)
-    sets = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("hi").alias("hi"), F.min("lo").alias("lo"), F.min("n").alias("n")))
-    roots = simhash.components(near_links(docs, sets))
+    sets = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("hi").alias("hi"), F.min("lo").alias("lo"), F.min("n").alias("n"), F.first("bins").alias("bins")))
+    roots = simhash.components(near_links(docs, prints, sets))
     rooted = sets.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     return simhash.keep_first(docs, prints.select("doc_id", "fp"), rooted, key_column())

@@ -104,3 +104,38 @@ def test_a_dense_group_gives_few_candidates_and_one_document(spark):
     prints = similar.prints_of(docs)
     assert similar.candidates(prints.select("fp", "hi", "lo")).count() < 12 * 600
     assert [r["doc_id"] for r in similar.keep_one_of_each(docs).collect()] == [0]
+
+
+def test_no_link_is_lost_though_bands_find_none(spark, monkeypatch):
+    rng, rows = random.Random(11), []
+    line = [f"common{i}" for i in range(30)]
+    for k in range(70):  # over ALL_PAIRS sets share the line
+        words = [f"w{rng.randrange(9000)}" for _ in range(170)] + line
+        near, longer, far = list(words), [f"v{rng.randrange(9000)}" for _ in range(40)] + words, list(words)
+        for at in (20, 60, 100, 140):
+            near[at] = "changed"
+        for at in range(5, 165, 20):
+            far[at] = "other"
+        rows += [(4 * k, " ".join(words)), (4 * k + 1, " ".join(near)), (4 * k + 2, " ".join(longer)), (4 * k + 3, " ".join(far))]
+    sets = {i: _set(t) for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a > b and _jaccard(sets[a], sets[b]) >= 0.8}
+    assert {(4 * k + 1, 4 * k) for k in range(70)} | {(4 * k + 2, 4 * k) for k in range(70)} <= want
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(similar, "candidates", lambda sets: sets.select("fp", "fp").toDF("a", "b").limit(0))
+    monkeypatch.setattr(similar, "ORDER_SETS", 64)
+    root = similar.simhash._roots(len(rows), *np.array(sorted(want)).T)
+    assert {r["doc_id"] for r in similar.keep_one_of_each(docs).collect()} == set(root.tolist())
+
+
+def test_bounds_keep_all_near_copies():
+    rng = np.random.default_rng(12)
+    for n in (1, 4, 5, 9, 40, 300, 3000):
+        x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+        for _ in range(20):
+            y = np.unique(np.r_[rng.permutation(x)[: -max(0, len(x) // 9) or None], rng.integers(0, 2**63, max(0, n // 9), dtype=np.uint64)])
+            both = len(np.intersect1d(x, y))
+            assert similar.may_share(similar.bins(x).tobytes(), similar.bins(y).tobytes(), both)
+            if both >= 0.8 * (len(x) + len(y) - both):
+                common = np.sort(rng.permutation(x)[: n // 2]), np.arange(n // 2) % 7 + 3
+                assert len(np.intersect1d(similar.head(x, common), similar.head(y, common)))
+    assert not similar.may_share(similar.bins(x).tobytes(), similar.bins(rng.integers(0, 2**63, 3000, dtype=np.uint64) * np.uint64(2)).tobytes(), 2667)
