@@ -77,11 +77,10 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         low = np.minimum(root[a], root[b])
         np.minimum.at(root, root[a], low)
         np.minimum.at(root, root[b], low)
-        root = root[root]
+        while not np.array_equal(root, up := root[root]):  # to the end each time: what is no root must not be hooked, or it leaves its own
+            root = up
         apart = root[a] != root[b]
         a, b = a[apart], b[apart]
-    while not np.array_equal(root, up := root[root]):
-        root = up
     return root
 
 

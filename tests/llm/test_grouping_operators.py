@@ -228,3 +228,12 @@ def test_pipeline_keeps_and_drops(spark, tmp_path):
     assert left[1] < left[0] and left[3] < left[2] and left[4] < left[3]
     again = corpus_pipeline.run(spark, src)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_a_long_chain_of_fingerprints_is_one_component_of_its_prefix():
+    rng, fps = np.random.default_rng(15), [0]
+    while len(fps) < 400:
+        fps.append(fps[-1] ^ sum(1 << int(b) for b in rng.choice(60, 4, replace=False)))
+    fps = rng.permutation(np.unique(np.array(fps, np.uint64)))
+    links = simhash._links_of_prefix(fps, np.zeros(len(fps), np.int64), 4, 4)
+    assert len(links) == len(fps) - 1

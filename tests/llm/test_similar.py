@@ -91,6 +91,18 @@ def test_forest_is_minimal():
         assert np.flatnonzero(similar.forest(30, a, b)).tolist() == want
 
 
+def test_components_of_chains_in_any_order_are_whole_and_their_forest_ends():
+    rng = np.random.default_rng(14)
+    for n in (2, 9, 60, 300):
+        for _ in range(20):
+            order = rng.permutation(2 * n)
+            a, b = np.r_[order[: n - 1], order[n:-1]], np.r_[order[1:n], order[n + 1 :]]
+            want = np.empty(2 * n, np.int64)
+            want[order[:n]], want[order[n:]] = order[:n].min(), order[n:].min()
+            assert np.array_equal(similar.simhash._roots(2 * n, a, b), want)
+            assert similar.forest(2 * n, a, b).all()  # after the line above, since it would not end
+
+
 def test_a_dense_group_gives_few_candidates_and_one_document(spark):
     rng = np.random.default_rng(7)
     words = [f"w{i}" for i in range(400)]
