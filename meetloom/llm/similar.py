@@ -16,9 +16,11 @@ the closest that connect the same fingerprints, a minimum spanning forest, becom
 at most m - 1 a band, never all pairs. Everything works on distinct shingle sets: exact copies are one of them.
 
 Bands, buckets and forests leave links out, so an exact step follows that finds every link between two of the components
-so far. A set of n shingles has a head: its floor((1 - LIKE) n) + 1 first shingles in an order that all sets share. Two sets
-at LIKE or more have their first common shingle in both heads, so heads are shuffled by shingle, and all members of a
-bucket are paired that differ in component and that sizes and places in the heads allow to reach LIKE; no bucket has a cap.
+so far. A set of n shingles has a head: its floor((1 - LIKE) n) + 1 first shingles in an order that all sets share. at LIKE or more have their first common shingle in both heads, so heads are shuffled by shingle, and all members of a
+bucket are compared there that differ in component and that sizes, places in the heads and a few coarse counts of hashes allow
+to reach LIKE; no bucket has a cap. What leaves the bucket is no pair but a visit: the set of the smaller component goes to the
+block of the other's component (components are cut into blocks of some BLOCK sets), so a group of m sets costs a visitor m / BLOCK
+rows. In a block each visitor is compared with all sets, by bins and then set with set, and gives one link at most.
 The order puts shingles first that are rare in a part of the corpus, so a common line is in a head only where a text has
 little else; which part that is affects the speed, never the result. Texts are read again only for sets that have a
 candidate.
@@ -47,6 +49,10 @@ BITS, RADIUS, MISSED, HALF = 128, 34, 0.005, 1
 ORDER_SETS, ORDER_SHARE, COMMON, MOST_COMMON = 4096, 16, 3, 1 << 18
 #: Hashes that a bin of a set holds on average, at most.
 PER_BIN = 4
+#: Bins of all hashes that go with a head, and the count from which they say nothing.
+COARSE, OVER = 16, 255
+#: Sets of a component that a visitor meets at once, and visitors that meet them in one task; bits that number a component's blocks.
+BLOCK, GUESTS, PART_BITS = 256, 4096, 24
 APART = math.acos(2 * LIKE / (1 + LIKE)) / math.pi
 ALL_PAIRS = 48
 #: Fingerprints of other texts that share a variant of a band with one, on average, at most.
@@ -149,17 +155,17 @@ def may_share(x: bytes, y: bytes, need: float) -> bool:
 
 
 def prints_of(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the set's key), hi, lo, n (its size), bins, head of every row, computed once."""
+    """doc_id, fp (the set's key), hi, lo, n (its size), bins, head, coarse of every row, computed once."""
     small_batches(docs.sparkSession)
     common = common_shingles(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(key_of(s), *sketch(s).tolist(), len(s), bins(s).tobytes(), head(s, common).tobytes()) for s in map(shingles, each_text(b.column(1)))]
-            fp, lo, hi, n, counts, heads = zip(*found, strict=True) if found else [()] * 6
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (fp, hi, lo, n)), pa.array(counts, pa.binary()), pa.array(heads, pa.binary())], ["doc_id", "fp", "hi", "lo", "n", "bins", "head"])
+            found = [(key_of(s), *sketch(s).tolist(), len(s), bins(s).tobytes(), head(s, common).tobytes(), coarse(s)) for s in map(shingles, each_text(b.column(1)))]
+            fp, lo, hi, n, counts, *more = zip(*found, strict=True) if found else [()] * 7
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (fp, hi, lo, n)), *(pa.array(x, pa.binary()) for x in (counts, *more))], ["doc_id", "fp", "hi", "lo", "n", "bins", "head", "coarse"])
 
-    return saved(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, hi long, lo long, n long, bins binary, head binary"))
+    return saved(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, hi long, lo long, n long, bins binary, head binary, coarse binary"))
 
 
 def _apart(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -327,10 +333,20 @@ def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nd
         yield columns()
 
 
+def coarse(held: np.ndarray) -> bytes:
+    """COARSE counts of a set's hashes by their first bits; all OVER if one has OVER or more."""
+    count = np.bincount((held >> np.uint64(64 - COARSE.bit_length() + 1)).astype(np.int64), minlength=COARSE)
+    return (count if count.max() < OVER else np.full(COARSE, OVER)).astype(np.uint8).tobytes()
+
+
 def allowed(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether members i and j of a bucket differ in component and can be alike, if the bucket's shingle is the first that they share."""
-    left = np.minimum(rows["n"][i] - rows["at"][i], rows["n"][j] - rows["at"][j])
-    return (rows["root"][i] != rows["root"][j]) & (left >= LIKE / (1 + LIKE) * (rows["n"][i] + rows["n"][j]) - 1e-6)
+    """Whether members i (or one member) and j of a bucket differ in component and can be alike, if the bucket's shingle is the first that they share."""
+    need = LIKE / (1 + LIKE) * (rows["n"][i] + rows["n"][j]) - 1e-6
+    can = (rows["root"][i] != rows["root"][j]) & (np.minimum(rows["n"][i] - rows["at"][i], rows["n"][j] - rows["at"][j]) >= need)
+    if can.any():
+        share = np.minimum(rows["coarse"][np.broadcast_to(i, can.shape)[can]], rows["coarse"][j[can]]).sum(1)
+        can[can] = (share >= need[can]) | (share == COARSE * OVER)
+    return can
 
 
 def paired(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -354,53 +370,171 @@ def paired(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray
             yield np.full(len(others), members[k]), others
 
 
-def missed(prints: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """prints (doc_id, fp, n, head); sets: distinct fp with least; roots (node, root) of what is linked. Pairs (a, b), a > b, of two components that hold all whose sets are near copies."""
+def visits_of(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Pairs i, j as rows (fp, root, part): the one of the smaller component visits the other's block."""
+    size = rows["of"] >> PART_BITS
+    back = (size[i] > size[j]) | (size[i] == size[j]) & (rows["root"][i] > rows["root"][j])
+    guest, host = np.where(back, j, i), np.where(back, i, j)
+    return np.stack([rows["fp"][guest], rows["root"][host], rows["of"][host] & (1 << PART_BITS) - 1], 1)
+
+
+def in_blocks(roots: DataFrame) -> DataFrame:
+    """roots (node, root) -> fp, root, size (of the component), part (of it, with BLOCK sets on average at most), roots themselves included."""
+    size = roots.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("size"))
+    nodes = roots.select(F.col("node").alias("fp"), "root").union(size.select("root", "root")).join(size, "root")
+    return saved(nodes.select("fp", "root", "size", F.expr(f"pmod(fp, ceil(size / {BLOCK}))").cast("long").alias("part")))
+
+
+def missed(prints: DataFrame, sets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """prints (doc_id, fp, n, head, coarse); sets: distinct fp with least; blocks: in_blocks of what is linked. Visits (fp, root, part): for all near copies of two components, one's visit to the other's block is among them."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
-                fp, root, n = (b.column(i).to_numpy() for i in range(3))
-                heads = [np.frombuffer(x, np.int64) for x in b.column(3).to_pylist()]
+                fp, root, of, n = (b.column(i).to_numpy() for i in range(4))
+                low, high = np.frombuffer(b"".join(b.column(5).to_pylist()), np.int64).reshape(-1, 2).T
+                heads = [np.frombuffer(x, np.int64) for x in b.column(4).to_pylist()]
                 size = np.array(list(map(len, heads)))
                 row = np.repeat(np.arange(len(heads)), size)
                 place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(heads), fp[row], root[row], n[row] << 32 | place)], ["key", "fp", "root", "n_at"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(heads), fp[row], root[row], of[row], n[row] << 32 | place, low[row], high[row])], ["key", "fp", "root", "of", "n_at", "low", "high"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        waiting = 0
+        waiting, most = 0, 1 << 18
 
         def out() -> pa.RecordBatch:
-            pairs = np.unique(np.concatenate(held), axis=0)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop().T], ["fp", "root", "part"])
 
         for rows in whole_buckets(batches):
             rows |= {"root": np.where(rows["root"] == 0, rows["fp"], rows["root"]), "n": rows["n_at"] >> 32, "at": rows["n_at"] & 0xFFFFFFFF}
+            rows["coarse"] = np.stack([rows["low"], rows["high"]], 1).view(np.uint8)
             for i, j in paired(rows):
                 if len(i):
-                    a, b = rows["fp"][i], rows["fp"][j]
-                    held.append(np.stack([np.maximum(a, b), np.minimum(a, b)], 1))
+                    held.append(visits_of(rows, i, j))
                     waiting += len(i)
-                    if waiting > 1 << 18 or len(held) > 4096:
-                        yield out()
-                        waiting = 0
+                    if waiting > most or len(held) > 4096:
+                        held = [np.unique(np.concatenate(held), axis=0)]
+                        waiting = len(held[0])
+                        if waiting > most // 2:
+                            yield out()
+                            waiting = 0
         if held:
+            held = [np.unique(np.concatenate(held), axis=0)]
             yield out()
 
-    def hinted(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.count() <= simhash.BROADCAST_KEYS else df
-
     # One row of a set goes on; rows equal in id and set may both do, since members of one component are never paired.
     copies = prints.select("doc_id", "fp").join(sets.select("fp", "least"), "fp").where(~F.col("doc_id").eqNullSafe(F.col("least")))
     copies = hinted(saved(copies.select(F.col("doc_id").alias("c_id"), F.col("fp").alias("c_fp")).distinct()))
     one_each = prints.where("n > 0").join(copies, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("fp") == F.col("c_fp")), "left_anti")
-    linked = one_each.select("fp", "n", "head").join(hinted(roots.withColumnRenamed("node", "fp")), "fp", "left")
+    of = blocks.select("fp", "root", F.expr(f"shiftleft(size, {PART_BITS}) + part").alias("of"))
+    linked = one_each.select("fp", "n", "head", "coarse").join(hinted(of), "fp", "left")
     # No root is 0: that is the key of the empty set, which has no head.
-    dealt = linked.select("fp", F.coalesce("root", F.lit(0)).alias("root"), "n", "head").mapInArrow(deal, "key long, fp long, root long, n_at long")
-    return saved(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct())
+    dealt = linked.select("fp", F.coalesce("root", F.lit(0)).alias("root"), F.coalesce("of", F.lit(1 << PART_BITS)).alias("of"), "n", "head", "coarse").mapInArrow(deal, "key long, fp long, root long, of long, n_at long, low long, high long")
+    return saved(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "fp long, root long, part long").distinct())
+
+
+def hinted(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= simhash.BROADCAST_KEYS else df
+
+
+class Bins:
+    """Sets of a block by their sizes and bins."""
+
+    def __init__(self, sizes: np.ndarray, bins_: list[bytes]):
+        self.by_length = {}
+        length = np.array(list(map(len, bins_)))
+        for x in np.unique(length).tolist():
+            at = np.flatnonzero(length == x)
+            self.by_length[x] = at, sizes[at], np.frombuffer(b"".join(bins_[i] for i in at), np.uint8).reshape(len(at), x)
+
+    def passing(self, n: int, its: bytes) -> np.ndarray:
+        """Which sets may be alike with one (its size, its bins): may_share and the sizes say so."""
+        mine, found = np.frombuffer(its, np.uint8), []
+        for length, (at, sizes, theirs) in self.by_length.items():
+            few = min(length, len(mine))
+            share = np.minimum(mine.reshape(few, -1).sum(1), theirs.reshape(len(at), few, -1).sum(2)).sum(1)
+            can = (share >= LIKE / (1 + LIKE) * (n + sizes) - 1e-6) | (theirs.max(1) == 255) | (mine.max() == 255)
+            found.append(at[can & (np.minimum(n, sizes) >= LIKE * np.maximum(n, sizes))])
+        return np.concatenate(found)
+
+
+class Sets:
+    """Shingle sets of a block, with the places of each shingle."""
+
+    def __init__(self, sizes: np.ndarray, held: list[bytes]):
+        every, self.sizes = np.frombuffer(b"".join(held), np.uint64), sizes
+        order = np.argsort(every, kind="stable")
+        self.every, self.whose = every[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+
+    def passing(self, n: int, its: bytes) -> np.ndarray:
+        """Which sets are near copies of one."""
+        mine = np.frombuffer(its, np.uint64)
+        first = np.searchsorted(self.every, mine)
+        count = np.searchsorted(self.every, mine, "right") - first
+        place = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+        both = np.bincount(self.whose[place], minlength=len(self.sizes))
+        return np.flatnonzero(both >= LIKE * (n + self.sizes - both))
+
+
+def over_blocks(rows: DataFrame, kind: type[Bins] | type[Sets], all_of_them: bool) -> DataFrame:
+    """rows (root, part, turn, guest, fp, n, what): in each block and turn, guests are compared with all hosts, the rows that are no guests.
+    Of each guest that passes with a host: itself and all hosts that pass with a guest (guest, fp, root, part), or its link to one host (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, hosts, block, hit = None, [], None, np.empty(0, bool)
+
+        def ended() -> list[tuple]:
+            return [(False, hosts[i][0], *now[:2]) for i in np.flatnonzero(hit).tolist()] if all_of_them else []
+
+        for b in batches:
+            out = []
+            for root, part, turn, guest, fp, n, what in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if now != (root, part, turn):
+                    out += ended()
+                    now, hosts, block, hit = (root, part, turn), [], None, np.empty(0, bool)
+                if not guest:
+                    hosts.append((fp, n, what))
+                    continue
+                if block is None:
+                    block, hit = kind(np.array([h[1] for h in hosts]), [h[2] for h in hosts]), np.zeros(len(hosts), bool)
+                passed = block.passing(n, what)
+                if len(passed):
+                    hit[passed] = True
+                    other = hosts[passed[0]][0]
+                    out.append((True, fp, root, part) if all_of_them else (max(fp, other), min(fp, other)))
+            if out:
+                yield made(out)
+        if out := ended():
+            yield made(out)
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names)
+
+    names, schema = (["guest", "fp", "root", "part"], "guest boolean, fp long, root long, part long") if all_of_them else (["a", "b"], "a long, b long")
+    dealt = rows.select("root", "part", "turn", "guest", "fp", "n", "what").repartition("root", "part", "turn")
+    return dealt.sortWithinPartitions("root", "part", "turn", "guest").mapInArrow(run, schema)
+
+
+def in_turns(rows: DataFrame) -> DataFrame:
+    """rows (guest, fp, root, part) with turns: a block with more than GUESTS guests has several, and its hosts are in each."""
+    turns = rows.where("guest").groupBy("root", "part").agg(F.ceil(F.count(F.lit(1)) / GUESTS).alias("turns"))
+    each = rows.join(turns, ["root", "part"])
+    turn = F.when(F.col("guest"), F.array(F.expr("pmod(fp, turns)").cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))
+    return each.select("root", "part", "guest", "fp", F.explode(turn).alias("turn"))
+
+
+def missed_links(docs: DataFrame, sets: DataFrame, blocks: DataFrame, visits: DataFrame) -> DataFrame:
+    """Of each visit, one link of the visitor to a near copy in the block, if there is one."""
+    visited = visits.select("root", "part").distinct()
+    linked = blocks.select("fp", "root", "part")
+    alone = visited.join(linked.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("fp"), "root", "part")
+    hosts = linked.join(visited, ["root", "part"], "left_semi").select("fp", "root", "part").union(alone)
+    rows = hosts.select(F.lit(False).alias("guest"), "fp", "root", "part").union(visits.select(F.lit(True), "fp", "root", "part"))
+    left = saved(over_blocks(in_turns(rows).join(sets.select("fp", "n", F.col("bins").alias("what")), "fp"), Bins, True).distinct())
+    held = sets_of(docs, sets, left)
+    return over_blocks(in_turns(left).join(held.select("fp", F.expr("length(held) div 8").alias("n"), F.col("held").alias("what")), "fp"), Sets, False)
 
 
 def alike(a: bytes, b: bytes) -> bool:
@@ -415,21 +549,13 @@ def alike(a: bytes, b: bytes) -> bool:
 def near_links(docs: DataFrame, prints: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b), a > b, of keys whose shingle sets are near copies; they connect all that are. sets: distinct fp of prints with least, hi, lo, n, bins."""
     found = saved(verified(docs, sets, candidates(sets)))
-    return found.union(verified(docs, sets, missed(prints, sets, simhash.components(found))))
+    blocks = in_blocks(simhash.components(found))
+    return found.union(missed_links(docs, sets, blocks, missed(prints, sets, blocks)))
 
 
-def verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Those of the candidates (a, b) whose shingle sets are near copies."""
-    size = sets.select("fp", "n", "bins")
-    met_pairs = candidates.join(size.toDF("a", "n_a", "bins_a"), "a").join(size.toDF("b", "n_b", "bins_b"), "b")
-    sized = met_pairs.where(F.least("n_a", "n_b") >= LIKE * F.greatest("n_a", "n_b"))
-
-    @F.arrow_udf("boolean")
-    def can_pass(x: pa.Array, y: pa.Array, need: pa.Array) -> pa.Array:
-        return pa.array([may_share(*each) for each in zip(x.to_pylist(), y.to_pylist(), need.to_pylist(), strict=True)], pa.bool_())
-
-    pairs = saved(sized.where(can_pass("bins_a", "bins_b", (F.col("n_a") + F.col("n_b")) * (LIKE / (1 + LIKE)))).select("a", "b"))
-    nodes = saved(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(sets.select("fp", "least"), "fp"))
+def sets_of(docs: DataFrame, sets: DataFrame, some: DataFrame) -> DataFrame:
+    """fp, held (the set's hashes) of the keys fp in some. Only texts with their least ids are read again."""
+    nodes = saved(some.select("fp").distinct().join(sets.select("fp", "least"), "fp"))
     (wanted,) = unclashing(["m_id"], docs.columns)
     ids = nodes.select(F.col("least").alias(wanted)).distinct()
     if nodes.count() <= simhash.BROADCAST_KEYS:
@@ -443,7 +569,21 @@ def verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFra
 
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     read = texts.join(ids, texts["doc_id"].eqNullSafe(F.col(wanted)), "left_semi").select("text").mapInArrow(run, "fp long, held binary")
-    held = stored(read.join(nodes.select("fp"), "fp", "left_semi").dropDuplicates(["fp"]), "near-sets")
+    return stored(read.join(nodes.select("fp"), "fp", "left_semi").dropDuplicates(["fp"]), "near-sets")
+
+
+def verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Those of the candidates (a, b) whose shingle sets are near copies."""
+    size = sets.select("fp", "n", "bins")
+    met_pairs = candidates.join(size.toDF("a", "n_a", "bins_a"), "a").join(size.toDF("b", "n_b", "bins_b"), "b")
+    sized = met_pairs.where(F.least("n_a", "n_b") >= LIKE * F.greatest("n_a", "n_b"))
+
+    @F.arrow_udf("boolean")
+    def can_pass(x: pa.Array, y: pa.Array, need: pa.Array) -> pa.Array:
+        return pa.array([may_share(*each) for each in zip(x.to_pylist(), y.to_pylist(), need.to_pylist(), strict=True)], pa.bool_())
+
+    pairs = saved(sized.where(can_pass("bins_a", "bins_b", (F.col("n_a") + F.col("n_b")) * (LIKE / (1 + LIKE)))).select("a", "b"))
+    held = sets_of(docs, sets, pairs.select(F.col("a").alias("fp")).union(pairs.select("b")))
 
     @F.arrow_udf("boolean")
     def pass_(x: pa.Array, y: pa.Array) -> pa.Array:

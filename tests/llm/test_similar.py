@@ -171,3 +171,30 @@ def test_a_bucket_of_strangers_takes_linear_work():
     finally:
         similar._near = near
     assert 0 < compared <= similar.ALL_PAIRS * n
+
+
+def test_a_set_visits_blocks_of_a_component_not_its_members_and_no_link_is_lost(spark, monkeypatch):
+    rng = random.Random(15)
+    base = [f"w{i}" for i in range(150)]
+
+    def changed(k, name):
+        words = list(base)
+        for at in rng.sample(range(5, 145), k):
+            words[at] = f"{name}x{at}"
+        return " ".join(words)
+
+    texts = [changed(1, i) for i in range(120)] + [changed(2 + i % 4, 120 + i) for i in range(40)]
+    held = [similar.shingles(t) for t in texts]
+    key = [similar.key_of(s) for s in held]
+    known = spark.createDataFrame([(max(key[i], key[0]), min(key[i], key[0])) for i in range(1, 120)], "a long, b long")
+    monkeypatch.setattr(similar, "candidates", lambda sets: known)
+    monkeypatch.setattr(similar, "BLOCK", 40)
+    monkeypatch.setattr(similar, "GUESTS", 7)
+    made, missed = [], similar.missed
+    monkeypatch.setattr(similar, "missed", lambda *a: made.append(missed(*a)) or made[0])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in similar.keep_one_of_each(docs).collect()}
+    near = np.array([(i, j) for i in range(160) for j in range(i) if similar.alike(held[i].tobytes(), held[j].tobytes())])
+    assert kept == set(similar.simhash._roots(160, *near.T).tolist()) and 1 < len(kept) < 40
+    component = similar.simhash.components(known).first()["root"]
+    assert 0 < made[0].where(made[0]["root"] == component).count() <= 40 * 3  # blocks, not 40 * 120 pairs
